@@ -3,12 +3,18 @@
 from __future__ import annotations
 
 from .exact_dedup import OP3_SQL, op3_exact_dedup
+from .language_id import op2_language_id
+from .line_dedup import op8_line_dedup
 from .minhash_dedup import op10_minhash_dedup
+from .suffix_tree_lm import op1_suffix_tree_lm
 from .token_records import op7_token_records
 
 _OPERATORS = {
+    "op1_suffix_tree_lm": op1_suffix_tree_lm,
+    "op2_language_id": op2_language_id,
     "op3_exact_dedup": op3_exact_dedup,
     "op7_token_records": op7_token_records,
+    "op8_line_dedup": op8_line_dedup,
     "op10_minhash_dedup": op10_minhash_dedup,
 }
 
