@@ -6,6 +6,7 @@ from .exact_dedup import OP3_SQL, op3_exact_dedup
 from .language_id import op2_language_id
 from .line_dedup import op8_line_dedup
 from .minhash_dedup import op10_minhash_dedup
+from .suffix_dedup import op9_suffix_dedup
 from .suffix_tree_lm import op1_suffix_tree_lm
 from .token_records import op7_token_records
 
@@ -15,6 +16,7 @@ _OPERATORS = {
     "op3_exact_dedup": op3_exact_dedup,
     "op7_token_records": op7_token_records,
     "op8_line_dedup": op8_line_dedup,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_minhash_dedup": op10_minhash_dedup,
 }
 
