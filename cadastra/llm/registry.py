@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from .chunk_dedup import op6_chunk_dedup
+from .decontaminate import op5_decontaminate
 from .exact_dedup import OP3_SQL, op3_exact_dedup
 from .language_id import op2_language_id
 from .line_dedup import op8_line_dedup
 from .minhash_dedup import op10_minhash_dedup
+from .mixing import op4_mixing
 from .suffix_dedup import op9_suffix_dedup
 from .suffix_tree_lm import op1_suffix_tree_lm
 from .token_records import op7_token_records
@@ -14,6 +17,8 @@ _OPERATORS = {
     "op1_suffix_tree_lm": op1_suffix_tree_lm,
     "op2_language_id": op2_language_id,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_mixing": op4_mixing,
+    "op6_chunk_dedup": op6_chunk_dedup,
     "op7_token_records": op7_token_records,
     "op8_line_dedup": op8_line_dedup,
     "op9_suffix_dedup": op9_suffix_dedup,
@@ -25,7 +30,11 @@ def queries() -> dict:
     def over_documents(op):
         return lambda spark, sf_dir: op(spark, spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
-    return {name: over_documents(op) for name, op in _OPERATORS.items()}
+    found = {name: over_documents(op) for name, op in _OPERATORS.items()}
+    found["op5_decontaminate"] = lambda spark, sf_dir: op5_decontaminate(
+        spark, spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    )
+    return found
 
 
 def oracle_sql() -> dict[str, str]:
