@@ -1,17 +1,69 @@
-"""The corpus pipeline: its stages in order, each from the one before."""
+"""The corpus pipeline: language ID, near-dedup, decontamination, mixing, token records.
+
+Each stage takes (spark, docs, sf_dir) and gives the columns of documents again, the last
+the token records it wrote, as read back. Extra columns travel along.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from cadastra.llm import decontaminate, language_id, minhash_dedup, mixing, token_records
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Learns the languages of the labelled texts; texts that the models reject go, the others
+    carry the language found as `lang`."""
+    model = language_id.fit(docs.select("doc_id", "text", "lang"))
+    found = language_id.predict(docs, model)
+    return found.where("NOT rejected").select(*(F.col("lang_pred").alias(c) if c == "lang" else F.col(c) for c in docs.columns))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays: the one with the smallest doc_id, and
+    of rows with that doc_id the first text in order."""
+    marks = minhash_dedup.near_duplicates(docs, k=5, percent=80)
+    gone = marks.where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
+    left = docs.join(gone, docs.doc_id == gone._gone, "left_anti")
+    if left.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL").limit(1).count():
+        left = left.orderBy("doc_id", "text").dropDuplicates(["doc_id"]).unionByName(left.where("doc_id IS NULL")).distinct()
+    return left
+
 
-STAGES: list = []
+def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return decontaminate.drop_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Small sources are repeated, up to twice, to temper the shares of large ones; every
+    document is given out at least once."""
+    return mixing.mix_documents(docs, mixing.plan(docs)).select(*docs.columns)
+
+
+def write_token_records(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token records with their offset index; a row for each record, from the files."""
+    return token_records.op7_token_records(spark, docs)
+
+
+STAGES = [
+    ("language_id", identify_language),
+    ("near_dedup", drop_near_duplicates),
+    ("decontaminate", drop_benchmark_leaks),
+    ("mix_sources", mix_sources),
+    ("token_records", write_token_records),
+]
 
 #: Language identification and the passage search are learned models: SQL has no form for them.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents; each stage's rows are written as Parquet and read back."""
+    from cadastra.llm.common import materialize
+
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
