@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from cadastra.plans.derive import Tables
+from cadastra.plans.queries import REGISTERED
+
 
 def queries() -> dict:
-    return {}
+    return {name: (lambda spark, sf_dir, f=f: f(Tables(spark, sf_dir))) for name, (f, _) in REGISTERED.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {name: sql for name, (_, sql) in REGISTERED.items() if sql}
