@@ -37,13 +37,13 @@ class DigestIndex:
 
     def __init__(self, spark: SparkSession, table: str, path: str | None = None, buckets: int | None = None):
         self.spark, self.table = spark, table
-        self.path = path or scratch_path(spark, table)
         if not spark.catalog.tableExists(table):
             spark.sql(
                 f"CREATE TABLE {table} ({self.SCHEMA}) USING parquet "
-                f"CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets or n_partitions(spark)} BUCKETS LOCATION '{self.path}'"
+                f"CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets or n_partitions(spark)} BUCKETS LOCATION '{path or scratch_path(spark, table)}'"
             )
-        self.buckets = int(spark.sql(f"DESCRIBE EXTENDED {table}").where("col_name = 'Num Buckets'").first()["data_type"])
+        about = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {table}").collect()}
+        self.buckets, self.path = int(about["Num Buckets"]), about["Location"]
 
     def read(self) -> DataFrame:
         return self.spark.table(self.table)
