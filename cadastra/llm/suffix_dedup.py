@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Rolling, i64, join_unique, materialize, n_partitions, text_chunks
+from .common import Rolling, i64, join_unique, materialize, mix, n_partitions, text_chunks
 
 LENGTH = 400
 SEED = 200
@@ -211,6 +211,38 @@ def merge(runs: list[Iterator[tuple]]) -> Iterator[tuple]:
 
 
 # ---------------------------------------------------------------- classes
+_SIDE = LENGTH - SEED
+_CONTENT = Rolling.table(21)
+
+
+def _reaches_by_content(members: list[tuple]) -> list[tuple[int, int]]:
+    """Longest left and right reach of each member of a large class, from the hashes of its windows:
+    one row a member, one column for each distance of a window's start before the anchor."""
+    m = len(members)
+    text = b"".join(x[2][::-1].rjust(_SIDE, b"\0") + x[0].ljust(LENGTH, b"\0") for x in members)
+    flat = np.frombuffer(text, np.uint8).reshape(m, _SIDE + LENGTH)
+    with np.errstate(over="ignore"):
+        sums = np.zeros((m, _SIDE + LENGTH + 1), np.uint64)
+        np.cumsum(_CONTENT[flat] * Rolling.powers(_SIDE + LENGTH)[0][: _SIDE + LENGTH], axis=1, out=sums[:, 1:])
+        h = sums[:, LENGTH : LENGTH + _SIDE + 1] - sums[:, : _SIDE + 1]  # windows that start _SIDE, ..., 0 bytes before
+    before = np.arange(_SIDE, -1, -1)
+    left = np.array([len(x[2]) for x in members])
+    right = np.array([len(x[0]) for x in members])
+    valid = (before <= left[:, None]) & (LENGTH - before <= right[:, None])
+    h = np.where(valid, mix(h), np.arange(m, dtype=np.uint64)[:, None])  # no twin of an invalid window
+    order = np.argsort(h, axis=0, kind="stable")
+    ranked, ok = np.take_along_axis(h, order, 0), np.take_along_axis(valid, order, 0)
+    twin = np.zeros((m, _SIDE + 1), bool)
+    same = (ranked[1:] == ranked[:-1]) & ok[1:] & ok[:-1]
+    twin[1:] |= same
+    twin[:-1] |= same
+    found = np.zeros_like(twin)
+    np.put_along_axis(found, order, twin, 0)
+    some = found.any(1)
+    first, last = found.argmax(1), _SIDE - found[:, ::-1].argmax(1)
+    return [(int(before[a]), LENGTH - int(before[z])) if x else (0, 0) for x, a, z in zip(some, first, last, strict=True)]
+
+
 def reaches(members: list[tuple]) -> Iterator[tuple[int, int, int]]:
     """Repeated bytes (text number, start, end) around the anchors of one class, given in suffix
     order as (right, prefix shared with the one before, left, text number, place)."""
@@ -227,21 +259,8 @@ def reaches(members: list[tuple]) -> Iterator[tuple[int, int, int]]:
                 if l + r >= LENGTH:
                     for x in (best[i], best[j]):
                         x[0], x[1] = max(x[0], l), max(x[1], r)
-    else:  # by the windows' contents; s is how far a window starts before the anchor
-        seen: dict[tuple[int, bytes], int] = {}
-        for right, _, left, _, _ in members:
-            whole = left[::-1] + right
-            for s in range(max(0, LENGTH - len(right)), len(left) + 1):
-                key = (s, hashlib.blake2b(whole[len(left) - s : len(left) - s + LENGTH], digest_size=16).digest())
-                seen[key] = seen.get(key, 0) + 1
-        best = []
-        for right, _, left, _, _ in members:
-            whole = left[::-1] + right
-            lo = hi = None
-            for s in range(max(0, LENGTH - len(right)), len(left) + 1):
-                if seen[s, hashlib.blake2b(whole[len(left) - s : len(left) - s + LENGTH], digest_size=16).digest()] > 1:
-                    lo, hi = (s if lo is None else lo), s
-            best.append([hi, LENGTH - lo] if lo is not None else [0, 0])
+    else:
+        best = _reaches_by_content(members)
     for (_, _, _, d, p), (l, r) in zip(members, best, strict=True):
         if r:
             yield d, p - l, p + r
