@@ -28,13 +28,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, i64, join_unique, materialize, mix, text_chunks, word_hashes
+from .common import ascii_lower, i64, join_unique, materialize, mix, n_partitions, text_chunks, word_hashes
 
 BANDS, ROWS = 42, 6
 BINS = BANDS * ROWS
 #: Agreeing sketch bits under which a pair can be passed over: at J = 0.8 they are 0.9 of
-#: 252, with a deviation of 4.8; 189 is 8 deviations below.
-LEAST_AGREEING = 189
+#: 252, with a deviation of 4.8; 200 is over 5 deviations below (one such pair in a hundred million).
+LEAST_AGREEING = 200
 
 
 def shingle_hashes(data: np.ndarray, off: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -136,20 +136,22 @@ def set_maker(k: int):
     return run
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame, parts: int | None = None, max_rounds: int = 60) -> DataFrame:
     """(node, label): label is the smallest node reachable. edges: (a, b), any order.
 
     Each round every node takes the smallest label around it (a partial aggregation) and
-    then the label of its label; rounds fall with the logarithm of the diameter."""
+    then the label of its label; rounds fall with the logarithm of the diameter.
+    parts: tasks and files of the tables in between, which are far smaller than the corpus."""
+    parts = parts or n_partitions(edges.sparkSession)
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    both = materialize(both, "edges")
-    labels = materialize(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("label")), "labels")
+    both = materialize(both.coalesce(parts), "edges")
+    labels = materialize(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("label")).coalesce(parts), "labels")
     for _ in range(max_rounds):
         near = both.join(labels, both.b == labels.node).groupBy("a").agg(F.min("label").alias("near"))
         step = labels.join(near.withColumnRenamed("a", "node"), "node", "left").select("node", F.col("label").alias("old"), F.least("label", F.coalesce("near", "label")).alias("label"))
         up = labels.select(F.col("node").alias("label"), F.col("label").alias("up"))
         step = step.join(up, "label", "left").select("node", "old", F.least("label", F.coalesce("up", "label")).alias("label"))
-        step = materialize(step, "labels")
+        step = materialize(step.coalesce(parts), "labels")
         moved = step.where("old <> label").limit(1).count()
         labels = step.select("node", "label")
         if not moved:
@@ -157,6 +159,10 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     raise RuntimeError("components did not settle")
 
 
+def _parts(spark: SparkSession, rows: int) -> int:
+    return max(1, min(n_partitions(spark), rows // 50_000))
+
+
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """One row per row of docs: doc_id, n_shingles, component_id, kept, n_copies (rows with
     the same set). Two texts are linked when 100 * |A & B| >= percent * |A | B|.
@@ -164,6 +170,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     k: words in a shingle. percent: 80 or more; the bands are laid out for that."""
     if percent < 80:
         raise ValueError("the bands are laid out for a similarity of 0.8 or more")
+    spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
     signed = materialize(docs.mapInArrow(signer(k), SIG_SCHEMA), "signed")
     total = signed.count()
@@ -177,13 +184,15 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     members = classes.select("rep", F.posexplode("bands").alias("band", "bucket"))
     crowded = members.groupBy("band", "bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     turn = (F.xxhash64("rep", "band", "bucket") / F.lit(2.0**64) + 0.5).alias("turn")  # 0 to 1
-    members = materialize(members.join(crowded, ["band", "bucket"]).select("band", "bucket", "size", "rep", turn), "members")
+    members = members.join(crowded, ["band", "bucket"]).select("band", "bucket", "size", "rep", turn)
+    members = materialize(members.join(classes.select("rep", "n", "sketch"), "rep"), "members")
     sets = docs.withColumnRenamed("doc_id", "rep").join(members.select("rep").distinct(), "rep").mapInArrow(set_maker(k), "rep bigint, shingles array<bigint>")
     if signed.groupBy("doc_id").count().where("count > 1").limit(1).count():
         sets = sets.distinct()
     sets = materialize(sets, "sets")
-    links = materialize(_links(members, classes.select("rep", "n", "sketch"), sets, percent), "links")
-    labels = connected_components(links) if links.limit(1).count() else None
+    links = _links(members, sets, percent)
+    n_links = links.count()
+    labels = connected_components(links, _parts(spark, n_links)) if n_links else None
     named = classes.select("set_a", "set_b", "rep", "n_copies")
     if labels is not None:
         named = named.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("label", "rep"))
@@ -197,43 +206,54 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def _links(members: DataFrame, info: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Confirmed links between classes; enough of them for all components."""
+def _links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Confirmed links between classes; enough of them for all components.
+
+    The first centre of a bucket is the member that meets most others over all bands: the
+    text that near copies were made from, where there is one. Later centres are drawn by
+    hash, four times as many a round."""
     spark = members.sparkSession
     links = spark.createDataFrame([], "a bigint, b bigint")
     failed = spark.createDataFrame([], "a bigint, b bigint")
-    live = members.withColumn("label", F.col("rep"))
     bucket = ["band", "bucket"]
+    meets = members.groupBy("rep").agg(F.sum("size").alias("meets"))
+    live = members.join(meets, "rep").withColumn("label", F.col("rep"))
     agree = F.lit(0)
     for i in range(4):
-        agree = agree + F.bit_count(F.col("sk_a")[i].bitwiseXOR(F.col("sk_b")[i]))
+        agree = agree + F.bit_count(F.col("sketch")[i].bitwiseXOR(F.col("c_sketch")[i]))
     shared = F.size(F.array_intersect("set_a", "set_b"))
     had, want = 0, 1
     while True:
-        if not had:  # one centre: the first of its bucket by a hash
-            picked = live.join(live.groupBy(bucket).agg(F.min("turn").alias("least")), bucket).where("turn = least")
-        else:  # about want - had more: the next slice of the same hash
+        if not had:
+            first = live.groupBy(bucket).agg(F.max(F.struct("meets", (-F.col("rep")).alias("rep"))).alias("c")).select(*bucket, (-F.col("c.rep")).alias("rep"))
+            picked = live.join(first, [*bucket, "rep"])
+        else:  # the slice of the bucket's members between had and want
             picked = live.where(F.col("turn") < F.lit(want) / F.col("size")).where(F.col("turn") >= F.lit(had if had > 1 else 0) / F.col("size"))
-        centres = picked.select(*bucket, F.col("rep").alias("c"), F.col("label").alias("cl"))
-        pairs = live.join(centres, bucket).where("label <> cl").select(F.least("rep", "c").alias("a"), F.greatest("rep", "c").alias("b")).distinct()
+        centres = picked.select(*bucket, F.col("rep").alias("c"), F.col("label").alias("cl"), F.col("n").alias("c_n"), F.col("sketch").alias("c_sketch"))
+        swap = F.col("rep") > F.col("c")
+        ends = [F.least("rep", "c").alias("a"), F.greatest("rep", "c").alias("b"), F.when(swap, F.col("cl")).otherwise(F.col("label")).alias("la"), F.when(swap, F.col("label")).otherwise(F.col("cl")).alias("lb")]
+        alike = (100 * F.least("n", "c_n") >= percent * F.greatest("n", "c_n")) & (agree <= BINS - LEAST_AGREEING)
+        near = live.join(centres, bucket).where("label <> cl").where(alike).select(*ends).distinct()
         if had:
-            pairs = pairs.join(failed, ["a", "b"], "left_anti")
-        for x in ("a", "b"):
-            pairs = pairs.join(info.select(F.col("rep").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"sk_{x}")), x)
-        near = pairs.where(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")).where(agree <= BINS - LEAST_AGREEING).select("a", "b")
+            near = near.join(failed, ["a", "b"], "left_anti")
         for x in ("a", "b"):
             near = near.join(sets.select(F.col("rep").alias(x), F.col("shingles").alias(f"set_{x}")), x)
-        tested = materialize(near.select("a", "b", (100 * shared >= percent * (F.size("set_a") + F.size("set_b") - shared)).alias("ok")), "tested")
+        ok = 100 * shared >= percent * (F.size("set_a") + F.size("set_b") - shared)
+        tested = materialize(near.select("a", "b", "la", "lb", ok.alias("ok")), "tested")
         links = links.unionByName(tested.where("ok").select("a", "b"))
         failed = failed.unionByName(tested.where("NOT ok").select("a", "b"))
-        if tested.where("ok").limit(1).count():
-            labels = connected_components(links)
-            live = live.drop("label").join(labels.select(F.col("node").alias("rep"), "label"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
-        had, want = want, max(2, 2 * want)
-        open_ = live.groupBy(bucket).agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.max("size").alias("of")).where(f"lo <> hi AND (of > {had} AND {had} > 1 OR {had} = 1 AND of > 2)")
-        live = materialize(live.join(open_.select(bucket), bucket, "left_semi"), "live")
-        if not live.limit(1).count():
+        found = tested.where("ok").count()
+        if found:  # components of components: only this round's links
+            now = connected_components(tested.where("ok").select(F.col("la").alias("a"), F.col("lb").alias("b")), _parts(spark, found))
+            live = live.join(now.select(F.col("node").alias("label"), F.col("label").alias("now")), "label", "left").withColumn("label", F.coalesce("now", "label")).drop("now")
+        had, want = want, 4 * want
+        spread = live.groupBy(bucket).agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select(bucket)
+        live = live.where(F.col("size") > (2 if had == 1 else had)).join(spread, bucket, "left_semi")
+        live = materialize(live.drop("meets"), "live")
+        left = live.count()
+        if not left:
             return links
+        live = live.coalesce(_parts(spark, 10 * left))
 
 
 def op10_minhash_dedup(spark: SparkSession, docs: DataFrame) -> DataFrame:
