@@ -21,6 +21,7 @@ from __future__ import annotations
 import re
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -105,11 +106,13 @@ def masked(crc: np.ndarray) -> np.ndarray:
 # ---------------------------------------------------------------- tokenizing
 class Encoder:
     """Encodes texts with a tokenizer file that drops white space, through a table of the
-    words that this worker has met (bounded; it starts anew when full). A word goes through
-    the whole tokenizer, or, if it is plain ASCII letters, straight through its model."""
+    words that this worker has met lately (two generations of bounded size; when the newer is
+    full it becomes the older, so that frequent words stay). A word goes through
+    the whole tokenizer, or, if it is Latin letters and at most one mark after them - which
+    its normalizer only lower-cases and its splitter parts - straight through the model."""
 
-    MOST_WORDS = 600_000
-    _PLAIN = re.compile(r"[A-Za-z]+\Z")
+    MOST_WORDS = 120_000
+    _PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]?)\\Z")
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -117,18 +120,32 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.vocab_size = self.tokenizer.get_vocab_size(with_added_tokens=True)
-        self.known: dict[str, np.ndarray] = {}
-
-    def word(self, w: str) -> np.ndarray:
+        # the byte alphabet of byte-level models: printable bytes as they are, others from 256 on
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        others = [b for b in range(256) if b not in shown]
+        self.letters = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(others)}
+        self.marks = {m: self.tokenizer.encode(m, add_special_tokens=False).ids for m in ".,;:!?"} | {"": []}
+        self.known: dict[str, bytes] = {}  # ids as uint32
+        self.older: dict[str, bytes] = {}
+
+    def word(self, w: str) -> bytes:
         got = self.known.get(w)
+        if got is not None:
+            return got
+        got = self.older.get(w)
         if got is None:
-            if self._PLAIN.match(w):
-                ids = [t.id for t in self.model.tokenize(w.lower())]
+            plain = self._PLAIN.match(w)
+            if plain:
+                letters = plain[1].lower()
+                if not letters.isascii():
+                    letters = "".join(map(self.letters.__getitem__, letters.encode()))
+                ids = [t.id for t in self.model.tokenize(letters)] + self.marks[plain[2]]
             else:
                 ids = self.tokenizer.encode(w, add_special_tokens=False).ids
-            if len(self.known) >= self.MOST_WORDS:
-                self.known.clear()
-            got = self.known[w] = np.array(ids, np.uint32)
+            got = array("I", ids).tobytes()
+        if len(self.known) >= self.MOST_WORDS:
+            self.known, self.older = {}, self.known
+        self.known[w] = got
         return got
 
     def encode(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
@@ -136,10 +153,10 @@ class Encoder:
         n = len(texts)
         words = pc.split_pattern_regex(texts.fill_null(""), "[ \\n\\t\\r]+")
         coded = words.flatten().dictionary_encode()
-        table = [self.word(w) for w in coded.dictionary.to_pylist()]
-        sizes = np.array([len(x) for x in table], np.int64)
+        table = [self.known.get(w) or self.word(w) for w in coded.dictionary.to_pylist()]
+        sizes = np.array([len(x) // 4 for x in table], np.int64)
         begin = np.cumsum(sizes) - sizes
-        flat = np.concatenate(table) if table else np.zeros(0, np.uint32)
+        flat = np.frombuffer(b"".join(table), np.uint32)
         code = coded.indices.to_numpy(zero_copy_only=False)
         per_word = sizes[code]
         counts = np.diff(words.offsets.to_numpy())
@@ -192,7 +209,7 @@ def write_records(docs: DataFrame, folder: str, tokenizer: str, end: int = END_I
         store, path = _store(folder)
         out, at, nth = None, 0, 0
         try:
-            for batch, _, _ in text_chunks(batches, "text"):
+            for batch, _, _ in text_chunks(batches, "text", 4 << 20):  # the larger, the more words repeat
                 if out is None:
                     store.create_dir(path, recursive=True)
                     out = store.open_output_stream(f"{path}/{name}")
@@ -230,59 +247,68 @@ def write_records(docs: DataFrame, folder: str, tokenizer: str, end: int = END_I
     return spark.read.parquet(f"{folder}/index")
 
 
-def read_records(index: DataFrame, folder: str, vocab_size: int = 49408) -> DataFrame:
-    """doc_id, start, n_tokens, ids of every record that the index names, checksums verified.
+def _verified(batches: Iterator[pa.RecordBatch], folder: str, kind: np.dtype) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """(index rows, their ids one after the other, offsets in ids), records read and checksums verified.
     Reads are sequential where the index rows of a batch are in file order."""
-    kind = np.dtype("<u2" if vocab_size <= 65536 else "<u4")
+    store, path = _store(folder)
+    name, source = None, None
+    for big in batches:
+        for k in range(0, big.num_rows, 1000):
+            batch = big.slice(k, 1000)
+            raw = []
+            for f, at, size in zip(batch.column("file").to_pylist(), batch.column("offset").to_pylist(), batch.column("length").to_pylist(), strict=True):
+                if f != name:
+                    if source is not None:
+                        source.close()
+                    name, source = f, store.open_input_file(f"{path}/{f}")
+                source.seek(at)
+                raw.append(source.read(size))
+            size = np.array([len(x) for x in raw], np.int64)
+            data = np.frombuffer(b"".join(raw), np.uint8)
+            start = np.cumsum(size) - size
+            n = len(raw)
+            head = data[start[:, None] + np.arange(8)]
+            length = np.ascontiguousarray(head).view("<u8").ravel().astype(np.int64)
+            if (length != size - FRAME).any():
+                raise ValueError("a record's length disagrees with the index")
+            take = lambda at, w: np.ascontiguousarray(data[at[:, None] + np.arange(w)])
+            off = np.concatenate([[0], np.cumsum(length)])
+            body = data[np.repeat(start + 12 - off[:-1], length) + np.arange(off[-1])]
+            if (take(start + 8, 4).view("<u4").ravel() != masked(crc32c(head.ravel(), np.arange(0, 8 * n + 1, 8)))).any():
+                raise ValueError("a record's length fails its checksum")
+            if (take(start + 12 + length, 4).view("<u4").ravel() != masked(crc32c(body, off))).any():
+                raise ValueError("a record fails its checksum")
+            yield batch, body.view(kind), off // kind.itemsize
+
+
+def _kind(vocab_size: int) -> np.dtype:
+    return np.dtype("<u2" if vocab_size <= 65536 else "<u4")
+
+
+_PLACES = ["doc_id", "start", "file", "offset", "length"]
+
+
+def read_records(index: DataFrame, folder: str, vocab_size: int = 49408) -> DataFrame:
+    """doc_id, start, n_tokens, ids of every record that the index names."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, path = _store(folder)
-        name, source = None, None
-        for big in batches:
-            for k in range(0, big.num_rows, 1000):
-                batch = big.slice(k, 1000)
-                raw = []
-                for f, at, size in zip(batch.column("file").to_pylist(), batch.column("offset").to_pylist(), batch.column("length").to_pylist(), strict=True):
-                    if f != name:
-                        if source is not None:
-                            source.close()
-                        name, source = f, store.open_input_file(f"{path}/{f}")
-                    source.seek(at)
-                    raw.append(source.read(size))
-                size = np.array([len(x) for x in raw], np.int64)
-                data = np.frombuffer(b"".join(raw), np.uint8)
-                start = np.cumsum(size) - size
-                n = len(raw)
-                head = data[start[:, None] + np.arange(8)]
-                length = np.ascontiguousarray(head).view("<u8").ravel().astype(np.int64)
-                if (length != size - FRAME).any():
-                    raise ValueError("a record's length disagrees with the index")
-                take = lambda at, w: np.ascontiguousarray(data[at[:, None] + np.arange(w)])
-                off = np.concatenate([[0], np.cumsum(length)])
-                body = data[np.repeat(start + 12 - off[:-1], length) + np.arange(off[-1])]
-                if (take(start + 8, 4).view("<u4").ravel() != masked(crc32c(head.ravel(), np.arange(0, 8 * n + 1, 8)))).any():
-                    raise ValueError("a record's length fails its checksum")
-                if (take(start + 12 + length, 4).view("<u4").ravel() != masked(crc32c(body, off))).any():
-                    raise ValueError("a record fails its checksum")
-                ids = pa.array(body.view(kind).astype(np.int32))
-                lists = pa.ListArray.from_arrays(pa.array((off // kind.itemsize).astype(np.int32)), ids)
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("start"), pa.array(length // kind.itemsize), lists], ["doc_id", "start", "n_tokens", "ids"])
-
-    columns = index.select("doc_id", "start", "file", "offset", "length")
-    return columns.mapInArrow(run, "doc_id bigint, start bigint, n_tokens bigint, ids array<int>")
-
-
-def record_checks(index: DataFrame, folder: str) -> DataFrame:
+        for batch, ids, off in _verified(batches, folder, _kind(vocab_size)):
+            lists = pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(ids.astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("start"), pa.array(np.diff(off)), lists], ["doc_id", "start", "n_tokens", "ids"])
+
+    return index.select(_PLACES).mapInArrow(run, "doc_id bigint, start bigint, n_tokens bigint, ids array<int>")
+
+
+def record_checks(index: DataFrame, folder: str, vocab_size: int = 49408) -> DataFrame:
     """doc_id, start, n_tokens and the CRC-32 of the ids as little-endian uint32, from the files."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            ids = b.column("ids")
-            flat, off = ids.flatten().to_numpy().astype("<u4"), (ids.offsets.to_numpy() - ids.offsets[0].as_py())
-            crc = [zlib.crc32(flat[off[i] : off[i + 1]]) for i in range(b.num_rows)]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("start"), b.column("n_tokens"), pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
+        for batch, ids, off in _verified(batches, folder, _kind(vocab_size)):
+            wide = ids.astype("<u4")
+            crc = [zlib.crc32(wide[off[i] : off[i + 1]]) for i in range(batch.num_rows)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("start"), pa.array(np.diff(off)), pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return read_records(index, folder).mapInArrow(run, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+    return index.select(_PLACES).mapInArrow(run, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
 
 
 def default_tokenizer() -> str:
