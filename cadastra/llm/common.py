@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that one vectorised step handles (a single longer text is handled alone).
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 _MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15 | 1
 

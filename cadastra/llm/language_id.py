@@ -37,7 +37,7 @@ CALIBRATION_DOCS = 400
 #: A text is rejected when its cross-entropy is this many nats a character above what is
 #: usual in its language, and over Z deviations for its length.
 SLACK, Z = 0.9, 6.0
-_CHUNK_CHARS = 2_000_000
+_CHUNK_CHARS = 400_000
 _SPACE = 32
 
 
