@@ -47,8 +47,8 @@ from .common import Rolling, i64, join_unique, materialize, mix, n_partitions, t
 
 LENGTH = 400
 SEED = 200
-#: Anchors of one hash that a task may hold: 600 bytes each.
-HOT = 4000
+#: Anchors of one hash that a task may hold: 600 bytes each, and some 10 KB each while they are compared.
+HOT = 20_000
 #: Classes up to this size are compared pair by pair.
 PAIRS = 8
 #: Anchors in a run.
