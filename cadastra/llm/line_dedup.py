@@ -95,8 +95,9 @@ def line_decisions(docs: DataFrame) -> DataFrame:
     # step 2
     each = cands.select("uid", "words", F.size("words").alias("n"), F.explode(F.sequence(F.lit(1), F.size("words"))).alias("i"))
     without = F.concat(F.slice("words", 1, F.col("i") - 1), F.slice("words", F.col("i") + 1, F.col("n")))
-    variants = each.select("uid", "n", "i", F.xxhash64(without).alias("v"))
-    replaced = variants.select("uid", F.xxhash64("n", "i", "v").alias("key"))
+    variants = each.select("uid", "n", "i", F.xxhash64(without).alias("v")).select("uid", F.xxhash64("n", "i", "v").alias("key"), "v")
+    variants = materialize(variants, "variants")  # 24 bytes each, read three times
+    replaced = variants.select("uid", "key")
     groups = replaced.groupBy("key").agg(F.min("uid").alias("first"), F.max("uid").alias("last")).where("first <> last")
     one = replaced.join(groups, "key").where("uid <> first").select("uid", F.col("first").alias("match"))
     whole = cands.select(F.col("uid").alias("whole"), F.xxhash64("words").alias("v"))
