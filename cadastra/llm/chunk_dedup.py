@@ -72,46 +72,49 @@ def cuts(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.
     return np.array(starts, np.int64), np.array(ends, np.int64), np.array(owner, np.int64)
 
 
-CHUNK_SCHEMA = "doc_id bigint, tid bigint, start int, size int, da bigint, db bigint"
+CHUNK_SCHEMA = "doc_id bigint, tid bigint, start array<int>, size array<smallint>, da array<bigint>, db array<bigint>"
 
 
 def chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each text, with its chunks' places, sizes and digests."""
     for batch, data, off in text_chunks(batches, "text"):
         s, e, doc = cuts(data, off)
-        n = len(s)
-        ids = batch.column("doc_id").cast(pa.int64())
+        ends = pa.array(np.concatenate([[0], np.cumsum(np.bincount(doc, minlength=batch.num_rows))]).astype(np.int32))
+        columns = [
+            pa.array((s - off[doc]).astype(np.int32)) if len(s) else pa.array([], pa.int32()),
+            pa.array((e - s).astype(np.int16)),
+            i64(Rolling(data, 11).ranges(s, e)),
+            i64(Rolling(data, 12).ranges(s, e)),
+        ]
         yield pa.RecordBatch.from_arrays(
-            [
-                ids.take(pa.array(doc)),
-                batch.column("tid").take(pa.array(doc)),
-                pa.array((s - off[doc]).astype(np.int32)) if n else pa.array([], pa.int32()),
-                pa.array((e - s).astype(np.int32)) if n else pa.array([], pa.int32()),
-                i64(Rolling(data, 11).ranges(s, e)),
-                i64(Rolling(data, 12).ranges(s, e)),
-            ],
+            [batch.column("doc_id").cast(pa.int64()), batch.column("tid"), *(pa.ListArray.from_arrays(ends, c) for c in columns)],
             ["doc_id", "tid", "start", "size", "da", "db"],
         )
 
 
 def chunk_decisions(docs: DataFrame) -> DataFrame:
-    """For each text that has a later chunk: doc_id, tid and its later chunks (start, size)."""
+    """For each text that has a later chunk: doc_id, tid and its later chunks (start, size).
+
+    Chunks whose first 64 bits of digest occur once go before anything wider is shuffled."""
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("tid", F.xxhash64("text"))
-    chunks = materialize(texts.mapInArrow(chunk, CHUNK_SCHEMA), "chunks")
+    chunked = materialize(texts.mapInArrow(chunk, CHUNK_SCHEMA), "chunks")
+    often = chunked.select(F.explode("da").alias("da")).groupBy("da").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
+    often = materialize(often, "repeated-halves")
+    total = often.agg(F.coalesce(F.sum("copies"), F.lit(0))).first()[0]
+    x = F.explode(F.arrays_zip("start", "size", "da", "db")).alias("x")
+    each = chunked.select("doc_id", "tid", x).select("doc_id", "tid", (F.col("x.start") * F.lit(512).cast("bigint") + F.col("x.size")).alias("at"), F.col("x.da").alias("da"), F.col("x.db").alias("db"))
+    chunks = materialize(join_unique(each, often, ["da"], "copies", max(total, 1), "inner").drop("copies"), "repeated-chunks")
     # a number that orders chunks within 64 bits is not at hand: the first text, then the first place in it
-    firsts = (
-        chunks.groupBy("da", "db")
-        .agg(F.min(F.coalesce("doc_id", F.lit(-(2**63)))).alias("first"), F.count(F.lit(1)).alias("copies"))
-        .where("copies > 1")
-    )
-    firsts = materialize(firsts, "repeated-chunks")
-    total = firsts.agg(F.coalesce(F.sum("copies"), F.lit(0))).first()[0]
-    copies = join_unique(chunks, firsts, ["da", "db"], "copies", max(total, 1), "inner")
-    copies = copies.withColumn("own", F.col("doc_id").eqNullSafe(F.nullif("first", F.lit(-(2**63)))))
+    nowhere = F.lit(-(2**63))
+    firsts = chunks.groupBy("da", "db").agg(F.min(F.coalesce("doc_id", nowhere)).alias("first"), F.count(F.lit(1)).alias("copies")).where("copies > 1")
+    copies = join_unique(chunks, materialize(firsts, "first-chunks"), ["da", "db"], "copies", max(total, 1), "inner")
+    copies = copies.withColumn("own", F.col("doc_id").eqNullSafe(F.nullif("first", nowhere)))
     # within the first text, its first place stays
-    inside = copies.where("own").groupBy("da", "db").agg(F.min(F.struct("tid", "start")).alias("at"))
-    own = copies.where("own").join(inside, ["da", "db"]).where(F.struct("tid", "start") != F.col("at"))
-    later = copies.where("NOT own").select("doc_id", "tid", "start", "size").unionByName(own.select("doc_id", "tid", "start", "size"))
-    return later.groupBy("doc_id", "tid").agg(F.array_sort(F.collect_set(F.struct("start", "size"))).alias("later"))
+    inside = copies.where("own").groupBy("da", "db").agg(F.min(F.struct("tid", "at")).alias("home"))
+    own = copies.where("own").join(inside, ["da", "db"]).where(F.struct("tid", "at") != F.col("home"))
+    later = copies.where("NOT own").select("doc_id", "tid", "at").unionByName(own.select("doc_id", "tid", "at"))
+    places = F.transform(F.array_sort(F.collect_set("at")), lambda a: F.struct(F.shiftright(a, 9).cast("int").alias("start"), (a % 512).cast("int").alias("size")))
+    return later.groupBy("doc_id", "tid").agg(places.alias("later"))
 
 
 def repeated_spans(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
