@@ -103,16 +103,25 @@ class Passages:
         self.point_norms = np.sqrt((self.points**2).sum(1))
 
 
-def block_terms(p: Passages, h: np.ndarray, doc: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct (block, term) pairs of the texts' blocks; each block's text; the first block of each text."""
+def blocks_of(h: np.ndarray, doc: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Each text's number of words, first word and first block; each block's text."""
     count = np.bincount(doc, minlength=n)
-    first_word = np.cumsum(count) - count
     blocks = -(-count // BLOCK)
-    first_block = np.cumsum(blocks) - blocks
+    return count, np.cumsum(count) - count, np.cumsum(blocks) - blocks, np.repeat(np.arange(n), blocks)
+
+
+def weighty_terms(p: Passages, h: np.ndarray, doc: np.ndarray, layout: tuple) -> tuple[np.ndarray, np.ndarray]:
+    """(block, term) of all words that are terms with a weight, with repeats."""
+    _, first_word, first_block, _ = layout
     term, where = p.find(h)
-    block = first_block[doc[where]] + (where - first_word[doc[where]]) // BLOCK
+    use = p.weights[term] > 0
+    term, where = term[use], where[use]
+    return first_block[doc[where]] + (where - first_word[doc[where]]) // BLOCK, term
+
+
+def distinct(p: Passages, block: np.ndarray, term: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     code = np.unique(block * len(p.terms) + term)
-    return code // len(p.terms), code % len(p.terms), np.repeat(np.arange(n), blocks), first_block
+    return code // len(p.terms), code % len(p.terms)
 
 
 def _document_frequencies(docs: DataFrame, passages: list[Passages]) -> tuple[list[np.ndarray], int]:
@@ -122,11 +131,16 @@ def _document_frequencies(docs: DataFrame, passages: list[Passages]) -> tuple[li
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms = shared.value
         df, rows = np.zeros(len(terms), np.int64), 0
-        for batch, data, off in text_chunks(batches, "text"):
+        for batch, data, off in text_chunks(batches, "text", 1 << 20):
             h, doc = word_hashes(ascii_lower(data), off)
             at = np.minimum(np.searchsorted(terms, h), len(terms) - 1)
             ok = terms[at] == h
-            df += np.bincount(np.unique(doc[ok] * len(terms) + at[ok]) % len(terms), minlength=len(terms))
+            if batch.num_rows * len(terms) <= 1 << 25:  # a small table is faster than sorting
+                there = np.zeros((batch.num_rows, len(terms)), bool)
+                there[doc[ok], at[ok]] = True
+                df += there.sum(0)
+            else:
+                df += np.bincount(np.unique(doc[ok] * len(terms) + at[ok]) % len(terms), minlength=len(terms))
             rows += batch.num_rows
         at = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(df[at], rows))], ["term", "n"])
@@ -153,9 +167,7 @@ def _corpus_ranges(docs: DataFrame, passages: list[Passages]) -> list[np.ndarray
         for batch, data, off in text_chunks(batches, "text"):
             h, doc = word_hashes(ascii_lower(data), off)
             for p, g, y in zip(passages, tests, out, strict=True):
-                block, term, _, _ = block_terms(p, h, doc, batch.num_rows)
-                useful = p.weights[term] > 0
-                block, term = block[useful], term[useful]
+                block, term = distinct(p, *weighty_terms(p, h, doc, blocks_of(h, doc, batch.num_rows)))
                 if not len(block):
                     continue
                 new = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
@@ -199,10 +211,11 @@ def lcs_length(a: list[int], b: list[int]) -> int:
 
 def search(p: Passages, h: np.ndarray, doc: np.ndarray, n: int) -> Iterator[tuple[int, int, float, float, float]]:
     """(text, item, cosine, LCS share, answer share) of all confirmed windows."""
-    block, term, owner, _ = block_terms(p, h, doc, n)
+    layout = count, first_word, first_block, owner = blocks_of(h, doc, n)
+    block, term = weighty_terms(p, h, doc, layout)
     if not len(block) or not len(p.ids):
         return
-    # no window with less weight than this can share enough with any passage
+    # no window with less weight than this, repeats counted, can share enough with any passage
     weight = np.bincount(block, weights=p.weights[term] ** 2, minlength=len(owner))
     pair = np.sqrt(weight)
     pair[:-1] += np.where(owner[1:] == owner[:-1], np.sqrt(weight[1:]), 0)
@@ -210,7 +223,7 @@ def search(p: Passages, h: np.ndarray, doc: np.ndarray, n: int) -> Iterator[tupl
     need = hopeful.copy()
     need[1:] |= hopeful[:-1]
     use = need[block]
-    block, term = block[use], term[use]
+    block, term = distinct(p, block[use], term[use])
     if not len(block):
         return
     new = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
@@ -218,10 +231,6 @@ def search(p: Passages, h: np.ndarray, doc: np.ndarray, n: int) -> Iterator[tupl
     z = np.add.reduceat(p.weighted[term], new, 0)
     at = np.full(len(owner) + 1, -1)
     at[have] = np.arange(len(have))
-    count = np.bincount(doc, minlength=n)
-    first_word = np.cumsum(count) - count
-    blocks = -(-count // BLOCK)
-    first_block = np.cumsum(blocks) - blocks
     windows = np.flatnonzero(hopeful)
     for k in range(0, len(windows), 4096):
         w = windows[k : k + 4096]
