@@ -523,7 +523,7 @@ def palette_hex(t):
 # ---------------------------------------------------------------- order-dependent and iterative steps (tested by invariants)
 @query()
 def bisect_mixed_cells(t):
-    pieces = labels.label_blocks(points(t), cells(t), "cell", "label", 5.0, max_depth=10)
+    pieces = labels.label_blocks(points(t), cells(t), "cell", "label", 5.0, max_depth=3)
     return pieces.select("cell", "path", "label", r6(g.area(F.col("poly"))).alias("area"))
 
 
