@@ -1,18 +1,18 @@
 """LM scoring with a probabilistic suffix tree over words.
 
-Symbols are the most frequent words, the end of a text, and one class for all other
-words (a word of that class has the class's probability times its own smoothed share
-of the class). Contexts of up to DEPTH symbols are states of the tree if they are
-frequent (at least P_MIN of all tokens) and if their next-symbol distribution diverges
-from that of their longest proper suffix: some symbol's probability has a ratio of at
-least RATIO either way and a log-likelihood gain over the pruning bound. A state's
-distribution is smoothed with its parent's (absolute discounting). A token is scored in
-the longest suffix state of what came before it in its text.
-
-What is kept on every task is bounded whatever the corpus: at most 1 / P_MIN contexts a
-length, at most 1 / P_ENTRY next symbols of them, MOST_COUNTS word counts. All other
-word counts - most of the vocabulary - stay distributed and are joined by word hash.
-Counts cover all training documents. Words are compared by 64-bit hashes.
+Symbols are all words and the end of a text, by 64-bit hashes. Contexts of up to DEPTH
+symbols are states of the tree if they occur MIN_CONTEXT times, if their longest proper
+suffix is a state, and if their next-symbol distribution diverges from that suffix's: some
+symbol seen MIN_SYMBOL times has a probability ratio of at least RATIO either way and a
+log-likelihood gain over the pruning bound. No bound depends on the corpus: what is a state
+stays one as the corpus grows. A state's distribution is smoothed with its parent's (absolute
+discounting), the root's is that of the smoothed word counts. A token is scored in the longest
+suffix state of what came before it in its text.
+
+Word counts, states and all next symbols of states are Spark tables keyed by hash; texts are
+joined to them. What every task holds has a fixed size: MOST_COUNTS words and MOST_NEXTS next
+symbols, which only save rows of the joins, and bitmaps that may let a key pass that is in no
+table (the join drops it) but never hold back one that is. Counts cover all training documents.
 
 Defined cases: null text is empty and scores its end token; a document's own repeated
 rows are each scored; a null doc_id counts as the empty text for its crc32; without
@@ -22,26 +22,29 @@ training tokens every probability is that of an unseen word; extra columns are i
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import ascii_lower, crc_mod, i64, materialize, mix, text_chunks, word_hashes
 
-#: Frequent words that are symbols of their own; symbol 0 is the end, 1 all other words.
-SYMBOLS = 4094
-DEPTH = 2
-P_MIN = 2.0**-16
-P_ENTRY = 2.0**-20
+DEPTH = 3
+MIN_CONTEXT = 2
+MIN_SYMBOL = 2
 RATIO = 1.05
 GAIN = 6.0
 DISCOUNT = 0.75
-#: Word counts that every task holds: 12 bytes each.
+#: Word counts and next symbols that every task holds: 16 bytes each.
 MOST_COUNTS = 1 << 18
-END, OTHER = 0, 1
+MOST_NEXTS = 1 << 20
+#: Bits of a bitmap of keys, as a power of two.
+BITMAP = 26
 _END_HASH = int(mix(np.array([0xE0D0], np.uint64))[0])
+#: A state is found by its context's key xor this; next symbols have their own keys.
+_STATE = 0x5BD1E9955BD1E995
 _FLUSH = 3_000_000
 
 
@@ -53,43 +56,67 @@ def token_stream(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndar
     return np.insert(h, ends, np.uint64(_END_HASH)), np.insert(doc, ends, np.arange(n))
 
 
+def grams(h: np.ndarray, doc: np.ndarray, longest: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each length up to `longest`: the key of the tokens that end at each token, and whether its
+    text has so many. The key of one token is its hash."""
+    out = [(h, np.ones(len(h), bool))]
+    for k in range(1, longest):
+        g, ok = np.zeros(len(h), np.uint64), np.zeros(len(h), bool)
+        if len(h) > k:
+            ok[k:] = doc[k:] == doc[:-k]
+            with np.errstate(over="ignore"):
+                g[k:] = mix(out[-1][0][k:] * np.uint64(0x9E3779B97F4A7C15) + mix(h[:-k] + np.uint64(k)))
+        out.append((g, ok))
+    return out
+
+
+def before(x: np.ndarray) -> np.ndarray:
+    """The value of the token before."""
+    return np.concatenate([np.zeros(1, x.dtype), x[:-1]])[: len(x)]
+
+
 class _Sums:
-    """Counts of codes over a partition, given out when they grow large and at the end."""
+    """Counts of keys over a partition, with what belongs to a key, given out when they grow large and at the end."""
 
-    def __init__(self) -> None:
-        self.codes, self.counts, self.size = [], [], 0
+    def __init__(self, names: list[str]) -> None:
+        self.names, self.parts, self.size = names, [], 0
 
-    def add(self, codes: np.ndarray) -> bool:
-        u, c = np.unique(codes, return_counts=True)
-        self.codes.append(u)
-        self.counts.append(c)
-        self.size += len(u)
+    def add(self, *columns: np.ndarray, n: np.ndarray | None = None) -> bool:
+        self.parts.append(self._sum(columns, n))
+        self.size += len(self.parts[-1][-1])
         return self.size > _FLUSH
 
+    @staticmethod
+    def _sum(columns, n):
+        order = np.argsort(columns[0], kind="stable")
+        key = columns[0][order]
+        new = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
+        n = np.diff(np.append(new, len(key))) if n is None else np.add.reduceat(n[order], new) if len(new) else n
+        return [*(c[order[new]] for c in columns), n.astype(np.int64)]
+
     def take(self) -> pa.RecordBatch:
-        codes = np.concatenate(self.codes) if self.codes else np.zeros(0, np.uint64)
-        counts = np.concatenate(self.counts) if self.counts else np.zeros(0, np.int64)
-        order = np.argsort(codes, kind="stable")
-        codes, counts = codes[order], counts[order]
-        new = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]])) if len(codes) else np.zeros(0, np.int64)
-        sums = np.add.reduceat(counts, new) if len(new) else counts
-        self.codes, self.counts, self.size = [], [], 0
-        return pa.RecordBatch.from_arrays([i64(codes[new]), pa.array(sums.astype(np.int64))], ["code", "n"])
+        if self.parts:
+            *columns, n = (np.concatenate(c) for c in zip(*self.parts, strict=True))
+        else:
+            *columns, n = [*(np.zeros(0, np.uint64) for _ in self.names), np.zeros(0, np.int64)]
+        self.parts, self.size = [], 0
+        *columns, n = self._sum(columns, n)
+        return pa.RecordBatch.from_arrays([*(i64(c) for c in columns), pa.array(n)], [*self.names, "n"])
+
 
+def _count(docs: DataFrame, names: list[str], columns_of) -> DataFrame:
+    """The first name's keys with their counts; the other columns depend on the key."""
 
-def _counter(codes_of):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = _Sums()
+        sums = _Sums(names)
         for _, data, off in text_chunks(batches, "text"):
-            if sums.add(codes_of(data, off)):
+            if sums.add(*columns_of(data, off)):
                 yield sums.take()
         yield sums.take()
 
-    return run
-
-
-def _count(docs: DataFrame, codes_of) -> DataFrame:
-    return docs.select("text").mapInArrow(_counter(codes_of), "code bigint, n bigint").groupBy("code").agg(F.sum("n").alias("n"))
+    rest = [F.min(c).alias(c) for c in names[1:]]
+    schema = ", ".join(f"{c} bigint" for c in [*names, "n"])
+    return docs.select("text").mapInArrow(run, schema).groupBy(names[0]).agg(*rest, F.sum("n").alias("n"))
 
 
 class SortedTable:
@@ -107,168 +134,228 @@ class SortedTable:
         return at, self.keys[at] == keys
 
 
+class Bitmap:
+    """Of keys, by their highest bits: a key that is in no table may pass, one that is always does."""
+
+    def __init__(self, keys: DataFrame):
+        self.words = np.zeros(1 << (BITMAP - 6), np.int64)
+        at = F.shiftrightunsigned("key", 64 - BITMAP)
+        bit = F.expr(f"bit_or(shiftleft(1L, CAST(shiftrightunsigned(key, {64 - BITMAP}) & 63 AS INT)))")
+        got = keys.groupBy(F.shiftright(at, 6).alias("word")).agg(bit.alias("bits")).toArrow()  # a row a word of the bitmap at most
+        self.words[_column(got, "word")] = _column(got, "bits")
+        self.words = self.words.view(np.uint64)
+
+    def may_have(self, keys: np.ndarray) -> np.ndarray:
+        at = keys >> np.uint64(64 - BITMAP)
+        return (self.words[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+
+
 def _column(table: pa.Table, name: str) -> np.ndarray:
     return table.column(name).to_numpy().astype(np.int64)
 
 
+def _largest(rows: DataFrame, room: int) -> DataFrame:
+    """The rows of the largest n, at most `room` of them, from a histogram of n."""
+    level = F.floor(64 * F.log("n"))
+    least = float("inf")
+    for lv, many in rows.groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect():
+        if many > room:
+            break
+        room, least = room - many, lv
+    return rows.where(level >= F.lit(least))
+
+
 class SuffixTree:
-    """The fitted model: symbols, states, next-symbol counts, and how to score symbols."""
-
-    BITS = np.uint64(12)
-
-    def __init__(self, symbols: SortedTable, root: np.ndarray):
-        self.symbols = symbols
-        self.states: list[SortedTable] = []  # by context length: total, distinct next symbols
-        self.nexts: list[SortedTable] = []  # (context, symbol): count
-        self.root = root
-
-    def symbol_of(self, h: np.ndarray) -> np.ndarray:
-        at, ok = self.symbols.find(h)
-        out = np.full(len(h), OTHER, np.uint64)
-        if len(self.symbols.keys):
-            out[ok] = self.symbols.values[0][at[ok]]
-        return out
-
-    def context_codes(self, sym: np.ndarray, doc: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-        """The code of the `length` symbols before each token, and whether its text has them."""
-        code = np.zeros(len(sym), np.uint64)
-        ok = np.zeros(len(sym), bool)
-        n = len(sym)
-        if n > length:
-            ok[length:] = doc[length:] == doc[:-length]
-            for j in range(length, 0, -1):
-                code[length:] = (code[length:] << self.BITS) | sym[length - j : n - j]
-        return code, ok
+    """The fitted model as tables. counts: code, n of each word. nexts, by context length: key, context,
+    suffix (the same symbol's key after the parent), n, total, kinds, p0 and p of every next symbol of every
+    state, where p0 is the root's probability of the symbol and p the state's."""
+
+    def __init__(self, counts: DataFrame, n: int, kinds: int):
+        self.counts, self.n, self.kinds = counts, n, kinds
+        self.nexts: list[DataFrame] = []
+        self.passes: list[Bitmap] = []
+
+    @property
+    def unit(self) -> float:
+        return self.n + 0.1 * (self.kinds + 1)
+
+    def values(self) -> DataFrame:
+        """key, v, n: log10 of p / p0 of next symbols; of states what an unseen next symbol has of its parent's probability."""
+        out = []
+        for t in self.nexts:
+            out.append(t.select("key", F.log10(F.col("p") / F.col("p0")).alias("v"), "n"))
+            state = t.groupBy("context").agg(F.first("total").alias("n"), F.first("kinds").alias("kinds"))
+            out.append(state.select(F.col("context").bitwiseXOR(F.lit(_STATE)).alias("key"), F.log10(DISCOUNT * F.col("kinds") / F.col("n")).alias("v"), "n"))
+        all_ = out[0]
+        for x in out[1:]:
+            all_ = all_.unionByName(x)
+        return all_
+
+    # for looking into small models: these pass whole tables through the driver
+    @cached_property
+    def _words(self) -> pa.Table:
+        return self.counts.orderBy(F.desc("n"), "code").toArrow()
+
+    @cached_property
+    def root(self) -> np.ndarray:
+        """Probabilities of the words by falling count, and at the end of an unseen word."""
+        return (np.append(_column(self._words, "n"), 0) + 0.1) / self.unit
+
+    @cached_property
+    def states(self) -> list[SortedTable]:
+        """Of the states of one symbol, the symbol's place in root."""
+        of = SortedTable(_column(self._words, "code"), np.arange(self._words.num_rows))
+        at = of.find(_column(self.nexts[0].select("context").distinct().toArrow(), "context"))[0]
+        return [SortedTable(of.values[0][at].astype(np.uint64))]
 
     def probabilities(self, sym: np.ndarray, doc: np.ndarray) -> np.ndarray:
-        """Of each symbol in its longest suffix state, discounted counts mixed with the parent's."""
-        p = self.root[sym.astype(np.int64)]
-        live = np.ones(len(sym), bool)  # a state's suffixes are states
-        for length, (states, nexts) in enumerate(zip(self.states, self.nexts, strict=True), 1):
-            code, ok = self.context_codes(sym, doc, length)
-            at, found = states.find(code)
-            live &= ok & found
-            if not live.any():
-                break
-            i = np.flatnonzero(live)
-            total, kinds = states.values[0][at[i]], states.values[1][at[i]]
-            where, seen = nexts.find((code[i] << self.BITS) | sym[i])
-            c = np.zeros(len(i))
-            if len(nexts.keys):
-                c[seen] = nexts.values[0][where[seen]] - DISCOUNT
-            p[i] = (c + DISCOUNT * kinds * p[i]) / total
-        return p
-
-
-def _divergent(tree: SuffixTree, length: int, rows: pa.Table) -> None:
-    """Adds the states of one length: those whose distributions diverge from their suffix's."""
-    key, n, total = _column(rows, "code").view(np.uint64), _column(rows, "n").astype(np.float64), _column(rows, "total").astype(np.float64)
-    context, sym = key >> tree.BITS, key & np.uint64((1 << int(tree.BITS)) - 1)
-    # the parent's probability of each symbol: score (suffix, symbol) as a text of its own
-    mask = np.uint64((1 << (int(tree.BITS) * (length - 1))) - 1)
-    suffix = context & mask
-    seq = np.zeros((len(key), length), np.uint64)
-    for j in range(length - 1):
-        seq[:, j] = (suffix >> np.uint64(int(tree.BITS) * (length - 2 - j))) & np.uint64((1 << int(tree.BITS)) - 1)
-    seq[:, -1] = sym
-    parent = tree.probabilities(seq.ravel(), np.repeat(np.arange(len(key)), length)).reshape(len(key), length)[:, -1] if len(key) else np.zeros(0)
-    own = n / np.maximum(total, 1)
-    ratio = own / np.maximum(parent, 1e-300)
-    strong = ((ratio >= RATIO) | (ratio <= 1 / RATIO)) & (n * np.abs(np.log(np.maximum(ratio, 1e-300))) >= GAIN)
-    kept = np.unique(context[strong])
-    if length > 1:  # a state's suffix is a state
-        kept = kept[tree.states[-1].find(kept & mask)[1]]
-    of, where = np.unique(context, return_inverse=True)
-    kinds = np.bincount(where, minlength=len(of)).astype(np.float64)
-    totals = np.zeros(len(of))
-    totals[where] = total
-    # entries under the bound are not kept: their mass goes to the parent with the discounts
-    kept_mass = np.bincount(where, weights=n - DISCOUNT, minlength=len(of))
-    spare = (totals - kept_mass) / DISCOUNT
-    chosen = np.isin(of, kept)
-    tree.states.append(SortedTable(of[chosen], totals[chosen], spare[chosen]))
-    inside = np.isin(context, kept)
-    tree.nexts.append(SortedTable(key[inside], n[inside]))
-
-
-def fit(train: DataFrame) -> tuple[SuffixTree, DataFrame, SortedTable, dict]:
-    """The tree, all word counts (hash, n), the bounded table of the largest, and totals."""
+        """Of each symbol, by its place in root, after what came before it in its text."""
+        code = np.append(_column(self._words, "code").view(np.uint64), mix(np.array([0xBAD], np.uint64)))
+        got = self.values().toArrow()
+        table = SortedTable(_column(got, "key").view(np.uint64), got.column("v").to_numpy())
+        item, key = lookups(code[sym.astype(np.int64)], doc, np.ones(len(doc), bool), self.passes)
+        at, ok = table.find(key)
+        tok, v = fold(item[ok], table.values[0][at[ok]])
+        p = np.log10(self.root[sym.astype(np.int64)])
+        p[tok] += v
+        return 10**p
+
+
+def lookups(h: np.ndarray, doc: np.ndarray, unseen: np.ndarray, passes: list[Bitmap]) -> tuple[np.ndarray, np.ndarray]:
+    """What the tokens may be found by: items (token << 4 | context length << 1 | 1 for a state) by token, and
+    keys. States are asked for only where `unseen`: the tokens of training texts are next symbols of each
+    of their states."""
+    items, keys = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    g = grams(h, doc, len(passes) + 1)
+    for length, bitmap in enumerate(passes, 1):
+        key, ok = g[length]
+        context = before(g[length - 1][0])
+        i = np.flatnonzero(ok & bitmap.may_have(context))
+        items.append(i << 4 | length << 1)
+        keys.append(key[i])
+        i = i[unseen[i]]
+        items.append(i << 4 | length << 1 | 1)
+        keys.append(context[i] ^ np.uint64(_STATE))
+    item, key = np.concatenate(items), np.concatenate(keys)
+    order = np.argsort(item, kind="stable")
+    return item[order], key[order]
+
+
+def _longest(item: np.ndarray, n: int, found: np.ndarray) -> np.ndarray:
+    """Of items that are needed: the next symbol in the longest state that has it, and the longer states."""
+    level, state, tok = item >> 1 & 7, item & 1 == 1, item >> 4
+    longest = np.zeros(n, np.int64)
+    of = found & ~state
+    np.maximum.at(longest, tok[of], level[of])
+    return (level > longest[tok]) | (~state & (level == longest[tok]))
+
+
+def fold(item: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens, and log10 of their probability over the root's, from all items that were found."""
+    tok, at = np.unique(item >> 4, return_inverse=True)
+    dense = at.astype(np.int64) << 4 | item & 15
+    ok = _longest(dense, len(tok), np.ones(len(item), bool))
+    return tok, np.bincount(at[ok], weights=v[ok], minlength=len(tok))
+
+
+def fit(train: DataFrame) -> tuple[SuffixTree, SortedTable]:
+    """The tree, and the bounded table of the largest word counts."""
     spark = train.sparkSession
-    counts = materialize(_count(train, lambda d, o: token_stream(d, o)[0]), "word-counts")
+    counts = materialize(_count(train, ["code"], lambda d, o: token_stream(d, o)[:1]), "word-counts")
     total, kinds = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     end = int(np.array([_END_HASH], np.uint64).view(np.int64)[0])
-    words = counts.where(F.col("code") != end)
-    level = F.floor(64 * F.log("n"))  # a histogram of counts gives the least count of a bounded number of words
-    room, least = MOST_COUNTS, None
-    for lv, many in words.groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect():
-        if many > room:
-            break
-        room, least = room - many, lv
-    top = words.where(level >= (float("inf") if least is None else least)).orderBy(F.desc("n"), "code").toArrow()
+    top = _largest(counts.where(F.col("code") != end), MOST_COUNTS).toArrow()
     n_end = (counts.where(F.col("code") == end).first() or [0, 0])[1]
-    hashes, n = _column(top, "code").view(np.uint64), _column(top, "n")
-    big = SortedTable(np.append(hashes, np.uint64(_END_HASH)), np.append(n, n_end))
-    k = min(SYMBOLS, len(hashes))
-    tree = SuffixTree(SortedTable(np.append(hashes[:k], np.uint64(_END_HASH)), np.append(np.arange(2, k + 2), END).astype(np.uint64)), np.zeros(0))
-    mass = np.zeros(k + 2)
-    mass[END], mass[2:] = n_end, n[:k]
-    mass[OTHER] = total - mass.sum()
-    tree.root = (mass + 0.1) / (mass.sum() + 0.1 * len(mass))
-    stats = {"N": int(total), "V": int(kinds), "other_n": float(mass[OTHER]), "other_v": int(kinds) - k - 1}
+    big = SortedTable(np.append(_column(top, "code").view(np.uint64), np.uint64(_END_HASH)), np.append(_column(top, "n"), n_end))
+    tree = SuffixTree(counts, int(total), int(kinds))
+    p0 = (F.col("n") + 0.1) / tree.unit
+    parents = counts.select(F.col("code").alias("suffix"), p0.alias("p0"), p0.alias("p"))
+    repeated = Bitmap(counts.where((F.col("n") >= MIN_CONTEXT) & (F.col("code") != end)).select(F.col("code").alias("key")))
     for length in range(1, DEPTH + 1):
-        model = spark.sparkContext.broadcast(tree)
+        shared = spark.sparkContext.broadcast(repeated)
 
-        def contexts(data, off, length=length, model=model):
-            tree = model.value
+        def columns(data, off, length=length, shared=shared):
             h, doc = token_stream(data, off)
-            sym = tree.symbol_of(h)
-            code, ok = tree.context_codes(sym, doc, length)
-            if length > 1:  # only contexts whose suffix is a state
-                mask = np.uint64((1 << (int(tree.BITS) * (length - 1))) - 1)
-                ok &= tree.states[-1].find(code & mask)[1]
-            return (code[ok] << tree.BITS) | sym[ok]
-
-        seen = materialize(_count(train, contexts), f"contexts-{length}")
-        context = F.shiftrightunsigned("code", int(tree.BITS))
-        of = seen.groupBy(context.alias("context")).agg(F.sum("n").alias("total")).where(F.col("total") >= max(2.0, P_MIN * total))
-        rows = seen.where(F.col("n") >= max(2.0, P_ENTRY * total)).withColumn("context", context).join(of, "context").select("code", "n", "total")
-        _divergent(tree, length, rows.toArrow())  # bounded: see the module's docstring
-    return tree, counts, big, stats
-
-
-SCORED = "row bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base double, model double, words array<bigint>, times array<int>"
-
-
-def score(docs: DataFrame, fitted: tuple[SuffixTree, DataFrame, SortedTable, dict]) -> DataFrame:
-    """Scores whole texts; docs has doc_id, text, held_out."""
-    tree, counts, big, stats = fitted
+            g = grams(h, doc, length + 1)
+            key, ok = g[length]
+            context = before(g[length - 1][0])
+            ok &= shared.value.may_have(context)
+            return key[ok], context[ok], g[length - 1][0][ok]
+
+        seen = materialize(_count(train, ["key", "context", "suffix"], columns), f"contexts-{length}")
+        repeated = Bitmap(seen.where(F.col("n") >= MIN_CONTEXT))
+        nexts = materialize(_states(seen, parents), f"states-{length}")
+        tree.nexts.append(nexts)
+        tree.passes.append(Bitmap(nexts.select(F.col("context").alias("key"))))
+        parents = nexts.select(F.col("key").alias("suffix"), "p0", "p")
+    return tree, big
+
+
+def _states(seen: DataFrame, parents: DataFrame) -> DataFrame:
+    """Next symbols of the contexts of one length that are states; parents has those of the states one shorter."""
+    of = Window.partitionBy("context")
+    rows = seen.join(parents, "suffix").select("key", "context", "n", F.sum("n").over(of).alias("total"), F.count(F.lit(1)).over(of).alias("kinds"), "p0", "p")
+    ratio = F.col("n") / F.col("total") / F.col("p")
+    strong = ((ratio >= RATIO) | (ratio <= 1 / RATIO)) & (F.col("n") >= MIN_SYMBOL) & (F.col("n") * F.abs(F.log(ratio)) >= GAIN)
+    rows = rows.withColumn("diverges", F.max(strong).over(of)).where(F.col("diverges") & (F.col("total") >= MIN_CONTEXT))
+    return rows.select("key", "context", "n", "total", "kinds", "p0", ((F.col("n") - DISCOUNT + DISCOUNT * F.col("kinds") * F.col("p")) / F.col("total")).alias("p"))
+
+
+SCORED = "row bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base double, gain double, words array<bigint>, times array<int>, items array<int>, keys array<bigint>"
+
+
+def _folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """row, gain2 of a row's found items."""
+    for batch in batches:
+        found = batch.column("found")
+        per = found.value_lengths().to_numpy(zero_copy_only=False)
+        each = found.flatten()
+        item, v = (each.field(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+        at = np.repeat(np.arange(batch.num_rows, dtype=np.int64), per)
+        tok, gain = fold(at << 36 | item.astype(np.int64), v)
+        yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(np.bincount(tok >> 32, weights=gain, minlength=batch.num_rows))], ["row", "gain2"])
+
+
+def score(docs: DataFrame, fitted: tuple[SuffixTree, SortedTable]) -> DataFrame:
+    """Scores whole texts; docs has doc_id, text, held_out. Texts that are not held out are training texts."""
+    tree, big = fitted
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast((tree, big, stats))
+    values = materialize(tree.values(), "values")
+    top = _largest(values, MOST_NEXTS).toArrow()
+    often = SortedTable(_column(top, "key").view(np.uint64), top.column("v").to_numpy())
+    shared = spark.sparkContext.broadcast((tree.passes, often, big, tree.unit))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        tree, big, stats = shared.value
+        passes, often, big, unit = shared.value
         at_row = TaskContext.get().partitionId() << 33
-        unit = stats["N"] + 0.1 * (stats["V"] + 1)
-        other = stats["other_n"] + 0.1 * (stats["other_v"] + 1)
         for batch, data, off in text_chunks(batches, "text"):
             n = batch.num_rows
             h, doc = token_stream(data, off)
-            sym = tree.symbol_of(h)
-            model = np.log10(tree.probabilities(sym, doc))
             at, ok = big.find(h)
             c = np.where(ok, big.values[0][at], 0) if len(big.keys) else np.zeros(len(h))
             base = np.where(ok, np.log10((c + 0.1) / unit), 0.0)
-            rare = ok & (sym == OTHER)
-            model[rare] += np.log10((c[rare] + 0.1) / other)
             total = lambda x: np.bincount(doc, weights=x, minlength=n)
             # words that aren't in the table of large counts: (text, word) with its times
             order = np.lexsort((h[~ok], doc[~ok]))
             d, w = doc[~ok][order], h[~ok][order]
             new = np.flatnonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (w[1:] != w[:-1])])) if len(d) else np.zeros(0, np.int64)
             times = np.diff(np.append(new, len(d)))
-            per = np.concatenate([[0], np.cumsum(np.bincount(d[new], minlength=n))]).astype(np.int32)
+            places = lambda x: pa.array(np.concatenate([[0], np.cumsum(np.bincount(x, minlength=n))]).astype(np.int32))
+            # tokens that the table of frequent next symbols settles, and the rest
+            item, key = lookups(h, doc, batch.column("held_out").to_numpy(zero_copy_only=False)[doc], passes)
+            place, found = often.find(key)
+            needed = _longest(item, len(h), found)
+            item, key, place, found = item[needed], key[needed], place[needed], found[needed]
+            open_ = np.zeros(len(h), bool)
+            open_[item[~found] >> 4] = True
+            rest = open_[item >> 4]
+            gain = np.zeros(len(h))
+            if not rest.all():
+                tok, v = fold(item[~rest], often.values[0][place[~rest]])
+                gain[tok] = v
+            item, key = item[rest], key[rest]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(at_row + np.arange(n)),
@@ -277,36 +364,40 @@ def score(docs: DataFrame, fitted: tuple[SuffixTree, DataFrame, SortedTable, dic
                     pa.array(np.bincount(doc, minlength=n)),
                     pa.array(total(ok & (c > 0)).astype(np.int64)),
                     pa.array(total(base)),
-                    pa.array(total(model)),
-                    pa.ListArray.from_arrays(pa.array(per), i64(w[new])),
-                    pa.ListArray.from_arrays(pa.array(per), pa.array(times.astype(np.int32))),
+                    pa.array(total(gain)),
+                    pa.ListArray.from_arrays(places(d[new]), i64(w[new])),
+                    pa.ListArray.from_arrays(places(d[new]), pa.array(times.astype(np.int32))),
+                    pa.ListArray.from_arrays(places(doc[item >> 4]), pa.array(item.astype(np.int32))),
+                    pa.ListArray.from_arrays(places(doc[item >> 4]), i64(key)),
                 ],
-                ["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "model", "words", "times"],
+                ["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "gain", "words", "times", "items", "keys"],
             )
             at_row += n
 
     rows = materialize(docs.select("doc_id", "text", "held_out").mapInArrow(run, SCORED), "scored")
     pairs = rows.select("row", F.explode(F.arrays_zip("words", "times")).alias("x")).select("row", F.col("x.words").alias("code"), F.col("x.times").alias("times"))
     c = F.coalesce("n", F.lit(0))
-    unit, other = stats["N"] + 0.1 * (stats["V"] + 1), stats["other_n"] + 0.1 * (stats["other_v"] + 1)
     tail = (
-        pairs.join(counts, "code", "left")
+        pairs.join(tree.counts, "code", "left")
         .groupBy("row")
         .agg(
             F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("known2"),
-            F.sum(F.col("times") * F.log10((c + 0.1) / unit)).alias("base2"),
-            F.sum(F.col("times") * F.log10((c + 0.1) / other)).alias("model2"),
+            F.sum(F.col("times") * F.log10((c + 0.1) / tree.unit)).alias("base2"),
         )
     )
+    asked = rows.select("row", F.explode(F.arrays_zip("items", "keys")).alias("x")).select("row", F.col("x.items").alias("item"), F.col("x.keys").alias("key"))
+    found = asked.join(values.select("key", "v"), "key").groupBy("row").agg(F.collect_list(F.struct("item", "v")).alias("found"))
+    gains = found.mapInArrow(_folded, "row bigint, gain2 double")
     none = F.lit(0.0)
-    return rows.drop("words", "times").join(tail, "row", "left").select(
+    base = F.col("base") + F.coalesce("base2", none)
+    return rows.drop("words", "times", "items", "keys").join(tail, "row", "left").join(gains, "row", "left").select(
         "doc_id",
         "held_out",
         "n_tokens",
         (F.col("n_known") + F.coalesce("known2", F.lit(0))).alias("n_known"),
-        F.lit(stats["N"]).cast("bigint").alias("train_tokens"),
-        (F.col("base") + F.coalesce("base2", none)).alias("base_score"),
-        (F.col("model") + F.coalesce("model2", none)).alias("score"),
+        F.lit(tree.n).cast("bigint").alias("train_tokens"),
+        base.alias("base_score"),
+        (base + F.col("gain") + F.coalesce("gain2", none)).alias("score"),
     )
 
 

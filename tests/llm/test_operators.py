@@ -80,6 +80,58 @@ def test_op1_states_are_distributions(spark):
         assert tree.probabilities(seq.ravel(), np.repeat(np.arange(k), 2)).reshape(k, 2)[:, 1].sum() == pytest.approx(1)
 
 
+def suffix_tree_scores(train, all_texts):
+    """Brute force: log10 probabilities of all texts in a tree of all of train's contexts."""
+    depth, least, discount = suffix_tree_lm.DEPTH, 2, 0.75
+    after = [collections.defaultdict(collections.Counter) for _ in range(depth + 1)]
+    for w in train:
+        for i, x in enumerate(w):
+            for k in range(min(i, depth) + 1):
+                after[k][tuple(w[i - k : i])][x] += 1
+    count = after[0][()]
+    unit = sum(count.values()) + 0.1 * (len(count) + 1)
+    states = {()}
+
+    def p(context, x):
+        if not context:
+            return (count[x] + 0.1) / unit
+        c = after[len(context)][context]
+        return (max(c[x] - discount, 0) + discount * len(c) * p(context[1:], x)) / sum(c.values())
+
+    for k in range(1, depth + 1):
+        for context, c in after[k].items():
+            total = sum(c.values())
+            ratio = {x: n / total / p(context[1:], x) for x, n in c.items() if n >= 2}
+            if context[1:] in states and total >= least and any((r >= 1.05 or r <= 1 / 1.05) and c[x] * abs(math.log(r)) >= 6 for x, r in ratio.items()):
+                states.add(context)
+
+    def longest(w, i):
+        return max((tuple(w[i - k : i]) for k in range(min(i, depth) + 1) if tuple(w[i - k : i]) in states), key=len)
+
+    return [sum(math.log10(p(longest(w, i), x)) for i, x in enumerate(w)) for w in all_texts], states
+
+
+@pytest.mark.parametrize("held_by_every_task", [0, 40, 1 << 20])
+def test_op1_is_the_whole_tree(spark, monkeypatch, held_by_every_task):
+    monkeypatch.setattr(suffix_tree_lm, "MOST_NEXTS", held_by_every_task)
+    all_texts = texts() | {1000 + i: ("p one two x", "q one two y", "r two z")[i % 3] for i in range(60)}
+    got = {r.doc_id: r.score for r in OPERATORS[1](spark, spark.createDataFrame(list(all_texts.items()), "doc_id bigint, text string")).collect()}
+    tokens = {i: [*words(t), "end"] for i, t in all_texts.items()}
+    want, states = suffix_tree_scores([w for i, w in tokens.items() if crc(i, 10)], tokens.values())
+    assert {len(x) for x in states} == {0, 1, 2, 3}
+    assert [got[i] for i in tokens] == pytest.approx(want, rel=1e-9)
+
+
+def test_op1_states_stay_as_the_corpus_grows(spark):
+    """12 occurrences of a context are few in a million tokens, of words that are beyond the first 5,000."""
+    own = [(i, "alpha beta gamma" if i % 2 else "omega beta delta") for i in range(24)]
+    filler = [(100 + i, " ".join(f"w{(i * 7919 + j) % 6000}" for j in range(10_000))) for i in range(100)]
+    tree, *_ = suffix_tree_lm.fit(spark.createDataFrame(own + filler, "doc_id bigint, text string"))
+    contexts = {r.context for r in tree.nexts[1].select("context").distinct().collect()}
+    h, doc = suffix_tree_lm.token_stream(np.frombuffer(b"alpha beta", np.uint8), np.array([0, 10]))
+    assert suffix_tree_lm.grams(h, doc, 2)[1][0].view(np.int64)[1] in contexts
+
+
 def test_op2(spark):
     got = by_id(OPERATORS[2](spark, documents(spark)))
     for i in (84, 85, 86, 87):
