@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cadastra.functions import geometry as g
 from cadastra.operators import graph, labels, parcels, relational, smooth, spatial
+from cadastra.plans import queries
 
 
 def poly(*rings):
@@ -43,7 +44,6 @@ def test_chaikin(spark):
     assert [tuple(p) for p in b] == [(0, 0), (1, 0)]
 
 
-@pytest.mark.skip(reason="open: the plan of halve() takes minutes to optimise")
 def test_halves_of_a_rectangle(spark):
     df = frame(spark, [(1, "", poly([(0, 0), (4, 0), (4, 2), (0, 2), (0, 0)])[0])], f"k int, path string, ring {g.LINE}")
     rows = {r.path: r for r in labels.halve(df, "k").select("path", g.bounds(F.col("ring")).alias("b"), F.abs(g.signed_area(F.col("ring"))).alias("a")).collect()}
@@ -91,7 +91,6 @@ def test_smoothing_keeps_total_area(spark):
     assert after.count() == merged.count()
 
 
-@pytest.mark.skip(reason="open: the plan of halve() takes minutes to optimise")
 def test_bisect_gives_pure_pieces(spark):
     pts = [(0.5, 0.5, 1), (3.5, 0.5, 2), (0.6, 1.5, 1), (3.4, 1.4, 1)]
     points = frame(spark, [({"x": float(x), "y": float(y)}, v) for x, y, v in pts], f"pt {g.POINT}, label int")
@@ -102,6 +101,16 @@ def test_bisect_gives_pure_pieces(spark):
     assert pieces.agg(F.sum(g.area(F.col("poly")))).first()[0] == pytest.approx(8)
 
 
+def test_registered_bisection_loses_no_area(spark, monkeypatch):
+    """Close points of two labels take more than three cuts."""
+    pts = [(1.0, 1.0, 1), (1.1, 1.0, 2), (4.0, 4.1, 1)]
+    monkeypatch.setattr(queries, "points", lambda t: frame(spark, [({"x": x, "y": y}, v) for x, y, v in pts], f"pt {g.POINT}, label int"))
+    monkeypatch.setattr(queries, "cells", lambda t: frame(spark, [(1, poly([(0, 0), (5, 0), (5, 5), (0, 5), (0, 0)]))], f"cell int, poly {g.POLYGON}"))
+    rows = queries.bisect_mixed_cells(None).collect()
+    assert sum(r.area for r in rows) == pytest.approx(25, abs=1e-4)
+    assert max(len(r.path) for r in rows) > 3 and {r.label for r in rows} == {None, 1, 2}
+
+
 def test_fill_in_order_equals_the_sequential_pass(spark):
     t = tiles(spark, 4).withColumn("label", F.when(F.col("cell") == 0, 1).when(F.col("cell") == 15, 2).when(F.col("cell") == 3, 2))
     near = spatial.touching(t, "cell")
