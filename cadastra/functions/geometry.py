@@ -29,10 +29,19 @@ def rectangle(x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
     return F.array(F.array(point(x0, y0), point(x1, y0), point(x1, y1), point(x0, y1), point(x0, y0)))
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with the value computed once: expressions that lambdas name are computed at each step of theirs."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def over_segments(pts: Column, fold: Callable[[Column, Column, Column], Column], zero: Column) -> Column:
     """Fold over the segments (p, q) of a line."""
-    steps = F.sequence(F.lit(1), F.size(pts) - 1)
-    return F.when(F.size(pts) < 2, zero).otherwise(F.aggregate(steps, zero, lambda acc, i: fold(acc, F.get(pts, i - 1), F.get(pts, i))))
+
+    def run(v):
+        steps = F.sequence(F.lit(1), F.size(v) - 1)
+        return F.when(F.size(v) < 2, zero).otherwise(F.aggregate(steps, zero, lambda acc, i: fold(acc, F.get(v, i - 1), F.get(v, i))))
+
+    return let(pts, run)
 
 
 def segments(pts: Column) -> Column:
@@ -80,6 +89,14 @@ def ring_centroid(ring: Column) -> Column:
     return F.when(s["a"] != 0, point(s["x"] / (3 * s["a"]), s["y"] / (3 * s["a"])))
 
 
+def centroid(polygon: Column) -> Column:
+    """Area-weighted centroid of a polygon, its holes left out."""
+    part = F.transform(polygon, lambda r, i: F.struct((F.abs(signed_area(r)) * F.when(i == 0, 1.0).otherwise(-1.0)).alias("a"), ring_centroid(r).alias("c")))
+    zero = F.struct(F.lit(0.0).alias("a"), F.lit(0.0).alias("x"), F.lit(0.0).alias("y"))
+    s = F.aggregate(F.filter(part, lambda r: r["c"].isNotNull()), zero, lambda t, r: F.struct((t["a"] + r["a"]).alias("a"), (t["x"] + r["a"] * r["c"]["x"]).alias("x"), (t["y"] + r["a"] * r["c"]["y"]).alias("y")))
+    return F.when(s["a"] > 0, point(s["x"] / s["a"], s["y"] / s["a"]))
+
+
 def line_centroid(pts: Column) -> Column:
     """Length-weighted centroid of a line."""
     zero = F.struct(F.lit(0.0).alias("l"), F.lit(0.0).alias("x"), F.lit(0.0).alias("y"))
@@ -114,9 +131,9 @@ def _ray_parity(pt: Column, ring: Column) -> Column:
 
 def within(pt: Column, polygon: Column) -> Column:
     """Whether a point lies inside a polygon; its edges and holes are outside."""
-    on_edge = F.exists(polygon, lambda r: on_line(pt, r))
-    inside = F.aggregate(polygon, F.lit(False), lambda acc, r: acc != _ray_parity(pt, r))
-    return ~on_edge & inside
+    on_edge = lambda v: F.exists(polygon, lambda r: on_line(v, r))
+    inside = lambda v: F.aggregate(polygon, F.lit(False), lambda acc, r: acc != _ray_parity(v, r))
+    return let(pt, lambda v: ~on_edge(v) & inside(v))
 
 
 def foot_on_segment(pt: Column, p: Column, q: Column) -> Column:
@@ -151,23 +168,27 @@ def interior_point(polygon: Column) -> Column:
     """A point inside: the middle of the longest stretch that the horizontal line through the middle
     of the bounding box has inside the polygon."""
     b = bounds(F.get(polygon, 0))
-    y = (b["ymin"] + b["ymax"]) / 2
+    return let((b["ymin"] + b["ymax"]) / 2, lambda y: _longest_inside(polygon, y))
+
 
+def _longest_inside(polygon: Column, y: Column) -> Column:
     def crossings(ring):
         return F.filter(
             F.transform(segments(ring), lambda s: F.when((s["p"]["y"] > y) != (s["q"]["y"] > y), s["p"]["x"] + (y - s["p"]["y"]) * (s["q"]["x"] - s["p"]["x"]) / F.nullif(s["q"]["y"] - s["p"]["y"], F.lit(0.0)))),
             lambda v: v.isNotNull(),
         )
 
-    xs = F.array_sort(F.flatten(F.transform(polygon, crossings)))
-    pairs = F.transform(F.sequence(F.lit(0), F.floor(F.size(xs) / 2).cast("int") - 1), lambda i: F.struct((F.get(xs, 2 * i + 1) - F.get(xs, 2 * i)).alias("w"), ((F.get(xs, 2 * i + 1) + F.get(xs, 2 * i)) / 2).alias("x")))
-    return F.when(F.size(xs) >= 2, point(F.array_max(pairs)["x"], y))
+    def middle(xs):
+        pairs = F.transform(F.sequence(F.lit(0), F.floor(F.size(xs) / 2).cast("int") - 1), lambda i: F.struct((F.get(xs, 2 * i + 1) - F.get(xs, 2 * i)).alias("w"), ((F.get(xs, 2 * i + 1) + F.get(xs, 2 * i)) / 2).alias("x")))
+        return F.when(F.size(xs) >= 2, point(F.array_max(pairs)["x"], y))
+
+    return let(F.array_sort(F.flatten(F.transform(polygon, crossings))), middle)
 
 
 def chaikin(pts: Column, iterations: int = 1) -> Column:
     """Corner cutting with both ends fixed; lines of fewer than three points stay."""
     for _ in range(iterations):
-        pts = _cut_corners(pts)
+        pts = let(pts, _cut_corners)
     return pts
 
 
@@ -179,3 +200,34 @@ def _cut_corners(src: Column) -> Column:
     cut = F.flatten(F.transform(F.sequence(F.lit(0), F.size(src) - 2), corner))
     smooth = F.concat(F.array(F.get(src, 0)), cut, F.array(F.element_at(src, -1)))
     return F.when(F.size(src) < 3, src).otherwise(smooth)
+
+
+def simplify(pts: Column, tol: float) -> Column:
+    """Douglas-Peucker: points that are not over `tol` from the line between the kept ones around them go; the
+    ends stay. A fold over a stack of open stretches."""
+    return let(pts, lambda v: _simplified(v, tol))
+
+
+def _simplified(pts: Column, tol: float) -> Column:
+    n = F.size(pts)
+
+    def stretch(i, j):
+        return F.struct(i.alias("i"), j.alias("j"))
+
+    def farthest(top):
+        inner = F.when(top["j"] - top["i"] > 1, F.sequence(top["i"] + 1, top["j"] - 1)).otherwise(F.array().cast("array<int>"))
+        return F.array_max(F.transform(inner, lambda k: F.struct(distance(F.get(pts, k), foot_on_segment(F.get(pts, k), F.get(pts, top["i"]), F.get(pts, top["j"]))).alias("d"), (-k).alias("k"))))
+
+    def cut(todo, kept, top, far):
+        rest = F.slice(todo, 1, F.size(todo) - 1)
+        more = F.struct(F.concat(rest, F.array(stretch(top["i"], -far["k"]), stretch(-far["k"], top["j"]))).alias("todo"), F.concat(kept, F.array(-far["k"])).alias("kept"))
+        return F.when(F.coalesce(far["d"] > tol, F.lit(False)), more).otherwise(F.struct(rest.alias("todo"), kept.alias("kept")))
+
+    def step(acc, _):
+        return F.when(F.size(acc["todo"]) == 0, acc).otherwise(
+            let(F.element_at(acc["todo"], -1), lambda top: let(farthest(top), lambda far: cut(acc["todo"], acc["kept"], top, far)))
+        )
+
+    start = F.struct(F.array(stretch(F.lit(0), n - 1)).alias("todo"), F.array(F.lit(0), n - 1).alias("kept"))
+    kept = F.array_sort(F.aggregate(F.sequence(F.lit(1), 2 * n), start, step)["kept"])
+    return F.when(n < 3, pts).otherwise(F.transform(kept, lambda k: F.get(pts, k)))

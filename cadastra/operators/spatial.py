@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cadastra.functions import geometry as g
+from cadastra.session import materialize
 
 
 def cells(box: Column, size: float, margin: float = 0.0) -> Column:
@@ -47,6 +48,24 @@ def edges_of(polygons: DataFrame, key: str) -> DataFrame:
     return side.select(key, a.alias("a"), b.alias("b"), g.distance(F.col("s.p"), F.col("s.q")).alias("len"))
 
 
+def node_polygons(polygons: DataFrame, key: str, size: float, tol: float = 1e-7) -> DataFrame:
+    """polygons with a corner wherever a corner of another lies on a side of theirs: neighbours then share whole sides."""
+    corner = polygons.select(F.explode(F.array_distinct(F.flatten("poly"))).alias("v")).distinct()
+    corner = corner.withColumn("_cell", F.struct(F.floor(F.col("v.x") / size).cast("int").alias("cx"), F.floor(F.col("v.y") / size).cast("int").alias("cy")))
+    ring = polygons.select(key, F.posexplode("poly").alias("_r", "ring"))
+    side = materialize(ring.select(key, "_r", F.posexplode(g.segments(F.col("ring"))).alias("_i", "s")), "ring-sides")
+    celled = side.withColumn("_cell", F.explode(cells(g.bounds(F.array("s.p", "s.q")), size, tol)))
+    p, q, v = F.col("s.p"), F.col("s.q"), F.col("v")
+    on = celled.join(corner, "_cell").where((v != p) & (v != q) & (g.distance(g.foot_on_segment(v, p, q), v) <= tol))
+    cuts = on.groupBy(key, "_r", "_i").agg(F.array_sort(F.collect_set(F.struct(g.distance(p, v).alias("d"), v.alias("v")))).alias("cuts"))
+    pts = F.concat(F.array(p), F.transform(F.coalesce("cuts", F.array().cast(f"array<struct<d:double,v:{g.POINT}>>")), lambda c: c["v"]))
+    sides = side.join(cuts, [key, "_r", "_i"], "left").select(key, "_r", "_i", pts.alias("pts"))
+    run = F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("_i", "pts"))), lambda x: x["pts"]))
+    closed = sides.groupBy(key, "_r").agg(run.alias("run")).select(key, "_r", F.concat("run", F.slice("run", 1, 1)).alias("ring"))
+    whole = closed.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("_r", "ring"))), lambda x: x["ring"]).alias("poly"))
+    return polygons.drop("poly").join(whole, key)
+
+
 def shared_borders(polygons: DataFrame, key: str) -> DataFrame:
     """(key, other, shared): length of the border that two polygons of a noded partition share."""
     e = edges_of(polygons, key)
@@ -105,12 +124,15 @@ def lines_inside(lines: DataFrame, polygons: DataFrame, size: float) -> DataFram
     ts = F.transform(F.flatten(F.transform("poly", g.segments)), lambda s: g.crossing(p, q, s["p"], s["q"])["t"])
     cuts = F.array_distinct(F.array_sort(F.concat(F.array(F.lit(0.0), F.lit(1.0)), F.filter(ts, lambda t: t.isNotNull()))))
 
-    def middle(i):
-        t = (F.get(cuts, i) + F.get(cuts, i + 1)) / 2
-        return g.point(p["x"] + t * (q["x"] - p["x"]), p["y"] + t * (q["y"] - p["y"]))
+    def inside(cuts):
+        def middle(i):
+            t = (F.get(cuts, i) + F.get(cuts, i + 1)) / 2
+            return g.point(p["x"] + t * (q["x"] - p["x"]), p["y"] + t * (q["y"] - p["y"]))
+
+        steps = F.sequence(F.lit(0), F.size(cuts) - 2)
+        return F.aggregate(steps, F.lit(0.0), lambda a, i: a + F.when(g.within(middle(i), F.col("poly")), F.get(cuts, i + 1) - F.get(cuts, i)).otherwise(0.0))
 
-    steps = F.sequence(F.lit(0), F.size(cuts) - 2)
-    share = F.aggregate(steps, F.lit(0.0), lambda a, i: a + F.when(g.within(middle(i), F.col("poly")), F.get(cuts, i + 1) - F.get(cuts, i)).otherwise(0.0))
+    share = g.let(cuts, inside)
     return pairs.withColumn("_in", share * g.distance(p, q)).groupBy(*names).agg(F.sum("_in").alias("inside"))
 
 

@@ -45,11 +45,23 @@ def street(key: str) -> str:
 REGISTRY = f"SELECT c_custkey AS rid, c_nationkey AS town, c_custkey % 7 AS district, {street('c_custkey')} AS street, {number('c_custkey')} AS number FROM {{customer}}"
 GEOCODES = f"SELECT s_suppkey AS gid, s_nationkey AS town, {street('s_suppkey')} AS street, {number('s_suppkey')} AS number FROM {{supplier}}"
 
-POINTS = (
-    "SELECT o_orderkey AS pid, CAST(o_orderkey * 37 % 1000 AS DOUBLE) / 10 AS x, CAST(o_custkey * 53 % 1000 AS DOUBLE) / 10 AS y, "
-    "CAST(floor(CAST(o_orderkey * 37 % 1000 AS DOUBLE) / 310) AS BIGINT) AS label FROM {orders} WHERE o_orderkey % 31 = 0"
+#: Cells: the squares of a grid of 100 columns, a row for every 100 parts. Points: the orders, 7.5 a square and in
+#: as many rows; two squares of seven stay without points, every fiftieth point is on a border or so, and
+#: labels change inside squares, every four rows and at every 31 units, from another place in each row.
+CELLS = "SELECT p_partkey AS cell, CAST(p_partkey % 100 AS DOUBLE) * 5 AS x0, CAST(floor(CAST(p_partkey AS DOUBLE) / 100) AS DOUBLE) * 5 AS y0 FROM {part}"
+_SPREAD = (
+    "SELECT o_orderkey AS pid, r, CAST(c + CASE WHEN (c + 2 * r) % 7 < 2 THEN 2 ELSE 0 END AS DOUBLE) * 5 + CAST(o_custkey * 7 % 50 AS DOUBLE) / 10 + CAST(0.03 AS DOUBLE) AS x, "
+    "CAST(r AS DOUBLE) * 5 + CASE WHEN o_custkey % 25 = 0 THEN CAST(0 AS DOUBLE) ELSE CAST(o_custkey * 53 % 50 AS DOUBLE) / 10 + CAST(0.03 AS DOUBLE) END AS y FROM "
+    "(SELECT o_orderkey, o_custkey, o_orderkey * 37 % 100 AS c, CAST(floor(CAST(o_orderkey AS DOUBLE) / 750) AS BIGINT) AS r FROM {orders})"
+)
+POINTS = f"SELECT pid, x, y, CAST(floor(CAST(r AS DOUBLE) / 4) AS BIGINT) * 20 + CAST(floor((x + CAST(5 * (3 * r % 7) AS DOUBLE)) / 31) AS BIGINT) AS label FROM ({_SPREAD})"
+#: Towns: ten rows of cells each, a hole in each.
+TOWNS = "SELECT DISTINCT CAST(floor(CAST(p_partkey AS DOUBLE) / 1000) AS BIGINT) AS town FROM {part}"
+#: Street lines: 20 parts make a frame of 50 units, each with a line across it.
+LINES = (
+    "SELECT tile, ox, ox AS x0, CAST(k % 50 AS DOUBLE) + CAST(0.5 AS DOUBLE) AS y0, ox + 50 AS x1, CAST(k * 7 % 50 AS DOUBLE) + CAST(0.25 AS DOUBLE) AS y1 FROM "
+    "(SELECT p_partkey AS k, CAST(floor(CAST(p_partkey AS DOUBLE) / 20) AS BIGINT) AS tile, CAST(floor(CAST(p_partkey AS DOUBLE) / 20) AS DOUBLE) * 60 AS ox FROM {part})"
 )
-CELLS = "SELECT p_partkey AS cell, CAST(p_partkey % 20 AS DOUBLE) * 5 AS x0, CAST(floor(CAST(p_partkey AS DOUBLE) / 20) AS DOUBLE) * 5 AS y0 FROM {part} WHERE p_partkey < 400"
 EDGES = "SELECT o_custkey AS u, CAST(100000 AS BIGINT) + o_orderkey % 97 AS v, 0 AS key FROM {orders}"
 
 #: DuckDB: a registry and a geocode table with parsed house numbers

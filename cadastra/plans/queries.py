@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -10,8 +11,9 @@ from pyspark.sql import functions as F
 from cadastra.functions import geometry as g
 from cadastra.functions import text as tx
 from cadastra.operators import graph, labels, link, parcels, relational, separator, smooth, spatial
-from cadastra.plans.derive import CELLS, EDGES, GEOCODES, LINK, POINTS, REGISTRY, Tables, plain
-from cadastra.sources import readers
+from cadastra.plans.derive import CELLS, EDGES, GEOCODES, LINES, LINK, POINTS, REGISTRY, TOWNS, Tables, plain
+from cadastra.session import materialize, scratch_dir
+from cadastra.sources import readers, sinks
 
 REGISTERED: dict[str, tuple[Callable[[Tables], DataFrame], str | None]] = {}
 
@@ -86,8 +88,8 @@ def link_coverage(t):
     return link.coverage(link.cascade(registry(t), geocodes(t)), registry(t))
 
 
-_FOLD_REG = "SELECT c_custkey AS rid, concat(CASE c_custkey % 3 WHEN 0 THEN 'Árvíz u.' WHEN 1 THEN ' ŐRZŐ   út.' ELSE 'Fő utca' END, '') AS street, concat(CAST(c_custkey % 40 AS STRING), CASE WHEN c_custkey % 2 = 0 THEN '.0' ELSE '' END) AS number FROM {customer} WHERE c_custkey % 10 = 3"
-_FOLD_GEO = "SELECT s_suppkey AS gid, CASE s_suppkey % 3 WHEN 0 THEN 'arviz utca' WHEN 1 THEN 'orzo  ut' ELSE 'Fo Utca' END AS street, CAST(s_suppkey % 40 AS STRING) AS number FROM {supplier}"
+_FOLD_REG = "SELECT c_custkey AS rid, concat(CASE c_custkey % 3 WHEN 0 THEN 'Árvíz u.' WHEN 1 THEN ' ŐRZŐ   út.' ELSE 'Fő utca' END, '') AS street, concat(CAST(c_custkey % 1000 AS STRING), CASE WHEN c_custkey % 2 = 0 THEN '.0' ELSE '' END) AS number FROM {customer}"
+_FOLD_GEO = "SELECT s_suppkey AS gid, CASE s_suppkey % 3 WHEN 0 THEN 'arviz utca' WHEN 1 THEN 'orzo  ut' ELSE 'Fo Utca' END AS street, CAST(s_suppkey % 1000 AS STRING) AS number FROM {supplier}"
 
 
 @query(
@@ -223,6 +225,96 @@ def reader_yield(t):
     return readers.repair_yield(t.sql(_LINES))
 
 
+_REGISTRY_ROWS = """SELECT c_custkey, CAST(c_custkey % 7 AS BIGINT) AS szavazokorid, CASE WHEN c_custkey % 11 <> 5 THEN CAST(floor(CAST(c_custkey AS DOUBLE) / 12) AS BIGINT) END AS kozteruletid, CAST(9 AS BIGINT) AS kozteruletnevid,
+  CASE WHEN c_custkey % 13 = 4 THEN NULL WHEN c_custkey % 24 < 12 THEN 'Fo u.' ELSE 'Duna krt.' END AS kozteruletnev,
+  CASE c_custkey % 6 WHEN 0 THEN '0012' WHEN 1 THEN '0' WHEN 2 THEN '7/A' WHEN 3 THEN NULL WHEN 4 THEN '7/A' ELSE '15' END AS utcacim,
+  CASE WHEN c_custkey % 17 <> 6 THEN CAST(c_nationkey % 5 AS BIGINT) END AS telepulesid,
+  CASE WHEN c_custkey % 19 = 3 THEN NULL WHEN c_custkey % 2 = 0 THEN concat('Town ', CAST(c_nationkey % 5 AS STRING)) ELSE concat('Stadt ', CAST(c_nationkey % 5 AS STRING)) END AS telepulesnev,
+  c_custkey AS eventfromid, CASE c_custkey % 3 WHEN 0 THEN '2014-04-06' WHEN 1 THEN '2022-04-03' ELSE '2018-04-08' END AS date FROM {customer}"""
+_TOWN_NAMES = "SELECT DISTINCT concat('Stadt ', CAST(n_regionkey AS STRING)) AS src, concat('Town ', CAST(n_regionkey AS STRING)) AS dst FROM {nation}"
+_CLEANED = f"""WITH f AS (SELECT * FROM ({plain(_REGISTRY_ROWS)}) WHERE telepulesid IS NOT NULL AND kozteruletid IS NOT NULL
+      QUALIFY row_number() OVER (PARTITION BY szavazokorid, kozteruletid, kozteruletnevid, kozteruletnev, utcacim, telepulesid, date ORDER BY c_custkey) = 1),
+    a AS (SELECT *, CASE utcacim WHEN '0012' THEN '12' ELSE utcacim END AS number FROM f WHERE date IN ('2014-04-06', '2022-04-03') AND utcacim IS DISTINCT FROM '0')
+    SELECT DISTINCT szavazokorid, kozteruletid, kozteruletnevid, CASE WHEN kozteruletnev IS NULL THEN number ELSE replace(replace(kozteruletnev, 'u.', 'utca'), 'krt.', 'körút') END AS utca,
+      CASE WHEN kozteruletnev IS NULL THEN NULL ELSE replace(number, '/', ' ') END AS cim, telepulesid, telepulesnev, coalesce(dst, telepulesnev) AS telepulesnev_hu, eventfromid, date
+    FROM a LEFT JOIN ({plain(_TOWN_NAMES)}) ON telepulesnev = src"""
+
+
+@query(_CLEANED)
+def clean_registry(t):
+    """Two names for one town, null ids, streets and town names, years without addresses, and repeated rows."""
+    return readers.clean_registry(t.sql(_REGISTRY_ROWS).withColumnRenamed("c_custkey", "_row"), t.sql(_TOWN_NAMES))
+
+
+@query(_CLEANED)
+def clean_registry_csv(t):
+    """The same from CSV files with a header, their rows in order of the files."""
+    path = f"{scratch_dir(t.spark)}/registry-{uuid.uuid4().hex}"
+    t.sql(_REGISTRY_ROWS).repartitionByRange(4, "c_custkey").sortWithinPartitions("c_custkey").drop("c_custkey").write.option("header", True).csv(path)
+    return readers.clean_registry(readers.registry_csv(t.spark, path), t.sql(_TOWN_NAMES))
+
+
+@query("SELECT DISTINCT c_nationkey, c_mktsegment FROM customer")
+def registry_parquet(t):
+    """A registry table read without wholly equal rows."""
+    path = f"{scratch_dir(t.spark)}/registry-{uuid.uuid4().hex}"
+    t.read("customer").select("c_nationkey", "c_mktsegment").write.parquet(path)
+    return readers.registry_parquet(t.spark, path)
+
+
+@query(
+    f"""SELECT event_id AS gid, 'Fo utca' AS utca, CAST(event_id % 90 AS VARCHAR) AS cim, 'Vac' AS telepules, CASE event_id % 6 WHEN 0 THEN 1234 WHEN 1 THEN 2345 ELSE 3456 END::BIGINT AS iszam, 'Hungary' AS orszag,
+    CASE event_id % 6 WHEN 0 THEN 47.5 WHEN 1 THEN 47.25 ELSE 46.5 END::DOUBLE AS lat, CASE event_id % 6 WHEN 0 THEN 19.0 WHEN 1 THEN 18.5 ELSE 20.5 END::DOUBLE AS lon FROM events WHERE event_id % 6 < 3"""
+)
+def clean_geocodes(t):
+    """JSON lines appended to a folder and read back as typed geocodes."""
+    path = f"{scratch_dir(t.spark)}/lines-{uuid.uuid4().hex}"
+    t.sql(_LINES).select("value").write.text(path)
+    return readers.clean_geocodes(readers.json_lines(t.spark, path)).select("gid", "utca", "cim", "telepules", "iszam", "orszag", F.col("pt.y").alias("lat"), F.col("pt.x").alias("lon"))
+
+
+@query("SELECT CAST(event_id + 1000 AS VARCHAR) AS geoid, 'Fo utca' AS cim, 'Vac' AS telepules, CASE WHEN event_id % 2 = 0 THEN 47.5 ELSE 46.0 END::DOUBLE AS lat, CASE WHEN event_id % 2 = 0 THEN 19.25 ELSE 20.0 END::DOUBLE AS lon FROM events")
+def positional_geocodes(t):
+    """The first-generation view; every second row has its coordinates in the wrong places."""
+    rows = "SELECT concat('[', CAST(event_id + 1000 AS STRING), ',\"Fo utca\",\"Vac\",', CASE WHEN event_id % 2 = 0 THEN '1,2,47.5,19.25]' ELSE '46.0,20.0,1,2]' END) AS value FROM {events}"
+    return readers.positional_geocodes(t.sql(rows))
+
+
+_ANSWERS = "SELECT n_name AS src, CASE WHEN n_nationkey % 3 = 0 THEN concat('City ', n_name) END AS city, CASE WHEN n_nationkey % 3 = 1 THEN concat('Town ', n_name) END AS town, CAST(NULL AS STRING) AS village, CASE WHEN n_nationkey % 3 < 2 THEN 'M' END AS municipality, CAST(NULL AS STRING) AS river FROM {nation}"
+
+
+@query(f"SELECT src, coalesce(city, town, village, municipality, river, src) AS dst FROM ({plain(_ANSWERS)})")
+def place_lookup(t):
+    """Recorded place lookups, written as a name map and read again."""
+    path = f"{scratch_dir(t.spark)}/names-{uuid.uuid4().hex}"
+    sinks.write_names(readers.lookup_towns(t.sql(_ANSWERS)), path)
+    return readers.town_names(t.spark, path)
+
+
+@query("SELECT o_orderkey, o_orderpriority FROM orders")
+def append_json_lines(t):
+    """Rows appended as JSON lines in two runs, and read again."""
+    path = f"{scratch_dir(t.spark)}/json-{uuid.uuid4().hex}"
+    rows = t.read("orders").select("o_orderkey", "o_orderpriority")
+    for part in (rows.where("o_orderstatus = 'F'"), rows.where("o_orderstatus <> 'F' OR o_orderstatus IS NULL")):
+        sinks.append_json_lines(part, path)
+    return t.spark.read.schema("o_orderkey bigint, o_orderpriority string").json(path)
+
+
+@query("SELECT c_custkey, c_name, c_nationkey FROM customer WHERE c_nationkey = 7")
+def town_partition(t):
+    """A table with a folder a town, of which one is read."""
+    path = f"{scratch_dir(t.spark)}/towns-{uuid.uuid4().hex}"
+    sinks.write_by_town(t.read("customer").select("c_custkey", "c_name", "c_nationkey"), path, "c_nationkey")
+    return t.spark.read.parquet(path).where("c_nationkey = 7")
+
+
+@query("SELECT c_custkey, c_acctbal FROM customer")
+def columns_by_pattern(t):
+    """Columns whose names hold a part are dropped."""
+    return relational.without_pattern(relational.without_pattern(t.read("customer"), "nation").drop("c_name"), "segment")
+
+
 _CELLS = "SELECT event_id, CAST(event_id % 60 AS DOUBLE) AS c0, CAST(event_id % 25 AS DOUBLE) AS lon, CAST(event_id % 53 AS DOUBLE) AS lat FROM {events}"
 
 
@@ -321,32 +413,48 @@ def points_listed(t):
     return inside.groupBy("cell").agg(F.count("pid").alias("n"), F.min("pid").alias("first_point"), F.max("pid").alias("last_point"))
 
 
-@query(f"SELECT pid FROM ({plain(POINTS)}) WHERE x > 12.5 AND x < 87.5 AND y > 12.5 AND y < 60")
+_IN_TOWN = "x > 12.5 AND x < 487.5 AND y > 50 * town + 2.5 AND y < 50 * town + 47.5 AND NOT (x >= 100 AND x <= 200 AND y >= 50 * town + 10 AND y <= 50 * town + 20)"
+
+
+def _towns(t):
+    """Boundaries of towns: ten rows of cells less a rim, with a hole."""
+    y = F.col("town") * 50.0
+    shell, hole = (g.rectangle(F.lit(x0), y + y0, F.lit(x1), y + y1) for x0, y0, x1, y1 in ((12.5, 2.5, 487.5, 47.5), (100.0, 10.0, 200.0, 20.0)))
+    return t.sql(TOWNS).select("town", F.concat(shell, hole).alias("poly"))
+
+
+@query(f"SELECT pid, town FROM ({plain(POINTS)}) JOIN ({plain(TOWNS)}) ON {_IN_TOWN}")
 def points_in_town(t):
-    box = F.array(F.array(*(g.point(F.lit(x), F.lit(y)) for x, y in ((12.5, 12.5), (87.5, 12.5), (87.5, 60.0), (12.5, 60.0), (12.5, 12.5)))))
-    p = points(t).where(F.col("pt.x").between(12.5, 87.5) & F.col("pt.y").between(12.5, 60))
-    return p.where(g.within(F.col("pt"), box)).select("pid")
+    return spatial.points_in_polygons(points(t), _towns(t), 50.0).select("pid", "town")
+
+
+@query(f"SELECT pid FROM ({plain(POINTS)}), (SELECT 1::BIGINT AS town) WHERE {_IN_TOWN}")
+def points_in_named_town(t):
+    town = _towns(t).where("town = 1")
+    return spatial.points_in_polygons(points(t), town, 50.0).select("pid")
 
 
 def _shapes(t):
-    """Squares, and triangles for odd keys."""
-    c = t.sql(CELLS)
-    triangle = F.array(F.array(g.point(F.col("x0"), F.col("y0")), g.point(F.col("x0") + 5, F.col("y0")), g.point(F.col("x0"), F.col("y0") + 5), g.point(F.col("x0"), F.col("y0"))))
-    square = g.rectangle(F.col("x0"), F.col("y0"), F.col("x0") + 5, F.col("y0") + 5)
-    return c.select("cell", F.when(F.col("cell") % 2 == 1, triangle).otherwise(square).alias("poly"), F.when(F.col("cell") % 2 == 1, "triangle").otherwise("square").alias("kind"))
+    """Triangles for odd keys, else squares, every second of these with a hole off its centre."""
+    x, y, k = F.col("x0"), F.col("y0"), F.col("cell")
+    triangle = F.array(F.array(g.point(x, y), g.point(x + 5, y), g.point(x, y + 5), g.point(x, y)))
+    square, hole = g.rectangle(x, y, x + 5, y + 5), g.rectangle(x + 1, y + 1, x + 2, y + 2)
+    poly = F.when(k % 2 == 1, triangle).when(k % 4 == 2, F.concat(square, hole)).otherwise(square)
+    return t.sql(CELLS).select("cell", poly.alias("poly"), F.when(k % 2 == 1, "triangle").when(k % 4 == 2, "ring").otherwise("square").alias("kind"))
 
 
-_SHAPES = f"SELECT *, cell % 2 = 1 AS tri FROM ({plain(CELLS)})"
+_SHAPES = f"SELECT *, CASE WHEN cell % 2 = 1 THEN 'triangle' WHEN cell % 4 = 2 THEN 'ring' ELSE 'square' END AS kind FROM ({plain(CELLS)})"
+_AREA = "CASE kind WHEN 'triangle' THEN 12.5 WHEN 'ring' THEN 24 ELSE 25 END"
 
 
 @query(
-    f"""SELECT cell, CASE WHEN tri THEN 12.5 ELSE 25 END::DOUBLE AS area, round(CASE WHEN tri THEN 10 + sqrt(50) ELSE 20 END, 6) AS perimeter,
-    round(x0 + CASE WHEN tri THEN 5 / 3.0 ELSE 2.5 END, 6) AS cx, round(y0 + CASE WHEN tri THEN 5 / 3.0 ELSE 2.5 END, 6) AS cy, x0 + 5 AS xmax, y0 AS ymin FROM ({_SHAPES})"""
+    f"""SELECT cell, ({_AREA})::DOUBLE AS area, round(CASE kind WHEN 'triangle' THEN 10 + sqrt(50) ELSE 20 END, 6) AS perimeter,
+    round(x0 + CASE kind WHEN 'triangle' THEN 5 / 3.0 WHEN 'ring' THEN 61 / 24.0 ELSE 2.5 END, 6) AS cx, round(y0 + CASE kind WHEN 'triangle' THEN 5 / 3.0 WHEN 'ring' THEN 61 / 24.0 ELSE 2.5 END, 6) AS cy, x0 + 5 AS xmax, y0 AS ymin FROM ({_SHAPES})"""
 )
 def polygon_measures(t):
     ring = F.get("poly", 0)
-    c, b = g.ring_centroid(ring), g.bounds(ring)
-    return _shapes(t).select("cell", g.area(F.col("poly")).alias("area"), r6(g.length(ring)).alias("perimeter"), r6(c["x"]).alias("cx"), r6(c["y"]).alias("cy"), b["xmax"].alias("xmax"), b["ymin"].alias("ymin"))
+    c, b = g.centroid(F.col("poly")), g.bounds(ring)
+    return _shapes(t).select("cell", r6(g.area(F.col("poly"))).alias("area"), r6(g.length(ring)).alias("perimeter"), r6(c["x"]).alias("cx"), r6(c["y"]).alias("cy"), b["xmax"].alias("xmax"), b["ymin"].alias("ymin"))
 
 
 @query(f"SELECT min(x) AS xmin, min(y) AS ymin, max(x) AS xmax, max(y) AS ymax FROM ({plain(POINTS)})")
@@ -354,15 +462,10 @@ def total_bounds(t):
     return points(t).agg(F.min("pt.x").alias("xmin"), F.min("pt.y").alias("ymin"), F.max("pt.x").alias("xmax"), F.max("pt.y").alias("ymax"))
 
 
-@query(f"SELECT CASE WHEN tri THEN 'triangle' ELSE 'square' END AS kind, count(*) AS n FROM ({_SHAPES}) GROUP BY 1")
-def geom_type_hist(t):
-    return _shapes(t).groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
-
-
-@query(f"SELECT min(CASE WHEN tri THEN 12.5 ELSE 25 END)::DOUBLE AS least, sum(CASE WHEN tri THEN 12.5 ELSE 25 END)::DOUBLE AS total, count(*) FILTER (WHERE tri) AS small FROM ({_SHAPES})")
+@query(f"SELECT round(min({_AREA})::DOUBLE, 6) AS least, round(sum({_AREA})::DOUBLE, 4) AS total, count(*) FILTER (WHERE kind = 'triangle') AS small FROM ({_SHAPES})")
 def area_summary(t):
     a = g.area(F.col("poly"))
-    return _shapes(t).agg(F.min(a).alias("least"), F.sum(a).alias("total"), F.count_if(a < 20).alias("small"))
+    return _shapes(t).agg(r6(F.min(a)).alias("least"), F.round(F.sum(a), 4).alias("total"), F.count_if(a < 20).alias("small"))
 
 
 @query(f"SELECT cell, true AS inside FROM ({_SHAPES})")
@@ -417,61 +520,63 @@ def first_incident_edge(t):
     return graph.first_incident(nodes, e)
 
 
-_BORDER = "SELECT cell, x0, y0 FROM ({0}) WHERE cell % 7 = 0"
-
-
 @query(
-    f"""WITH p AS ({plain(POINTS)}), b AS ({_BORDER.format(plain(CELLS))}),
-    feet AS (SELECT pid, x, y, greatest(x0, least(x0 + 5, x)) AS fx, y0 AS fy FROM p JOIN b ON x BETWEEN x0 - 4 AND x0 + 9 AND y BETWEEN y0 - 4 AND y0 + 4),
+    f"""WITH p AS ({plain(POINTS)}), b AS ({plain(CELLS)}),
+    feet AS (SELECT pid, x, y, greatest(x0, least(x0 + 5, x)) AS fx, y0 AS fy FROM p JOIN b ON x BETWEEN x0 - 2 AND x0 + 7 AND y BETWEEN y0 - 2 AND y0 + 2),
     d AS (SELECT *, sqrt((x - fx) * (x - fx) + (y - fy) * (y - fy)) AS dist FROM feet)
-    SELECT pid, round(min(dist), 6) AS dist FROM d WHERE dist <= 4 GROUP BY pid HAVING min(dist) > 0.1"""
+    SELECT pid, round(min(dist), 6) AS dist, round(arg_min(fx, dist), 6) AS foot_x, arg_min(fy, dist) AS foot_y FROM d WHERE dist <= 2 GROUP BY pid HAVING min(dist) > 0.1"""
 )
 def nearest_foot_on_boundary(t):
-    base = t.sql(CELLS).where("cell % 7 = 0").select(F.array(g.point(F.col("x0"), F.col("y0")), g.point(F.col("x0") + 5, F.col("y0"))).alias("line"))
-    return spatial.nearest_feet(points(t), base, "pid", 4.0, 0.1).select("pid", r6("dist").alias("dist"))
+    base = t.sql(CELLS).select(F.array(g.point(F.col("x0"), F.col("y0")), g.point(F.col("x0") + 5, F.col("y0"))).alias("line"))
+    near = spatial.nearest_feet(points(t), base, "pid", 2.0, 0.1)
+    return near.select("pid", r6("dist").alias("dist"), r6("foot.x").alias("foot_x"), F.col("foot.y").alias("foot_y"))
 
 
 @query(
-    f"""WITH p AS (SELECT *, pid % 2 = 0 AS up FROM ({plain(POINTS)})), b AS ({_BORDER.format(plain(CELLS))}),
-    hit AS (SELECT pid, y0 - y AS s FROM p JOIN b ON up AND x BETWEEN x0 AND x0 + 5 AND y0 - y BETWEEN 0 AND 20
-            UNION ALL SELECT pid, x0 - x FROM p JOIN b ON NOT up AND y BETWEEN y0 AND y0 + 5 AND x0 - x BETWEEN 0 AND 20)
-    SELECT pid, round(min(s), 6) AS s FROM hit WHERE s > 0.25 GROUP BY pid"""
+    f"""WITH p AS (SELECT *, pid % 2 = 0 AS up FROM ({plain(POINTS)})), b AS ({plain(CELLS)}),
+    hit AS (SELECT pid, y0 - y AS s, x AS at_x, y0 AS at_y FROM p JOIN b ON up AND x BETWEEN x0 AND x0 + 5 AND y0 - y BETWEEN 0 AND 20
+            UNION ALL SELECT pid, x0 - x, x0, y FROM p JOIN b ON NOT up AND y BETWEEN y0 AND y0 + 5 AND x0 - x BETWEEN 0 AND 20)
+    SELECT pid, round(min(s), 6) AS s, round(arg_min(at_x, s), 6) AS at_x, round(arg_min(at_y, s), 6) AS at_y FROM hit WHERE s > 0.25 GROUP BY pid"""
 )
 def ray_first_hit(t):
     p = points(t)
     up = F.col("pid") % 2 == 0
     rays = p.select("pid", up.alias("up"), F.col("pt").alias("p"), F.when(up, g.point(F.col("pt.x"), F.col("pt.y") + 20)).otherwise(g.point(F.col("pt.x") + 20, F.col("pt.y"))).alias("q"))
-    c = t.sql(CELLS).where("cell % 7 = 0")
+    c = t.sql(CELLS)
     x, y = F.col("x0"), F.col("y0")
     flat = c.select(F.lit(True).alias("flat"), F.array(g.point(x, y), g.point(x + 5, y)).alias("line"))
     tall = c.select(F.lit(False).alias("flat"), F.array(g.point(x, y), g.point(x, y + 5)).alias("line"))
-    return spatial.first_hits(rays, flat.unionByName(tall), "pid", 5.0, 0.25, F.col("up") == F.col("flat")).select("pid", r6("s").alias("s"))
+    hits = spatial.first_hits(rays, flat.unionByName(tall), "pid", 5.0, 0.25, F.col("up") == F.col("flat"))
+    return hits.select("pid", r6("s").alias("s"), r6("at.x").alias("at_x"), r6("at.y").alias("at_y"))
+
+
+def _roads(t):
+    """A level stretch of road, 8 units long, at each point."""
+    return points(t).select("pid", F.array("pt", g.point(F.col("pt.x") + 8, F.col("pt.y"))).alias("line"))
 
 
 @query(
-    f"""WITH p AS (SELECT * FROM ({plain(POINTS)}) WHERE pid % 3 = 0), c AS ({plain(CELLS)})
-    SELECT cell, round(sum(least(x + 8, x0 + 5) - greatest(x, x0)), 6) AS inside FROM p JOIN c ON y > y0 AND y < y0 + 5 AND x < x0 + 5 AND x + 8 > x0 GROUP BY cell"""
+    f"""WITH p AS ({plain(POINTS)}), c AS ({plain(CELLS)})
+    SELECT cell, round(sum(least(x + 8, x0 + 5) - greatest(x, x0)), 4) AS inside FROM p JOIN c ON y > y0 AND y < y0 + 5 AND x < x0 + 5 AND x + 8 > x0 GROUP BY cell"""
 )
 def road_length_in_cells(t):
-    road = points(t).where("pid % 3 = 0").select("pid", F.array("pt", g.point(F.col("pt.x") + 8, F.col("pt.y"))).alias("line"))
-    return spatial.lines_inside(road, cells(t), 5.0).where("inside > 0").groupBy("cell").agg(r6(F.sum("inside")).alias("inside"))
+    return spatial.lines_inside(_roads(t), cells(t), 5.0).where("inside > 0").groupBy("cell").agg(F.round(F.sum("inside"), 4).alias("inside"))
 
 
 @query(
-    f"""WITH p AS (SELECT * FROM ({plain(POINTS)}) WHERE pid % 3 = 0), c AS ({plain(CELLS)})
+    f"""WITH p AS ({plain(POINTS)}), c AS ({plain(CELLS)})
     SELECT cell FROM c WHERE EXISTS (SELECT 1 FROM p WHERE y > y0 AND y < y0 + 5 AND x < x0 + 5 AND x + 8 > x0)"""
 )
 def roads_in_area_semi(t):
-    road = points(t).where("pid % 3 = 0").select("pid", F.array("pt", g.point(F.col("pt.x") + 8, F.col("pt.y"))).alias("line"))
-    return spatial.polygons_with_roads(road, cells(t), 5.0).select("cell")
+    return spatial.polygons_with_roads(_roads(t), cells(t), 5.0).select("cell")
 
 
-_TILES = f"WITH c AS (SELECT *, floor(x0 / 35)::BIGINT AS label FROM ({plain(CELLS)})), e AS (SELECT label, x0 AS x, y0 AS y, 'h' AS d FROM c UNION ALL SELECT label, x0, y0 + 5, 'h' FROM c UNION ALL SELECT label, x0, y0, 'v' FROM c UNION ALL SELECT label, x0 + 5, y0, 'v' FROM c)"
+_TILES = f"WITH c AS (SELECT *, (floor(x0 / 35) + 20 * floor(y0 / 50))::BIGINT AS label FROM ({plain(CELLS)})), e AS (SELECT label, x0 AS x, y0 AS y, 'h' AS d FROM c UNION ALL SELECT label, x0, y0 + 5, 'h' FROM c UNION ALL SELECT label, x0, y0, 'v' FROM c UNION ALL SELECT label, x0 + 5, y0, 'v' FROM c)"
 
 
 def _tiles(t):
     c = t.sql(CELLS)
-    return c.select("cell", F.floor(F.col("x0") / 35).alias("label"), g.rectangle(F.col("x0"), F.col("y0"), F.col("x0") + 5, F.col("y0") + 5).alias("poly"))
+    return c.select("cell", (F.floor(F.col("x0") / 35) + 20 * F.floor(F.col("y0") / 50)).alias("label"), g.rectangle(F.col("x0"), F.col("y0"), F.col("x0") + 5, F.col("y0") + 5).alias("poly"))
 
 
 @query(_TILES + ", o AS (SELECT label, x, y, d FROM e GROUP BY ALL HAVING count(*) = 1) SELECT label, count(*) * 5.0::DOUBLE AS border FROM o GROUP BY label")
@@ -485,17 +590,17 @@ def dissolve_area(t):
     return whole.groupBy("label").agg(F.round(F.sum(g.area(F.col("poly"))), 6).alias("area"), F.count(F.lit(1)).alias("parts"))
 
 
-_POLYLINE = "SELECT vec_id, i, CAST(embedding[i + 1] AS DOUBLE) AS y FROM embeddings, range(8) r(i)"
+_POLYLINE = "SELECT vec_id, i, CAST(embedding[i + 1] AS DOUBLE) AS y FROM embeddings, range(64) r(i)"
 
 
 @query(
     f"""WITH v AS ({_POLYLINE}), seg AS (SELECT a.vec_id, a.i, a.y AS y1, b.y AS y2 FROM v a JOIN v b ON a.vec_id = b.vec_id AND b.i = a.i + 1),
     pts AS (SELECT vec_id, 0 AS k, i * 1.0::DOUBLE AS x, y FROM v WHERE i = 0 UNION ALL SELECT vec_id, 1 + 2 * i, i + 0.25, 0.75 * y1 + 0.25 * y2 FROM seg
-      UNION ALL SELECT vec_id, 2 + 2 * i, i + 0.75, 0.25 * y1 + 0.75 * y2 FROM seg UNION ALL SELECT vec_id, 15, 7.0, y FROM v WHERE i = 7)
+      UNION ALL SELECT vec_id, 2 + 2 * i, i + 0.75, 0.25 * y1 + 0.75 * y2 FROM seg UNION ALL SELECT vec_id, 127, 63.0, y FROM v WHERE i = 63)
     SELECT vec_id, k::BIGINT AS k, round(x, 6) AS x, round(y, 5) AS y FROM pts"""
 )
 def chaikin_smooth(t):
-    pts = F.transform(F.sequence(F.lit(0), F.lit(7)), lambda i: g.point(i, F.get("embedding", i)))
+    pts = F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: g.point(i, F.get("embedding", i)))
     smooth_line = t.read("embeddings").select("vec_id", F.posexplode(g.chaikin(pts, 1)).alias("k", "p"))
     return smooth_line.select("vec_id", F.col("k").cast("bigint").alias("k"), r6("p.x").alias("x"), F.round("p.y", 5).alias("y"))
 
@@ -520,8 +625,20 @@ def palette_hex(t):
     return labels.palette(t.read("nation").select(F.col("n_regionkey").alias("label"), "n_nationkey"), "label", "n_nationkey")
 
 
-# ---------------------------------------------------------------- order-dependent and iterative steps (tested by invariants)
-@query()
+# ---------------------------------------------------------------- order-dependent and iterative steps
+@query(
+    _LABELS.replace("WITH p AS", "WITH RECURSIVE p AS", 1).replace("SELECT cell, pid, label FROM p", "SELECT cell, pid, label, x, y FROM p")
+    + """, piece AS (
+      SELECT cell, '' AS path, x0, y0, x0 + 5 AS x1, y0 + 5 AS y1, NULL::BIGINT AS label, 2::BIGINT AS k FROM c JOIN lab USING (cell) WHERE n_labels > 1
+      UNION ALL
+      SELECT h.cell, h.path, h.x0, h.y0, h.x1, h.y1, min(hit.label), count(DISTINCT hit.label) FROM (
+        SELECT cell, path || side AS path, CASE WHEN wide AND side = '1' THEN (x0 + x1) / 2 ELSE x0 END AS x0, CASE WHEN NOT wide AND side = '1' THEN (y0 + y1) / 2 ELSE y0 END AS y0,
+          CASE WHEN wide AND side = '0' THEN (x0 + x1) / 2 ELSE x1 END AS x1, CASE WHEN NOT wide AND side = '0' THEN (y0 + y1) / 2 ELSE y1 END AS y1
+        FROM (SELECT *, x1 - x0 >= y1 - y0 AS wide FROM piece WHERE k > 1 AND length(path) < 25), (VALUES ('0'), ('1')) s(side)) h
+      LEFT JOIN hit ON hit.cell = h.cell AND hit.x > h.x0 AND hit.x < h.x1 AND hit.y > h.y0 AND hit.y < h.y1 GROUP BY h.cell, h.path, h.x0, h.y0, h.x1, h.y1)
+    SELECT cell, path, label, round((x1 - x0) * (y1 - y0), 6) AS area FROM piece WHERE k <= 1
+    UNION ALL SELECT cell, '', label, 25.0::DOUBLE FROM lab WHERE n_labels <= 1"""
+)
 def bisect_mixed_cells(t):
     pieces = labels.label_blocks(points(t), cells(t), "cell", "label", 5.0)
     return pieces.select("cell", "path", "label", r6(g.area(F.col("poly"))).alias("area"))
@@ -534,17 +651,19 @@ def fill_sequential(t):
 
 @query()
 def merge_small_blocks(t):
-    sized = cells(t).select(F.lit(0).alias("town"), F.col("cell").alias("block"), (g.area(F.col("poly")) + F.col("cell") % 7).alias("area"))
-    borders = spatial.shared_borders(cells(t), "cell").select(F.lit(0).alias("town"), F.col("cell").alias("block"), "other", "shared")
+    """Blocks merged inside each town, ten rows of cells: towns are independent tasks."""
+    town = F.floor(F.col("cell") / 1000).alias("town")
+    sized = cells(t).select(town, F.col("cell").alias("block"), (g.area(F.col("poly")) + F.col("cell") % 7).alias("area"))
+    borders = spatial.shared_borders(cells(t), "cell").where("floor(cell / 1000) = floor(other / 1000)").select(town, F.col("cell").alias("block"), "other", "shared")
     return parcels.merge_groups(sized, borders, 60.0)
 
 
 def _network(t):
-    """Street lines across the square, by the keys of the parts, with a frame."""
-    k = F.col("p_partkey")
-    across = t.read("part").where("p_partkey < 200").select(F.array(g.point(F.lit(0.0), k % 50 + 0.5), g.point(F.lit(50.0), (k * 7) % 50 + 0.25)).alias("line")).where(k % 10 == 0)
-    frame = g.rectangle(F.lit(0.0), F.lit(0.0), F.lit(50.0), F.lit(50.0))
-    return across.unionByName(t.read("region").where("r_regionkey = 0").select(F.get(frame, 0).alias("line")))
+    """Street lines across frames of 50 units, a frame for every 20 parts."""
+    rows = t.sql(LINES)
+    across = rows.select(F.array(g.point(F.col("x0"), F.col("y0")), g.point(F.col("x1"), F.col("y1"))).alias("line"))
+    frame = g.rectangle(F.col("ox"), F.lit(0.0), F.col("ox") + 50, F.lit(50.0))
+    return across.unionByName(rows.select("ox").distinct().select(F.get(frame, 0).alias("line")))
 
 
 @query()
@@ -552,20 +671,41 @@ def polygonize_network(t):
     return parcels.polygonize(_network(t), 10.0).select("block", r6(g.area(F.col("poly"))).alias("area"), F.size("poly").alias("rings"))
 
 
+@query(
+    f"""WITH l AS ({plain(LINES)}), met AS (SELECT a.tile, a.y0 AS a0, a.y1 AS a1, b.y0 AS b0, b.y1 AS b1 FROM l a JOIN l b ON a.tile = b.tile AND a.y0 < b.y0 AND a.y1 > b.y1),
+    x AS (SELECT tile, a0, b0, round(50 * (b0 - a0) / ((b0 - a0) + (a1 - b1)), 5) AS px, round(a0 + (a1 - a0) * (b0 - a0) / ((b0 - a0) + (a1 - b1)), 5) AS py FROM met),
+    n AS (SELECT tile, px, py, count(DISTINCT y0) - 1 AS more FROM (SELECT tile, px, py, a0 AS y0 FROM x UNION ALL SELECT tile, px, py, b0 FROM x) GROUP BY tile, px, py)
+    SELECT tile, (1 + count(*) + coalesce((SELECT sum(more) FROM n WHERE n.tile = l.tile), 0))::BIGINT AS faces, 2500.0::DOUBLE AS area FROM l GROUP BY tile"""
+)
+def network_faces(t):
+    """Faces of each frame: one, one more for each line, and one for each line more through a crossing."""
+    faces = parcels.polygonize(_network(t), 10.0)
+    tile = F.floor(g.interior_point(F.col("poly"))["x"] / 60).alias("tile")
+    return faces.groupBy(tile).agg(F.count(F.lit(1)).alias("faces"), F.round(F.sum(g.area(F.col("poly"))), 3).alias("area"))
+
+
+def _voted(t):
+    """Territories with ragged borders: cells with the labels of their points or neighbours, dissolved."""
+    whole = parcels.dissolve(labels.vote_once(_labelled(t), spatial.touching(cells(t), "cell"), "cell", "label"), "label", 35.0)
+    return materialize(whole, "territories")
+
+
 @query()
 def straighten_borders(t):
-    smoothed = smooth.smooth_borders(_tiles(t), "cell", 2)
-    return smoothed.select("cell", "label", r6(g.area(F.col("poly"))).alias("area"))
+    smoothed = smooth.smooth_borders(_voted(t), "block", 2)
+    return smoothed.select("label", r6(g.area(F.col("poly"))).alias("area"), F.size(F.get("poly", 0)).alias("corners"))
 
 
 @query()
 def shared_border_lines(t):
-    return smooth.shared_lines(_tiles(t), "cell").select("cell", "other", F.size("sides").alias("n_sides"), "shared")
+    return smooth.shared_lines(_voted(t), "block").select("block", "other", F.size("lines").alias("n_lines"), r6("shared").alias("shared"))
 
 
 @query()
 def separator_line(t):
-    p = points(t).where("label IN (0, 2)").select("pt", (F.col("label") == 2).cast("int").alias("side"))
+    """A line between the points of the first and the third strip of columns, over all rows."""
+    strip = F.col("label") % 20
+    p = points(t).where(strip.isin(0, 2)).select("pt", (strip == 2).cast("int").alias("side"))
     wx, wy, b = separator.fit_separator(p, "side")
     line = separator.cut_line(F.lit(wx), F.lit(wy), F.lit(b), F.struct(F.lit(0.0).alias("xmin"), F.lit(0.0).alias("ymin"), F.lit(100.0).alias("xmax"), F.lit(100.0).alias("ymax")))
     sided = p.select("side", (wx * F.col("pt.x") + wy * F.col("pt.y") + b > 0).cast("int").alias("found"))
@@ -574,11 +714,6 @@ def separator_line(t):
 
 @query()
 def territories(t):
-    """All of labelling: blocks labelled, mixed ones halved, empty ones filled, labels dissolved on the cells."""
-    filled = labels.fill_in_order(_labelled(t), spatial.touching(cells(t), "cell"), "cell", "label")
-    whole = parcels.dissolve(filled, "label", 20.0)
-    colours = labels.palette(filled.select("label", "cell"), "label", "cell")
-    rows = whole.select("label", r6(g.area(F.col("poly"))).alias("area"), F.size("poly").alias("rings"))
-    return rows.join(colours.withColumnRenamed("label", "_l"), F.col("label").eqNullSafe(F.col("_l")), "left").drop("_l")
-
-
+    """All of labelling: blocks labelled, mixed ones halved, empty pieces filled, labels dissolved."""
+    whole = labels.territories(points(t), cells(t), "cell", "label", 5.0)
+    return whole.select("label", "color", r6(g.area(F.col("poly"))).alias("area"), F.size("poly").alias("rings"))

@@ -17,8 +17,10 @@ ADDRESSED_DATES = ["2014-04-06", "2022-04-03"]
 
 
 def registry_csv(spark: SparkSession, path: str) -> DataFrame:
-    """The registry with its declared types; a value that does not fit is an error."""
-    return spark.read.schema(REGISTRY).option("header", True).option("mode", "FAILFAST").csv(path)
+    """The registry with its declared types and its rows' places in the files (`_row`); a value that does not fit is an error."""
+    rows = spark.read.schema(REGISTRY).option("header", True).option("mode", "FAILFAST").csv(path)
+    place = F.struct("_metadata.file_name", "_metadata.file_block_start", F.monotonically_increasing_id().alias("id"))
+    return rows.select("*", place.alias("_row"))
 
 
 def registry_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -77,12 +79,17 @@ def clean_geocodes(lines: DataFrame) -> DataFrame:
 
 
 def clean_registry(registry: DataFrame, towns: DataFrame) -> DataFrame:
-    """The registry with cheap filters first, then towns in full, numbers repaired and streets expanded."""
+    """The registry with cheap filters first, then towns in full, numbers repaired and streets expanded.
+
+    Rows without a town or street id go. Of rows that differ in the town's name only (one town in two languages), or in
+    the event, the first stays: by `_row` where the reader gives it, else by the order of the scan. The date and the
+    house number 0 are among the keys, so that their filters can come before that."""
     from cadastra.operators import link, relational
 
-    keys = ["szavazokorid", "kozteruletid", "kozteruletnevid", "kozteruletnev", "utcacim", "telepulesnev", "date"]
-    rows = registry.dropna(subset=["szavazokorid", "kozteruletnev", "telepulesnev", "date"]).where(F.col("date").isin(ADDRESSED_DATES))
-    rows = relational.keep_first(rows.where(relational.differs(F.col("utcacim"), "0")), keys, ["eventfromid"])
+    keys = ["szavazokorid", "kozteruletid", "kozteruletnevid", "kozteruletnev", "utcacim", "telepulesid", "date"]
+    rows = registry if "_row" in registry.columns else registry.withColumn("_row", F.monotonically_increasing_id())
+    rows = rows.dropna(subset=["telepulesid", "kozteruletid"]).where(F.col("date").isin(ADDRESSED_DATES))
+    rows = relational.keep_first(rows.where(relational.differs(F.col("utcacim"), "0")), keys, ["_row"])
     rows = link.map_towns(rows, towns, "telepulesnev", "telepulesnev_hu")
     moved = tx.move_misplaced(F.col("kozteruletnev"), tx.repair_number(F.col("utcacim")))
     rows = rows.withColumn("utca", tx.expand_street(moved[0])).withColumn("cim", tx.standard_number(moved[1]))
@@ -113,6 +120,6 @@ def empty(spark: SparkSession, schema: str) -> DataFrame:
 
 def repair_yield(lines: DataFrame) -> DataFrame:
     """Rows read, rows usable, and their share in per cent (null for no rows)."""
-    read = lines.agg(F.count(F.lit(1)).alias("rows_read"))
-    used = ragged_geocodes(lines).agg(F.count(F.lit(1)).alias("rows_used"))
-    return read.join(used, F.lit(True)).withColumn("percent", F.round(F.col("rows_used") * 100 / F.nullif(F.col("rows_read"), F.lit(0)), 6))
+    each = ragged_geocodes(lines).select(F.lit(0).alias("read"), F.lit(1).alias("used")).unionByName(lines.select(F.lit(1).alias("read"), F.lit(0).alias("used")))
+    sums = each.agg(F.coalesce(F.sum("read"), F.lit(0)).alias("rows_read"), F.coalesce(F.sum("used"), F.lit(0)).alias("rows_used"))
+    return sums.withColumn("percent", F.round(F.col("rows_used") * 100 / F.nullif(F.col("rows_read"), F.lit(0)), 6))

@@ -44,12 +44,25 @@ def test_chaikin(spark):
     assert [tuple(p) for p in b] == [(0, 0), (1, 0)]
 
 
+def halves(spark, *rings):
+    df = frame(spark, [(1, "", poly(*rings))], f"k int, path string, poly {g.POLYGON}")
+    return {r.path: r for r in labels.halve(df, "k").select("path", "poly", g.bounds(F.get("poly", 0)).alias("b"), g.area(F.col("poly")).alias("a"), F.size("poly").alias("n")).collect()}
+
+
 def test_halves_of_a_rectangle(spark):
-    df = frame(spark, [(1, "", poly([(0, 0), (4, 0), (4, 2), (0, 2), (0, 0)])[0])], f"k int, path string, ring {g.LINE}")
-    rows = {r.path: r for r in labels.halve(df, "k").select("path", g.bounds(F.col("ring")).alias("b"), F.abs(g.signed_area(F.col("ring"))).alias("a")).collect()}
+    rows = halves(spark, [(0, 0), (4, 0), (4, 2), (0, 2), (0, 0)])
     assert rows["0"].a == rows["1"].a == 4 and rows["0"].b.xmax == rows["1"].b.xmin == 2
 
 
+def test_halves_with_holes_and_arms(spark):
+    across = halves(spark, SQUARE, [(4, 4), (4, 6), (6, 6), (6, 4), (4, 4)])  # the cut at x = 5 opens the hole
+    assert {p: (r.a, r.n) for p, r in across.items()} == {"0": (48, 1), "1": (48, 1)}
+    aside = halves(spark, SQUARE, [(1, 1), (1, 2), (2, 2), (2, 1), (1, 1)])
+    assert {p: r.n for p, r in aside.items()} == {"0": 2, "1": 1} and sum(r.a for r in aside.values()) == pytest.approx(99)
+    comb = halves(spark, [(0, 0), (10, 0), (10, 3), (2, 3), (2, 6), (10, 6), (10, 9), (0, 9), (0, 0)])  # two arms to the right
+    assert sorted(comb) == ["0", "1", "3"] and sum(r.a for r in comb.values()) == pytest.approx(66)
+
+
 def test_square_cut_in_two_faces(spark):
     lines = frame(spark, [(poly(SQUARE)[0],), (poly([(5, -1), (5, 11)])[0],)], f"line {g.LINE}")
     faces = parcels.polygonize(lines, 4.0).select(F.round(g.area(F.col("poly")), 6).alias("a")).collect()
@@ -82,13 +95,78 @@ def test_dissolve_with_a_hole_and_corner_touch(spark):
     assert sum(areas) == pytest.approx(5)
 
 
-def test_smoothing_keeps_total_area(spark):
-    t = tiles(spark, 4)
-    merged = parcels.dissolve(t.withColumn("label", F.when(F.col("cell").isin(0, 1, 4, 8, 9), 1).otherwise(2)), "label", 4.0).withColumnRenamed("block", "cell")
-    before = merged.agg(F.sum(g.area(F.col("poly")))).first()[0]
-    after = smooth.smooth_borders(merged.select("cell", "poly"), "cell", 2)
-    assert before == pytest.approx(16)
-    assert after.count() == merged.count()
+def steps(spark):
+    """Two parts of a square of sixteen tiles with a stair between them."""
+    merged = parcels.dissolve(tiles(spark, 4).withColumn("label", F.when(F.col("cell").isin(0, 1, 4, 5, 8, 12), 1).otherwise(2)), "label", 4.0)
+    return merged.withColumnRenamed("block", "cell")
+
+
+def test_smoothing_keeps_outer_sides_and_area(spark):
+    before = steps(spark)
+    for tol in (0.2, 3.0):
+        after = {r.label: r for r in smooth.smooth_borders(before, "cell", 2, tol).select("label", g.area(F.col("poly")).alias("a"), g.bounds(F.get("poly", 0)).alias("b"), F.size(F.get("poly", 0)).alias("n")).collect()}
+        assert sum(r.a for r in after.values()) == pytest.approx(16)
+        assert after[1].b.xmin == after[1].b.ymin == 0 and after[2].b.xmax == after[2].b.ymax == 4
+    assert after[1].n < 12  # a straight line from end to end
+
+
+def test_simplify(spark):
+    pts = [{"x": float(x), "y": float(y)} for x, y in ((0, 0), (1, 0.1), (2, 3), (3, 0.2), (4, 0))]
+    df = frame(spark, [(pts,)], f"l {g.LINE}")
+    kept = lambda tol: [p.x for p in df.select(g.simplify(F.col("l"), tol)).first()[0]]
+    assert kept(5.0) == [0, 4] and kept(1.2) == [0, 2, 4] and kept(0.0) == [0, 1, 2, 3, 4]
+
+
+def test_shared_lines_are_as_long_as_can_be(spark):
+    r = smooth.shared_lines(steps(spark), "cell").collect()
+    assert len(r) == 1 and r[0].shared == 5 and len(r[0].lines) == 1 and len(r[0].lines[0]) == 6
+    ring = tiles(spark).withColumn("label", F.when(F.col("cell") == 4, "in").otherwise("out"))
+    island = smooth.shared_lines(parcels.dissolve(ring, "label", 3.0), "block").collect()
+    assert len(island) == 1 and island[0].shared == 4 and len(island[0].lines) == 1
+
+
+def test_noding_of_halved_neighbours(spark):
+    rows = [(1, poly([(0, 0), (2, 0), (2, 4), (0, 4), (0, 0)])), (2, poly([(2, 0), (4, 0), (4, 1), (2, 1), (2, 0)])), (3, poly([(2, 1), (4, 1), (4, 4), (2, 4), (2, 1)]))]
+    noded = spatial.node_polygons(frame(spark, rows, f"cell int, poly {g.POLYGON}"), "cell", 2.0)
+    assert {r.cell: r.n for r in noded.select("cell", F.size(F.get("poly", 0)).alias("n")).collect()} == {1: 6, 2: 5, 3: 5}
+    assert {(r.cell, r.other): r.shared for r in spatial.shared_borders(noded, "cell").where("cell < other").collect()} == {(1, 2): 1, (1, 3): 3, (2, 3): 2}
+
+
+def brute_territories(boxes, pts, depth):
+    """Area by label: rectangles halved, filled in order of (block, path) and added up."""
+    done = []
+
+    def halve(key, path, x0, y0, x1, y1):
+        inside = {v for x, y, v in pts if x0 < x < x1 and y0 < y < y1}
+        if len(inside) < 2:
+            done.append([(key, path), (x0, y0, x1, y1), next(iter(inside), None)])
+        elif len(path) < depth:
+            wide = x1 - x0 >= y1 - y0
+            m = (x0 + x1) / 2 if wide else (y0 + y1) / 2
+            halve(key, path + "0", x0, y0, *((m, y1) if wide else (x1, m)))
+            halve(key, path + "1", *((m, y0) if wide else (x0, m)), x1, y1)
+
+    for key, box in boxes.items():
+        halve(key, "", *box)
+    done.sort()
+    for one in done:
+        if one[2] is None:
+            a = one[1]
+            votes = [o[2] for o in done if o is not one and o[2] is not None and o[1][0] <= a[2] and a[0] <= o[1][2] and o[1][1] <= a[3] and a[1] <= o[1][3]]
+            one[2] = min(set(votes), key=lambda v: (-votes.count(v), v)) if votes else None
+    areas = {}
+    for _, (x0, y0, x1, y1), v in done:
+        areas[v] = areas.get(v, 0) + (x1 - x0) * (y1 - y0)
+    return areas
+
+
+def test_territories_equal_brute_force(spark):
+    boxes = {k: (4.0 * (k % 4), 4.0 * (k // 4), 4.0 * (k % 4) + 4, 4.0 * (k // 4) + 4) for k in range(12)}
+    pts = [((i * 37 % 157) / 10 + 0.03, (i * 53 % 113) / 10 + 0.03, 1 + (i * 37 % 157) // 60) for i in range(14)]
+    points = frame(spark, [({"x": x, "y": y}, v) for x, y, v in pts], f"pt {g.POINT}, label int")
+    blocks = frame(spark, [(k, poly([(x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0)])) for k, (x0, y0, x1, y1) in boxes.items()], f"cell int, poly {g.POLYGON}")
+    got = labels.territories(points, blocks, "cell", "label", 4.0).groupBy("label").agg(F.sum(g.area(F.col("poly"))).alias("a")).collect()
+    assert {r.label: round(r.a, 6) for r in got} == {k: round(v, 6) for k, v in brute_territories(boxes, pts, 45).items()}
 
 
 def test_bisect_gives_pure_pieces(spark):

@@ -64,14 +64,16 @@ def test_ragged_lines(spark):
 def test_registry(spark):
     rows = [
         (1, 1, 1, "Fő u.", "0012", 1, "Vac", 5, "2022-04-03"),
-        (1, 1, 1, "Fő u.", "0012", 1, "Vac", 4, "2022-04-03"),
+        (1, 1, 1, "Fő u.", "0012", 1, "Waitzen", 4, "2022-04-03"),  # the same town in another language
         (2, None, 1, "Fő u.", "0", None, "Vac", 4, "2022-04-03"),
-        (3, 1, 1, "Fő u.", None, 1, "Szob", 4, "2014-04-06"),
+        (2, None, 1, "Fő u.", "3", 1, "Vac", 4, "2022-04-03"),  # no street id
+        (3, 1, 1, "Fő u.", None, 1, None, 4, "2014-04-06"),  # a town without a name stays
         (4, 1, 1, "Fő u.", "7", 1, "Vac", 4, "2018-04-08"),
+        (5, 1, 1, None, "7", 1, "Szob", 4, "2014-04-06"),
     ]
     towns = spark.createDataFrame([("Vac", "Vác")], "src string, dst string")
-    got = readers.clean_registry(spark.createDataFrame(rows, readers.REGISTRY), towns).collect()
-    assert sorted((r.szavazokorid, r.utca, r.cim, r.telepulesnev_hu, r.eventfromid) for r in got) == [(1, "Fő utca", "12", "Vác", 4), (3, "Fő utca", None, "Szob", 4)]
+    got = readers.clean_registry(spark.createDataFrame(rows, readers.REGISTRY).coalesce(1), towns).collect()
+    assert sorted((r.szavazokorid, r.utca, r.cim, r.telepulesnev_hu, r.eventfromid) for r in got) == [(1, "Fő utca", "12", "Vác", 5), (3, "Fő utca", None, None, 4), (5, "7", None, "Szob", 4)]
 
 
 def test_town_without_homes_is_an_error(spark, tmp_path):
