@@ -5,14 +5,20 @@ symbols are states of the tree if they occur MIN_CONTEXT times, if their longest
 suffix is a state, and if their next-symbol distribution diverges from that suffix's: some
 symbol seen MIN_SYMBOL times has a probability ratio of at least RATIO either way and a
 log-likelihood gain over the pruning bound. No bound depends on the corpus: what is a state
-stays one as the corpus grows. A state's distribution is smoothed with its parent's (absolute
+stays one as the corpus grows. A state's distribution is interpolated with its parent's (absolute
 discounting), the root's is that of the smoothed word counts. A token is scored in the longest
 suffix state of what came before it in its text.
 
-Word counts, states and all next symbols of states are Spark tables keyed by hash; texts are
-joined to them. What every task holds has a fixed size: MOST_COUNTS words and MOST_NEXTS next
-symbols, which only save rows of the joins, and bitmaps that may let a key pass that is in no
-table (the join drops it) but never hold back one that is. Counts cover all training documents.
+The tree is never in one place. A context and all its extensions to the left share their last
+word, so the tokens of all texts are dealt once, by the word before them, and each task has
+whole branches: it counts them, prunes them and scores its tokens in them. What a text gets from
+the tasks is added up. A word before more than SPLIT tokens has its branch dealt on by the word
+before that, each part with the counts of the one-word context, which are added up beforehand.
+
+What every task holds has a fixed size: the MOST_COUNTS most frequent words with their counts.
+Of other words the count is not known where they are scored: their probability is kept as a
+linear form of the root's and finished after a join with the word counts; in the divergence
+test the root gives them the least probability of a word that is held.
 
 Defined cases: null text is empty and scores its end token; a document's own repeated
 rows are each scored; a null doc_id counts as the empty text for its crc32; without
@@ -22,14 +28,14 @@ training tokens every probability is that of an unseen word; extra columns are i
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cached_property
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, crc_mod, i64, materialize, mix, text_chunks, word_hashes
+from .common import ascii_lower, crc_mod, i64, materialize, mix, n_partitions, text_chunks, word_hashes
 
 DEPTH = 3
 MIN_CONTEXT = 2
@@ -37,15 +43,15 @@ MIN_SYMBOL = 2
 RATIO = 1.05
 GAIN = 6.0
 DISCOUNT = 0.75
-#: Word counts and next symbols that every task holds: 16 bytes each.
+#: Words whose counts every task holds, 16 bytes each; of these the first 65,534 have short codes between tasks.
 MOST_COUNTS = 1 << 18
-MOST_NEXTS = 1 << 20
-#: Bits of a bitmap of keys, as a power of two.
-BITMAP = 26
+_CODES = (1 << 16) - 2
+#: Tokens after one word that one task takes.
+SPLIT = 1 << 22
+#: Tokens that a task gathers before it sends them on.
+_FLUSH = 1 << 21
 _END_HASH = int(mix(np.array([0xE0D0], np.uint64))[0])
-#: A state is found by its context's key xor this; next symbols have their own keys.
-_STATE = 0x5BD1E9955BD1E995
-_FLUSH = 3_000_000
+_NONE, _SPELT = 0xFFFE, 0xFFFF
 
 
 def token_stream(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -56,98 +62,303 @@ def token_stream(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndar
     return np.insert(h, ends, np.uint64(_END_HASH)), np.insert(doc, ends, np.arange(n))
 
 
-def grams(h: np.ndarray, doc: np.ndarray, longest: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each length up to `longest`: the key of the tokens that end at each token, and whether its
-    text has so many. The key of one token is its hash."""
-    out = [(h, np.ones(len(h), bool))]
-    for k in range(1, longest):
-        g, ok = np.zeros(len(h), np.uint64), np.zeros(len(h), bool)
-        if len(h) > k:
-            ok[k:] = doc[k:] == doc[:-k]
-            with np.errstate(over="ignore"):
-                g[k:] = mix(out[-1][0][k:] * np.uint64(0x9E3779B97F4A7C15) + mix(h[:-k] + np.uint64(k)))
-        out.append((g, ok))
-    return out
+class SortedTable:
+    """A map from 64-bit keys to values as sorted arrays."""
 
+    def __init__(self, keys: np.ndarray, *values: np.ndarray):
+        order = np.argsort(keys)
+        self.keys, self.values = keys[order], [v[order] for v in values]
 
-def before(x: np.ndarray) -> np.ndarray:
-    """The value of the token before."""
-    return np.concatenate([np.zeros(1, x.dtype), x[:-1]])[: len(x)]
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where each key is, and whether it is there."""
+        if not len(self.keys):
+            return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return at, self.keys[at] == keys
 
 
-class _Sums:
-    """Counts of keys over a partition, with what belongs to a key, given out when they grow large and at the end."""
-
-    def __init__(self, names: list[str]) -> None:
-        self.names, self.parts, self.size = names, [], 0
-
-    def add(self, *columns: np.ndarray, n: np.ndarray | None = None) -> bool:
-        self.parts.append(self._sum(columns, n))
-        self.size += len(self.parts[-1][-1])
-        return self.size > _FLUSH
-
-    @staticmethod
-    def _sum(columns, n):
-        order = np.argsort(columns[0], kind="stable")
-        key = columns[0][order]
-        new = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
-        n = np.diff(np.append(new, len(key))) if n is None else np.add.reduceat(n[order], new) if len(new) else n
-        return [*(c[order[new]] for c in columns), n.astype(np.int64)]
-
-    def take(self) -> pa.RecordBatch:
-        if self.parts:
-            *columns, n = (np.concatenate(c) for c in zip(*self.parts, strict=True))
-        else:
-            *columns, n = [*(np.zeros(0, np.uint64) for _ in self.names), np.zeros(0, np.int64)]
-        self.parts, self.size = [], 0
-        *columns, n = self._sum(columns, n)
-        return pa.RecordBatch.from_arrays([*(i64(c) for c in columns), pa.array(n)], [*self.names, "n"])
+@dataclass
+class Root:
+    """What every task knows: n and kinds of the training tokens, counts of the frequent words, which of them have
+    codes, and into how many parts the branches of some are dealt."""
 
+    n: int
+    kinds: int
+    counts: SortedTable
+    codes: SortedTable
+    parts: SortedTable
 
-def _count(docs: DataFrame, names: list[str], columns_of) -> DataFrame:
-    """The first name's keys with their counts; the other columns depend on the key."""
+    @property
+    def unit(self) -> float:
+        return self.n + 0.1 * (self.kinds + 1)
+
+    def known(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Counts of words, and whether they are held."""
+        at, ok = self.counts.find(words)
+        return np.where(ok, self.counts.values[0][at], 0) if len(self.counts.keys) else np.zeros(len(words), np.int64), ok
+
+    @property
+    def least(self) -> float:
+        """Of a word that is held; without any, of one that was never seen."""
+        return ((self.counts.values[0].min() if len(self.counts.keys) else 0) + 0.1) / self.unit
+
+
+def chained(key: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """The key of a context with one more word to its left, or of a context with a next symbol."""
+    with np.errstate(over="ignore"):
+        return mix(key * np.uint64(0x9E3779B97F4A7C15) + mix(word + np.uint64(1)))
+
+
+def branches(root: Root, words: list[np.ndarray], length: np.ndarray, weight: np.ndarray, first: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Counts, prunes and scores whole branches. words[0] are next symbols, words[k] what stands k before them, where
+    `length` is k or more; weight is how often a row counts as training, `first` the same for its one-word context.
+    Gives (a, b, depth): the probability of each row's symbol in its longest state is a + b * (the root's),
+    where b is 0 for symbols whose counts are held."""
+    count, held = root.known(words[0])
+    a = np.where(held, (count + 0.1) / root.unit, 0.0)
+    b = np.where(held, 0.0, 1.0)
+    depth = np.zeros(len(a), np.int64)
+    rows, context = np.arange(len(a)), np.zeros(len(a), np.uint64)
+    for k in range(1, DEPTH + 1):
+        go = length[rows] >= k
+        rows, context = rows[go], context[go]
+        if not len(rows):
+            break
+        context = chained(context, words[k][rows])
+        key, at, gram = np.unique(chained(context, words[0][rows]), return_index=True, return_inverse=True)
+        of, state = np.unique(context[at], return_inverse=True)
+        n = np.bincount(gram, weights=(first if k == 1 and first is not None else weight)[rows], minlength=len(key))
+        total = np.bincount(state, weights=n, minlength=len(of))
+        kinds = np.bincount(state, weights=n > 0, minlength=len(of))
+        pa_, pb = a[rows[at]], b[rows[at]]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            ratio = n / total[state] / (pa_ + pb * root.least)
+            strong = ((ratio >= RATIO) | (ratio <= 1 / RATIO)) & (n >= MIN_SYMBOL) & (n * np.abs(np.log(ratio)) >= GAIN)
+            is_state = (total >= MIN_CONTEXT) & (np.bincount(state, weights=strong, minlength=len(of)) > 0)
+            rest = DISCOUNT * kinds / total
+            ok = is_state[state]
+            new_a = np.where(ok, np.maximum(n - DISCOUNT, 0) / total[state] + rest[state] * pa_, pa_)
+            new_b = np.where(ok, rest[state] * pb, pb)
+        a[rows], b[rows] = new_a[gram], new_b[gram]
+        ok = ok[gram]
+        rows, context = rows[ok], context[ok]  # a longer context is a state only if this one is
+        depth[rows] = k
+    return a, b, depth
+
+
+# ---------------------------------------------------------------- blocks of tokens between tasks
+def pack(root: Root, words: list[np.ndarray], length: np.ndarray, row: np.ndarray, extra: np.ndarray) -> bytes:
+    """Rows as compressed columns: a code of two bytes a word or its hash, the row of its text, and `extra`."""
+    parts, sizes = [], [len(row)]
+    for k, w in enumerate(words):
+        at, ok = root.codes.find(w)
+        code = np.where(ok, at, _SPELT).astype(np.uint16)
+        code[length < k] = _NONE
+        spelt = w[code == _SPELT]
+        sizes.append(len(spelt))
+        parts += [code.tobytes(), spelt.tobytes()]
+    low = int(row.min()) if len(row) else 0
+    body = b"".join([*parts, (row - low).astype(np.uint32).tobytes(), extra.tobytes()])
+    head = np.array([*sizes, low, extra.dtype.itemsize, len(body)], np.int64).tobytes()
+    return head + pa.Codec("zstd", 3).compress(body, asbytes=True)
+
+
+def unpack(root: Root, block: bytes) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
+    """words, length, row and extra of a block."""
+    *sizes, low, width, size = np.frombuffer(block, np.int64, DEPTH + 5).tolist()
+    body = memoryview(pa.Codec("zstd").decompress(block[8 * (DEPTH + 5) :], size, asbytes=True))
+    n, at = sizes[0], 0
+
+    def take(dtype, count):
+        nonlocal at
+        out = np.frombuffer(body, dtype, count, at)
+        at += out.nbytes
+        return out
+
+    words, length = [], np.zeros(n, np.int64)
+    for k in range(DEPTH + 1):
+        code, spelt = take(np.uint16, n), take(np.uint64, sizes[k + 1])
+        word = np.zeros(n, np.uint64)
+        coded = code < _NONE
+        word[coded] = root.codes.keys[code[coded]]
+        word[code == _SPELT] = spelt
+        words.append(word)
+        if k:
+            length += code != _NONE
+    return words, length, take(np.uint32, n).astype(np.int64) + low, take(np.dtype(f"<i{width}"), n)
+
+
+def _bucket(root: Root, words: list[np.ndarray], length: np.ndarray, buckets: int) -> np.ndarray:
+    """Where a token goes: by the word before it; of long branches by the word before that too."""
+    key = mix(np.where(length >= 1, words[1], words[0]))
+    at, ok = root.parts.find(words[1])
+    if ok.any():
+        ok &= length >= 1
+        second = mix(np.where(length >= 2, words[2], np.uint64(0)) ^ np.uint64(0x5BD1E995))
+        key[ok] += second[ok] % root.parts.values[0][at[ok]]
+    return (key % np.uint64(buckets)).astype(np.int64)
+
+
+BLOCKS = "bucket int, kind int, block binary"
+_TOKENS, _COUNTS, _TEXTS = 0, 1, 2
+
+
+def _blocks(buckets: np.ndarray, n: int, kind: int, make) -> pa.RecordBatch:
+    """A block of the rows of each bucket."""
+    order = np.argsort(buckets, kind="stable")
+    ends = np.searchsorted(buckets[order], np.arange(n + 1))
+    found = np.flatnonzero(np.diff(ends))
+    made = [make(order[ends[i] : ends[i + 1]]) for i in found]
+    return pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array(np.full(len(found), kind, np.int32)), pa.array(made, pa.binary())], ["bucket", "kind", "block"])
+
+
+def _dealt(shared, buckets: int):
+    """The tokens of all texts, in blocks by bucket, and which document each row number is."""
+
+    def send(root, held):
+        columns = [np.concatenate(c) for c in zip(*held, strict=True)]
+        *words, length, row, train = columns
+        at = _bucket(root, words, length, buckets)
+        at = at[order := np.lexsort((words[1], at))]  # equal words next to each other
+        return _blocks(at, buckets, _TOKENS, lambda i: pack(root, [w[order[i]] for w in words], length[order[i]], row[order[i]], train[order[i]]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = _Sums(names)
-        for _, data, off in text_chunks(batches, "text"):
-            if sums.add(*columns_of(data, off)):
-                yield sums.take()
-        yield sums.take()
+        from pyspark import TaskContext
 
-    rest = [F.min(c).alias(c) for c in names[1:]]
-    schema = ", ".join(f"{c} bigint" for c in [*names, "n"])
-    return docs.select("text").mapInArrow(run, schema).groupBy(names[0]).agg(*rest, F.sum("n").alias("n"))
+        root = shared.value
+        at_row = (TaskContext.get().partitionId() + 1) << 33
+        held, size = [], 0
+        for batch, data, off in text_chunks(batches, "text"):
+            h, doc = token_stream(data, off)
+            words, length = [h], np.zeros(len(h), np.int8)
+            for k in range(1, DEPTH + 1):
+                w = np.zeros(len(h), np.uint64)
+                same = np.zeros(len(h), bool)
+                w[k:], same[k:] = h[:-k], doc[k:] == doc[:-k]
+                length += same
+                words.append(w)
+            ids = batch.column("doc_id").cast(pa.int64())
+            held_out = batch.column("held_out").to_numpy(zero_copy_only=False)
+            held.append((*words, length, at_row + doc, (~held_out[doc]).astype(np.int8)))
+            size += len(h)
+            at = np.arange(batch.num_rows)
+            yield _blocks(at % buckets, buckets, _TEXTS, lambda i, ids=ids, held_out=held_out, at_row=at_row: _texts(at_row + i, ids.take(pa.array(i)), held_out[i]))
+            at_row += batch.num_rows
+            if size > _FLUSH:
+                yield send(root, held)
+                held, size = [], 0
+        if held:
+            yield send(root, held)
+
+    return run
+
+
+def _texts(row: np.ndarray, ids: pa.Array, held_out: np.ndarray) -> bytes:
+    null = ids.is_null().to_numpy(zero_copy_only=False)
+    return np.concatenate([row, ids.fill_null(0).to_numpy(), null.astype(np.int64) * 2 + held_out]).tobytes()
+
+
+def _split_counts(shared, buckets: int):
+    """Counts of next symbols of contexts of one word that are dealt in parts: to each of the parts."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        root = shared.value
+        for batch in batches:
+            before, sym, n = (batch.column(c).to_numpy().view(np.uint64) for c in ("before", "sym", "n"))
+            at, _ = root.parts.find(before)
+            parts = np.minimum(root.parts.values[0][at], np.uint64(buckets)).astype(np.int64)
+            i = np.repeat(np.arange(len(at)), parts)
+            part = np.arange(len(i)) - np.repeat(np.cumsum(parts) - parts, parts)
+            to = ((mix(before[i]) + part.astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+            none = np.zeros(len(i), np.uint64)
+            words = [sym[i], before[i], *(none for _ in range(DEPTH - 1))]
+            length = np.ones(len(i), np.int64)
+            yield _blocks(to, buckets, _COUNTS, lambda j, words=words, length=length, n=n[i].astype(np.int64): pack(root, [w[j] for w in words], length[j], np.zeros(len(j), np.int64), n[j]))
 
-class SortedTable:
-    """A map from 64-bit keys to values as two sorted arrays."""
+    return run
 
-    def __init__(self, keys: np.ndarray, *values: np.ndarray):
-        order = np.argsort(keys)
-        self.keys, self.values = keys[order], [v[order] for v in values]
 
-    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Where each key is, and whether it is there."""
-        if not len(self.keys):
-            return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return at, self.keys[at] == keys
+PARTS = "row bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base double, score double, sym bigint, a double, b double"
 
 
-class Bitmap:
-    """Of keys, by their highest bits: a key that is in no table may pass, one that is always does."""
+def _scored(shared):
+    """Partial sums of texts, and a row for each token whose count is not held."""
+
+    def output(row, ids=None, held_out=None, sums=None, rest=None):
+        n = len(row)
+        nulls = lambda t: pa.nulls(n, t)
+        sums = [pa.array(x) for x in sums] if sums else [nulls(pa.int64()), nulls(pa.int64()), nulls(pa.float64()), nulls(pa.float64())]
+        rest = rest or [nulls(pa.int64()), nulls(pa.float64()), nulls(pa.float64())]
+        names = [x.split()[0] for x in PARTS.split(", ")]
+        return pa.RecordBatch.from_arrays([pa.array(row), ids if ids is not None else nulls(pa.int64()), held_out if held_out is not None else nulls(pa.bool_()), *sums, *rest], names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        root = shared.value
+        got: dict[int, list] = {}
+        for batch in batches:
+            for bucket, kind, block in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                if kind == _TEXTS:
+                    row, ids, flags = np.frombuffer(block, np.int64).reshape(3, -1)
+                    yield output(row, pa.array(ids, mask=flags >= 2), pa.array(flags % 2 == 1))
+                else:
+                    got.setdefault(bucket, []).append((kind, block))
+        for bucket in list(got):
+            kinds, blocks = zip(*got.pop(bucket), strict=True)
+            opened = [unpack(root, b) for b in blocks]
+            words = [np.concatenate([o[0][k] for o in opened]) for k in range(DEPTH + 1)]
+            length, row, weight = (np.concatenate([o[i] for o in opened]) for i in (1, 2, 3))
+            token = np.repeat(np.array(kinds) == _TOKENS, [len(o[1]) for o in opened])
+            del opened, blocks
+            split = root.parts.find(words[1])[1] & token & (length >= 1)
+            a, b, _ = branches(root, words, length, np.where(token, weight, 0), np.where(split, 0, weight))
+            words, row, a, b = words[0][token], row[token], a[token], b[token]
+            count, held = root.known(words)
+            texts, at = np.unique(row, return_inverse=True)
+            total = lambda x, at=at, n=len(texts): np.bincount(at, weights=x, minlength=n)
+            base = np.where(held, np.log10((count + 0.1) / root.unit), 0.0)
+            score = np.where(held, np.log10(np.where(held, a, 1.0)), 0.0)
+            yield output(texts, sums=[total(np.ones(len(at))).astype(np.int64), total(held).astype(np.int64), total(base), total(score)])
+            if not held.all():
+                yield output(row[~held], rest=[i64(words[~held]), pa.array(a[~held]), pa.array(b[~held])])
+
+    return run
+
+
+# ---------------------------------------------------------------- counts
+class _Sums:
+    """Counts of keys over a partition, given out when they grow large and at the end."""
 
-    def __init__(self, keys: DataFrame):
-        self.words = np.zeros(1 << (BITMAP - 6), np.int64)
-        at = F.shiftrightunsigned("key", 64 - BITMAP)
-        bit = F.expr(f"bit_or(shiftleft(1L, CAST(shiftrightunsigned(key, {64 - BITMAP}) & 63 AS INT)))")
-        got = keys.groupBy(F.shiftright(at, 6).alias("word")).agg(bit.alias("bits")).toArrow()  # a row a word of the bitmap at most
-        self.words[_column(got, "word")] = _column(got, "bits")
-        self.words = self.words.view(np.uint64)
+    def __init__(self) -> None:
+        self.parts, self.size = [], 0
+
+    def add(self, *keys: np.ndarray) -> bool:
+        if len(keys) == 1:
+            key, n = np.unique(keys[0], return_counts=True)
+            self.parts.append((key, n))
+        else:
+            _, at, n = np.unique(chained(*keys), return_index=True, return_counts=True)
+            self.parts.append((*(k[at] for k in keys), n))
+        self.size += len(self.parts[-1][0])
+        return self.size > 3_000_000
+
+    def take(self, names: list[str]) -> pa.RecordBatch:
+        columns = [np.concatenate(c) for c in zip(*self.parts, strict=True)] if self.parts else [np.zeros(0, np.uint64) for _ in names[:-1]] + [np.zeros(0, np.int64)]
+        self.parts, self.size = [], 0
+        *keys, n = columns
+        _, at, of = np.unique(keys[0] if len(keys) == 1 else chained(*keys), return_index=True, return_inverse=True)
+        return pa.RecordBatch.from_arrays([*(i64(k[at]) for k in keys), pa.array(np.bincount(of, weights=n, minlength=len(at)).astype(np.int64))], names)
+
+
+def _count(docs: DataFrame, names: list[str], columns_of) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = _Sums()
+        for _, data, off in text_chunks(batches, "text"):
+            if sums.add(*columns_of(data, off)):
+                yield sums.take([*names, "n"])
+        yield sums.take([*names, "n"])
 
-    def may_have(self, keys: np.ndarray) -> np.ndarray:
-        at = keys >> np.uint64(64 - BITMAP)
-        return (self.words[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+    schema = ", ".join(f"{c} bigint" for c in [*names, "n"])
+    return docs.select("text").mapInArrow(run, schema).groupBy(*names).agg(F.sum("n").alias("n"))
 
 
 def _column(table: pa.Table, name: str) -> np.ndarray:
@@ -165,243 +376,48 @@ def _largest(rows: DataFrame, room: int) -> DataFrame:
     return rows.where(level >= F.lit(least))
 
 
-class SuffixTree:
-    """The fitted model as tables. counts: code, n of each word. nexts, by context length: key, context,
-    suffix (the same symbol's key after the parent), n, total, kinds, p0 and p of every next symbol of every
-    state, where p0 is the root's probability of the symbol and p the state's."""
-
-    def __init__(self, counts: DataFrame, n: int, kinds: int):
-        self.counts, self.n, self.kinds = counts, n, kinds
-        self.nexts: list[DataFrame] = []
-        self.passes: list[Bitmap] = []
-
-    @property
-    def unit(self) -> float:
-        return self.n + 0.1 * (self.kinds + 1)
-
-    def values(self) -> DataFrame:
-        """key, v, n: log10 of p / p0 of next symbols; of states what an unseen next symbol has of its parent's probability."""
-        out = []
-        for t in self.nexts:
-            out.append(t.select("key", F.log10(F.col("p") / F.col("p0")).alias("v"), "n"))
-            state = t.groupBy("context").agg(F.first("total").alias("n"), F.first("kinds").alias("kinds"))
-            out.append(state.select(F.col("context").bitwiseXOR(F.lit(_STATE)).alias("key"), F.log10(DISCOUNT * F.col("kinds") / F.col("n")).alias("v"), "n"))
-        all_ = out[0]
-        for x in out[1:]:
-            all_ = all_.unionByName(x)
-        return all_
-
-    # for looking into small models: these pass whole tables through the driver
-    @cached_property
-    def _words(self) -> pa.Table:
-        return self.counts.orderBy(F.desc("n"), "code").toArrow()
-
-    @cached_property
-    def root(self) -> np.ndarray:
-        """Probabilities of the words by falling count, and at the end of an unseen word."""
-        return (np.append(_column(self._words, "n"), 0) + 0.1) / self.unit
-
-    @cached_property
-    def states(self) -> list[SortedTable]:
-        """Of the states of one symbol, the symbol's place in root."""
-        of = SortedTable(_column(self._words, "code"), np.arange(self._words.num_rows))
-        at = of.find(_column(self.nexts[0].select("context").distinct().toArrow(), "context"))[0]
-        return [SortedTable(of.values[0][at].astype(np.uint64))]
-
-    def probabilities(self, sym: np.ndarray, doc: np.ndarray) -> np.ndarray:
-        """Of each symbol, by its place in root, after what came before it in its text."""
-        code = np.append(_column(self._words, "code").view(np.uint64), mix(np.array([0xBAD], np.uint64)))
-        got = self.values().toArrow()
-        table = SortedTable(_column(got, "key").view(np.uint64), got.column("v").to_numpy())
-        item, key = lookups(code[sym.astype(np.int64)], doc, np.ones(len(doc), bool), self.passes)
-        at, ok = table.find(key)
-        tok, v = fold(item[ok], table.values[0][at[ok]])
-        p = np.log10(self.root[sym.astype(np.int64)])
-        p[tok] += v
-        return 10**p
-
-
-def lookups(h: np.ndarray, doc: np.ndarray, unseen: np.ndarray, passes: list[Bitmap]) -> tuple[np.ndarray, np.ndarray]:
-    """What the tokens may be found by: items (token << 4 | context length << 1 | 1 for a state) by token, and
-    keys. States are asked for only where `unseen`: the tokens of training texts are next symbols of each
-    of their states."""
-    items, keys = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
-    g = grams(h, doc, len(passes) + 1)
-    for length, bitmap in enumerate(passes, 1):
-        key, ok = g[length]
-        context = before(g[length - 1][0])
-        i = np.flatnonzero(ok & bitmap.may_have(context))
-        items.append(i << 4 | length << 1)
-        keys.append(key[i])
-        i = i[unseen[i]]
-        items.append(i << 4 | length << 1 | 1)
-        keys.append(context[i] ^ np.uint64(_STATE))
-    item, key = np.concatenate(items), np.concatenate(keys)
-    order = np.argsort(item, kind="stable")
-    return item[order], key[order]
-
-
-def _longest(item: np.ndarray, n: int, found: np.ndarray) -> np.ndarray:
-    """Of items that are needed: the next symbol in the longest state that has it, and the longer states."""
-    level, state, tok = item >> 1 & 7, item & 1 == 1, item >> 4
-    longest = np.zeros(n, np.int64)
-    of = found & ~state
-    np.maximum.at(longest, tok[of], level[of])
-    return (level > longest[tok]) | (~state & (level == longest[tok]))
-
-
-def fold(item: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Tokens, and log10 of their probability over the root's, from all items that were found."""
-    tok, at = np.unique(item >> 4, return_inverse=True)
-    dense = at.astype(np.int64) << 4 | item & 15
-    ok = _longest(dense, len(tok), np.ones(len(item), bool))
-    return tok, np.bincount(at[ok], weights=v[ok], minlength=len(tok))
-
-
-def fit(train: DataFrame) -> tuple[SuffixTree, SortedTable]:
-    """The tree, and the bounded table of the largest word counts."""
-    spark = train.sparkSession
+def count_words(train: DataFrame) -> tuple[Root, DataFrame]:
+    """What every task knows, and the counts of all words (code, n)."""
     counts = materialize(_count(train, ["code"], lambda d, o: token_stream(d, o)[:1]), "word-counts")
     total, kinds = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    end = int(np.array([_END_HASH], np.uint64).view(np.int64)[0])
-    top = _largest(counts.where(F.col("code") != end), MOST_COUNTS).toArrow()
-    n_end = (counts.where(F.col("code") == end).first() or [0, 0])[1]
-    big = SortedTable(np.append(_column(top, "code").view(np.uint64), np.uint64(_END_HASH)), np.append(_column(top, "n"), n_end))
-    tree = SuffixTree(counts, int(total), int(kinds))
-    p0 = (F.col("n") + 0.1) / tree.unit
-    parents = counts.select(F.col("code").alias("suffix"), p0.alias("p0"), p0.alias("p"))
-    repeated = Bitmap(counts.where((F.col("n") >= MIN_CONTEXT) & (F.col("code") != end)).select(F.col("code").alias("key")))
-    for length in range(1, DEPTH + 1):
-        shared = spark.sparkContext.broadcast(repeated)
-
-        def columns(data, off, length=length, shared=shared):
-            h, doc = token_stream(data, off)
-            g = grams(h, doc, length + 1)
-            key, ok = g[length]
-            context = before(g[length - 1][0])
-            ok &= shared.value.may_have(context)
-            return key[ok], context[ok], g[length - 1][0][ok]
-
-        seen = materialize(_count(train, ["key", "context", "suffix"], columns), f"contexts-{length}")
-        repeated = Bitmap(seen.where(F.col("n") >= MIN_CONTEXT))
-        nexts = materialize(_states(seen, parents), f"states-{length}")
-        tree.nexts.append(nexts)
-        tree.passes.append(Bitmap(nexts.select(F.col("context").alias("key"))))
-        parents = nexts.select(F.col("key").alias("suffix"), "p0", "p")
-    return tree, big
-
-
-def _states(seen: DataFrame, parents: DataFrame) -> DataFrame:
-    """Next symbols of the contexts of one length that are states; parents has those of the states one shorter."""
-    of = Window.partitionBy("context")
-    rows = seen.join(parents, "suffix").select("key", "context", "n", F.sum("n").over(of).alias("total"), F.count(F.lit(1)).over(of).alias("kinds"), "p0", "p")
-    ratio = F.col("n") / F.col("total") / F.col("p")
-    strong = ((ratio >= RATIO) | (ratio <= 1 / RATIO)) & (F.col("n") >= MIN_SYMBOL) & (F.col("n") * F.abs(F.log(ratio)) >= GAIN)
-    rows = rows.withColumn("diverges", F.max(strong).over(of)).where(F.col("diverges") & (F.col("total") >= MIN_CONTEXT))
-    return rows.select("key", "context", "n", "total", "kinds", "p0", ((F.col("n") - DISCOUNT + DISCOUNT * F.col("kinds") * F.col("p")) / F.col("total")).alias("p"))
-
-
-SCORED = "row bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base double, gain double, words array<bigint>, times array<int>, items array<int>, keys array<bigint>"
-
-
-def _folded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """row, gain2 of a row's found items."""
-    for batch in batches:
-        found = batch.column("found")
-        per = found.value_lengths().to_numpy(zero_copy_only=False)
-        each = found.flatten()
-        item, v = (each.field(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-        at = np.repeat(np.arange(batch.num_rows, dtype=np.int64), per)
-        tok, gain = fold(at << 36 | item.astype(np.int64), v)
-        yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(np.bincount(tok >> 32, weights=gain, minlength=batch.num_rows))], ["row", "gain2"])
-
-
-def score(docs: DataFrame, fitted: tuple[SuffixTree, SortedTable]) -> DataFrame:
-    """Scores whole texts; docs has doc_id, text, held_out. Texts that are not held out are training texts."""
-    tree, big = fitted
-    spark = docs.sparkSession
-    values = materialize(tree.values(), "values")
-    top = _largest(values, MOST_NEXTS).toArrow()
-    often = SortedTable(_column(top, "key").view(np.uint64), top.column("v").to_numpy())
-    shared = spark.sparkContext.broadcast((tree.passes, often, big, tree.unit))
+    top = _largest(counts, MOST_COUNTS).toArrow()
+    words, n = _column(top, "code").view(np.uint64), _column(top, "n")
+    order = np.lexsort((words, -n))
+    coded = words[order[:_CODES]]
+    long_ = (n > SPLIT) & (words != np.uint64(_END_HASH))
+    return Root(int(total), int(kinds), SortedTable(words, n), SortedTable(coded), SortedTable(words[long_], (-(-n[long_] // SPLIT)).astype(np.uint64))), counts
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
 
-        passes, often, big, unit = shared.value
-        at_row = TaskContext.get().partitionId() << 33
-        for batch, data, off in text_chunks(batches, "text"):
-            n = batch.num_rows
+def score(docs: DataFrame) -> DataFrame:
+    """Scores whole texts; docs has doc_id, text, held_out. Texts that are not held out are the training texts."""
+    spark = docs.sparkSession
+    train = docs.where(~F.col("held_out"))
+    root, counts = count_words(train)
+    buckets = n_partitions(spark)
+    shared = spark.sparkContext.broadcast(root)
+    blocks = docs.select("doc_id", "text", "held_out").mapInArrow(_dealt(shared, buckets), BLOCKS)
+    if len(root.parts.keys):
+
+        def after_long(data, off):
             h, doc = token_stream(data, off)
-            at, ok = big.find(h)
-            c = np.where(ok, big.values[0][at], 0) if len(big.keys) else np.zeros(len(h))
-            base = np.where(ok, np.log10((c + 0.1) / unit), 0.0)
-            total = lambda x: np.bincount(doc, weights=x, minlength=n)
-            # words that aren't in the table of large counts: (text, word) with its times
-            order = np.lexsort((h[~ok], doc[~ok]))
-            d, w = doc[~ok][order], h[~ok][order]
-            new = np.flatnonzero(np.concatenate([[True], (d[1:] != d[:-1]) | (w[1:] != w[:-1])])) if len(d) else np.zeros(0, np.int64)
-            times = np.diff(np.append(new, len(d)))
-            places = lambda x: pa.array(np.concatenate([[0], np.cumsum(np.bincount(x, minlength=n))]).astype(np.int32))
-            # tokens that the table of frequent next symbols settles, and the rest
-            item, key = lookups(h, doc, batch.column("held_out").to_numpy(zero_copy_only=False)[doc], passes)
-            place, found = often.find(key)
-            needed = _longest(item, len(h), found)
-            item, key, place, found = item[needed], key[needed], place[needed], found[needed]
-            open_ = np.zeros(len(h), bool)
-            open_[item[~found] >> 4] = True
-            rest = open_[item >> 4]
-            gain = np.zeros(len(h))
-            if not rest.all():
-                tok, v = fold(item[~rest], often.values[0][place[~rest]])
-                gain[tok] = v
-            item, key = item[rest], key[rest]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(at_row + np.arange(n)),
-                    batch.column("doc_id").cast(pa.int64()),
-                    batch.column("held_out"),
-                    pa.array(np.bincount(doc, minlength=n)),
-                    pa.array(total(ok & (c > 0)).astype(np.int64)),
-                    pa.array(total(base)),
-                    pa.array(total(gain)),
-                    pa.ListArray.from_arrays(places(d[new]), i64(w[new])),
-                    pa.ListArray.from_arrays(places(d[new]), pa.array(times.astype(np.int32))),
-                    pa.ListArray.from_arrays(places(doc[item >> 4]), pa.array(item.astype(np.int32))),
-                    pa.ListArray.from_arrays(places(doc[item >> 4]), i64(key)),
-                ],
-                ["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "gain", "words", "times", "items", "keys"],
-            )
-            at_row += n
-
-    rows = materialize(docs.select("doc_id", "text", "held_out").mapInArrow(run, SCORED), "scored")
-    pairs = rows.select("row", F.explode(F.arrays_zip("words", "times")).alias("x")).select("row", F.col("x.words").alias("code"), F.col("x.times").alias("times"))
-    c = F.coalesce("n", F.lit(0))
-    tail = (
-        pairs.join(tree.counts, "code", "left")
-        .groupBy("row")
-        .agg(
-            F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("known2"),
-            F.sum(F.col("times") * F.log10((c + 0.1) / tree.unit)).alias("base2"),
-        )
-    )
-    asked = rows.select("row", F.explode(F.arrays_zip("items", "keys")).alias("x")).select("row", F.col("x.items").alias("item"), F.col("x.keys").alias("key"))
-    found = asked.join(values.select("key", "v"), "key").groupBy("row").agg(F.collect_list(F.struct("item", "v")).alias("found"))
-    gains = found.mapInArrow(_folded, "row bigint, gain2 double")
-    none = F.lit(0.0)
-    base = F.col("base") + F.coalesce("base2", none)
-    return rows.drop("words", "times", "items", "keys").join(tail, "row", "left").join(gains, "row", "left").select(
-        "doc_id",
-        "held_out",
-        "n_tokens",
-        (F.col("n_known") + F.coalesce("known2", F.lit(0))).alias("n_known"),
-        F.lit(tree.n).cast("bigint").alias("train_tokens"),
-        base.alias("base_score"),
-        (base + F.col("gain") + F.coalesce("gain2", none)).alias("score"),
+            use = np.flatnonzero((doc[1:] == doc[:-1]) & shared.value.parts.find(h[:-1])[1])
+            return h[use], h[use + 1]
+
+        split = _count(train, ["before", "sym"], after_long)
+        blocks = blocks.unionByName(split.mapInArrow(_split_counts(shared, buckets), BLOCKS))
+    parts = materialize(blocks.repartitionById(buckets, "bucket").mapInArrow(_scored(shared), PARTS), "scored")
+    n = F.coalesce("n", F.lit(0))
+    p0 = (n + 0.1) / F.lit(root.unit)
+    rest = parts.where("sym IS NOT NULL").select("row", "sym", "a", "b").join(counts.withColumnRenamed("code", "sym"), "sym", "left")
+    null = lambda t: F.lit(None).cast(t)
+    finished = rest.select(
+        "row", null("bigint").alias("doc_id"), null("boolean").alias("held_out"), null("bigint").alias("n_tokens"), (n > 0).cast("bigint").alias("n_known"), F.log10(p0).alias("base"), F.log10(F.col("a") + F.col("b") * p0).alias("score")
     )
+    sums = parts.where("sym IS NULL").drop("sym", "a", "b").unionByName(finished).groupBy("row")
+    added = sums.agg(F.max("doc_id").alias("doc_id"), F.max("held_out").alias("held_out"), *(F.sum(c).alias(c) for c in ("n_tokens", "n_known", "base", "score")))
+    return added.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(root.n).cast("bigint").alias("train_tokens"), F.col("base").alias("base_score"), "score")
 
 
 def op1_suffix_tree_lm(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """Learns from documents whose crc32(doc_id) mod 10 is not 0 and scores all."""
-    docs = docs.select("doc_id", "text", (crc_mod("doc_id", 10) == 0).alias("held_out"))
-    return score(docs, fit(docs.where(~F.col("held_out"))))
+    return score(docs.select("doc_id", "text", (crc_mod("doc_id", 10) == 0).alias("held_out")))
