@@ -48,6 +48,8 @@ MOST_COUNTS = 1 << 18
 _CODES = (1 << 16) - 2
 #: Tokens after one word that one task takes.
 SPLIT = 1 << 22
+#: Tokens whose branches are in memory together.
+TASK = 1 << 19
 #: Tokens that a task gathers before it sends them on.
 _FLUSH = 1 << 21
 _END_HASH = int(mix(np.array([0xE0D0], np.uint64))[0])
@@ -281,7 +283,7 @@ def _split_counts(shared, buckets: int):
 PARTS = "row bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base double, score double, sym bigint, a double, b double"
 
 
-def _scored(shared):
+def _scored(shared, together: int):
     """Partial sums of texts, and a row for each token whose count is not held."""
 
     def output(row, ids=None, held_out=None, sums=None, rest=None):
@@ -303,27 +305,46 @@ def _scored(shared):
                 else:
                     got.setdefault(bucket, []).append((kind, block))
         for bucket in list(got):
-            kinds, blocks = zip(*got.pop(bucket), strict=True)
-            opened = [unpack(root, b) for b in blocks]
-            words = [np.concatenate([o[0][k] for o in opened]) for k in range(DEPTH + 1)]
-            length, row, weight = (np.concatenate([o[i] for o in opened]) for i in (1, 2, 3))
-            token = np.repeat(np.array(kinds) == _TOKENS, [len(o[1]) for o in opened])
-            del opened, blocks
+            yield from score_bucket(root, got.pop(bucket))
+
+    def score_bucket(root, blocks):
+        """Whole branches at a time, about `together` tokens, and then what each text got from all of them."""
+        turns = 1 + sum(int(np.frombuffer(b, np.int64, 1)[0]) for _, b in blocks) // together
+        sums = []
+        for turn in range(turns):
+            opened = [(kind, _turn(unpack(root, b), turn, turns)) for kind, b in blocks]
+            words = [np.concatenate([o[0][k] for _, o in opened]) for k in range(DEPTH + 1)]
+            length, row, weight = (np.concatenate([o[i] for _, o in opened]) for i in (1, 2, 3))
+            token = np.repeat([kind == _TOKENS for kind, _ in opened], [len(o[1]) for _, o in opened])
+            del opened
             split = root.parts.find(words[1])[1] & token & (length >= 1)
             a, b, _ = branches(root, words, length, np.where(token, weight, 0), np.where(split, 0, weight))
             words, row, a, b = words[0][token], row[token], a[token], b[token]
             count, held = root.known(words)
-            texts, at = np.unique(row, return_inverse=True)
-            total = lambda x, at=at, n=len(texts): np.bincount(at, weights=x, minlength=n)
             base = np.where(held, np.log10((count + 0.1) / root.unit), 0.0)
             score = np.where(held, np.log10(np.where(held, a, 1.0)), 0.0)
-            yield output(texts, sums=[total(np.ones(len(at))).astype(np.int64), total(held).astype(np.int64), total(base), total(score)])
+            sums.append(added(row, np.ones(len(row)), held, base, score))
             if not held.all():
                 yield output(row[~held], rest=[i64(words[~held]), pa.array(a[~held]), pa.array(b[~held])])
+        row, n, known, base, score = added(*(np.concatenate(x) for x in zip(*sums, strict=True)))
+        yield output(row, sums=[n.astype(np.int64), known.astype(np.int64), base, score])
+
+    def added(row, *columns):
+        texts, at = np.unique(row, return_inverse=True)
+        return texts, *(np.bincount(at, weights=x, minlength=len(texts)) for x in columns)
 
     return run
 
 
+def _turn(opened, turn: int, turns: int):
+    """The rows of a block whose branches have their turn."""
+    if turns == 1:
+        return opened
+    words, length, row, extra = opened
+    i = np.flatnonzero((mix(np.where(length >= 1, words[1], words[0])) >> np.uint64(40)) % np.uint64(turns) == turn)
+    return [w[i] for w in words], length[i], row[i], extra[i]
+
+
 # ---------------------------------------------------------------- counts
 class _Sums:
     """Counts of keys over a partition, given out when they grow large and at the end."""
@@ -405,7 +426,7 @@ def score(docs: DataFrame) -> DataFrame:
 
         split = _count(train, ["before", "sym"], after_long)
         blocks = blocks.unionByName(split.mapInArrow(_split_counts(shared, buckets), BLOCKS))
-    parts = materialize(blocks.repartitionById(buckets, "bucket").mapInArrow(_scored(shared), PARTS), "scored")
+    parts = materialize(blocks.repartitionById(buckets, "bucket").mapInArrow(_scored(shared, TASK), PARTS), "scored")
     n = F.coalesce("n", F.lit(0))
     p0 = (n + 0.1) / F.lit(root.unit)
     rest = parts.where("sym IS NOT NULL").select("row", "sym", "a", "b").join(counts.withColumnRenamed("code", "sym"), "sym", "left")

@@ -128,6 +128,7 @@ CHAINS = {1000 + i: ("p one two x", "q one two y", "r two z")[i % 3] for i in ra
 def test_op1_is_the_whole_tree(spark, monkeypatch, split):
     """Also where branches of frequent words are dealt in parts."""
     monkeypatch.setattr(suffix_tree_lm, "SPLIT", split)
+    monkeypatch.setattr(suffix_tree_lm, "TASK", 50 * split)
     all_texts = texts() | CHAINS
     got = {r.doc_id: r.score for r in OPERATORS[1](spark, spark.createDataFrame(list(all_texts.items()), "doc_id bigint, text string")).collect()}
     tokens = {i: [*words(t), "end"] for i, t in all_texts.items()}
@@ -137,14 +138,16 @@ def test_op1_is_the_whole_tree(spark, monkeypatch, split):
 
 
 def test_op1_words_beyond_those_that_are_held(spark, monkeypatch):
-    """Counts and base do not depend on how many words every task holds; scores hardly do."""
+    """Counts and base do not depend on how many words every task holds; fewer contexts are kept, but they still tell."""
     docs = spark.createDataFrame(list((texts() | CHAINS).items()), "doc_id bigint, text string")
     whole = {r.doc_id: r for r in OPERATORS[1](spark, docs).collect()}
     monkeypatch.setattr(suffix_tree_lm, "MOST_COUNTS", 8)
-    for r in OPERATORS[1](spark, docs).collect():
+    got = OPERATORS[1](spark, docs).collect()
+    assert sum(r.base_score for r in got) < sum(r.score for r in got) < 0
+    for r in got:
         w = whole[r.doc_id]
         assert (r.n_tokens, r.n_known, r.train_tokens) == (w.n_tokens, w.n_known, w.train_tokens)
-        assert r.base_score == pytest.approx(w.base_score, rel=1e-9) and r.score == pytest.approx(w.score, rel=0.2)
+        assert r.base_score == pytest.approx(w.base_score, rel=1e-9)
 
 
 def test_op1_contexts_count_as_the_corpus_grows(spark):
