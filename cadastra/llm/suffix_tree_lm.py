@@ -49,9 +49,9 @@ _CODES = (1 << 16) - 2
 #: Tokens after one word that one task takes.
 SPLIT = 1 << 22
 #: Tokens whose branches are in memory together.
-TASK = 1 << 19
+TASK = 1 << 18
 #: Tokens that a task gathers before it sends them on.
-_FLUSH = 1 << 21
+_FLUSH = 1 << 20
 _END_HASH = int(mix(np.array([0xE0D0], np.uint64))[0])
 _NONE, _SPELT = 0xFFFE, 0xFFFF
 
