@@ -6,11 +6,11 @@ gets the suffix _geo on the geocode's side."""
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cadastra.functions import text as tx
+from cadastra.session import materialize
 
 
 def _suffixed(geo: DataFrame, registry: DataFrame) -> DataFrame:
@@ -39,7 +39,7 @@ def exact(registry: DataFrame, geo: DataFrame, town: str = "town", null_matches:
 
 def exact_split(registry: DataFrame, geo: DataFrame, **options) -> tuple[DataFrame, DataFrame]:
     """(matched, unmatched registry rows) of one exact pass, joined once."""
-    joined = exact(registry, geo, **options).persist(StorageLevel.MEMORY_AND_DISK)
+    joined = materialize(exact(registry, geo, **options), "exact")
     gid = _name("gid", registry)
     return joined.where(F.col(gid).isNotNull()), joined.where(F.col(gid).isNull()).select(*registry.columns)
 

@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cadastra.functions import geometry as g
+from cadastra.functions import projection, shapes
 from cadastra.functions import text as tx
-from cadastra.operators import graph, labels, link, parcels, relational, separator, smooth, spatial
+from cadastra.operators import graph, labels, link, network, overlay, parcels, relational, separator, smooth, spatial
 from cadastra.plans.derive import CELLS, EDGES, GEOCODES, LINES, LINK, POINTS, REGISTRY, TOWNS, Tables, plain
 from cadastra.session import materialize, scratch_dir
 from cadastra.sources import readers, sinks
@@ -717,3 +718,110 @@ def territories(t):
     """All of labelling: blocks labelled, mixed ones halved, empty pieces filled, labels dissolved."""
     whole = labels.territories(points(t), cells(t), "cell", "label", 5.0)
     return whole.select("label", "color", r6(g.area(F.col("poly"))).alias("area"), F.size("poly").alias("rings"))
+
+
+# ---------------------------------------------------------------- overlay, networks, projection, mixed geometries
+_OVERLAP = "greatest(0, least(x0 + 5, {2}) - greatest(x0, {0})) * greatest(0, least(y0 + 5, {3}) - greatest(y0, {1}))"
+
+
+@query(
+    f"""WITH a AS (SELECT cell, {_OVERLAP.format(12.5, "50 * town + 2.5", 487.5, "50 * town + 47.5")} - {_OVERLAP.format(100, "50 * town + 10", 200, "50 * town + 20")} AS area FROM ({plain(CELLS)}) JOIN ({plain(TOWNS)}) ON floor(y0 / 50) = town)
+    SELECT cell, round(area, 6)::DOUBLE AS area FROM a WHERE area > 0"""
+)
+def cells_clipped_to_town(t):
+    """What lies in the towns of every cell, cut along their boundaries and holes."""
+    kept = overlay.clip_to_boundary(cells(t), _towns(t), "cell", 5.0)
+    return kept.groupBy("cell").agg(r6(F.sum(g.area(F.col("poly")))).alias("area"))
+
+
+_PLACES = "SELECT event_id, CAST(15 AS DOUBLE) + CAST(event_id % 600 AS DOUBLE) / 100 AS lon, CAST(45 AS DOUBLE) + CAST(event_id * 7 % 400 AS DOUBLE) / 100 AS lat FROM {events}"
+
+
+def _utm_sql() -> str:
+    """The third-order series, written out."""
+    n = f"({projection.N!r}::DOUBLE)"
+    ecc = f"(2 * sqrt({n}) / (1 + {n}))"
+    a = (f"({n} / 2 - 2 * {n}^2 / 3 + 5 * {n}^3 / 16)", f"(13 * {n}^2 / 48 - 3 * {n}^3 / 5)", f"(61 * {n}^3 / 240)")
+    east = " + ".join(f"{c} * cos({2 * j} * xi) * sinh({2 * j} * eta)" for j, c in enumerate(a, 1))
+    north = " + ".join(f"{c} * sin({2 * j} * xi) * cosh({2 * j} * eta)" for j, c in enumerate(a, 1))
+    radius = f"(6378137 / (1 + {n}) * (1 + {n}^2 / 4 + {n}^4 / 64) * 0.9996)"
+    return f"""WITH p AS (SELECT event_id, floor(lon / 6)::INT + 31 AS zone, radians(lat) AS phi, radians(lon - (floor(lon / 6) * 6 + 3)) AS lam FROM ({plain(_PLACES)})),
+    t AS (SELECT *, sinh(atanh(sin(phi)) - {ecc} * atanh({ecc} * sin(phi))) AS t FROM p), x AS (SELECT *, atan2(t, cos(lam)) AS xi, atanh(sin(lam) / sqrt(1 + t * t)) AS eta FROM t)
+    SELECT event_id, zone, round(500000 + {radius} * (eta + {east}), 3) AS x, round({radius} * (xi + {north}), 3) AS y FROM x"""
+
+
+@query(_utm_sql())
+def points_to_metric(t):
+    """Longitudes and latitudes to metres of their zone."""
+    rows = t.sql(_PLACES).withColumn("zone", projection.zone(F.col("lon")))
+    m = projection.to_metric(g.point(F.col("lon"), F.col("lat")), F.col("zone"))
+    return rows.withColumn("m", m).select("event_id", "zone", F.round("m.x", 3).alias("x"), F.round("m.y", 3).alias("y"))
+
+
+@query(f"SELECT event_id, round(lon, 7) AS lon, round(lat, 7) AS lat FROM ({plain(_PLACES)})")
+def points_there_and_back(t):
+    rows = t.sql(_PLACES).withColumn("zone", projection.zone(F.col("lon")))
+    rows = rows.withColumn("b", projection.to_degrees(projection.to_metric(g.point(F.col("lon"), F.col("lat")), F.col("zone")), F.col("zone")))
+    return rows.select("event_id", F.round("b.x", 7).alias("lon"), F.round("b.y", 7).alias("lat"))
+
+
+def _mixed(t):
+    """A geometry of some kind for each cell: a point, a line, two lines, a polygon, a collection, or none."""
+    x, y, k = F.col("x0"), F.col("y0"), F.col("cell") % 7
+    pt = shapes.part("Point", F.array(F.array(g.point(x, y))))
+    ln = shapes.part("LineString", F.array(F.array(g.point(x, y), g.point(x + 1, y), g.point(x + 1, y + 2))))
+    poly = shapes.part("Polygon", g.rectangle(x, y, x + 5, y + 5))
+    none = F.array().cast(shapes.SHAPE)
+    shape = F.when(k == 0, F.array(pt)).when(k == 1, F.array(ln)).when(k == 2, F.array(ln, ln)).when(k == 3, F.array(poly)).when(k == 4, F.array(pt, ln, poly)).when(k == 5, none)
+    return t.sql(CELLS).select("cell", shape.alias("shape"))
+
+
+_KIND = "CASE cell % 7 WHEN 0 THEN 'Point' WHEN 1 THEN 'LineString' WHEN 2 THEN 'MultiLineString' WHEN 3 THEN 'Polygon' WHEN 4 THEN 'GeometryCollection' END"
+
+
+@query(f"SELECT {_KIND} AS kind, count(*) AS n FROM ({plain(CELLS)}) GROUP BY 1")
+def geom_type_hist(t):
+    """Kinds of geometries, counted; those without any part are null."""
+    return _mixed(t).groupBy(shapes.kind(F.col("shape")).alias("kind")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"SELECT cell FROM ({plain(CELLS)}) WHERE cell % 7 = 3")
+def geom_type_filter(t):
+    return _mixed(t).where(shapes.kind(F.col("shape")).isin("Polygon", "MultiPolygon")).select("cell")
+
+
+@query(f"SELECT cell, cell % 7 >= 5 AS empty FROM ({plain(CELLS)})")
+def geom_empty(t):
+    return _mixed(t).select("cell", shapes.is_empty(F.col("shape")).alias("empty"))
+
+
+@query(f"SELECT cell, i::INT AS part, 3.0::DOUBLE AS length FROM ({plain(CELLS)}), range(2) r(i) WHERE cell % 7 IN (1, 4) AND i = 0 OR cell % 7 = 2")
+def lines_extracted(t):
+    """The lines of all geometries, one a row."""
+    return _mixed(t).select("cell", F.posexplode(shapes.lines_of(F.col("shape"))).alias("part", "line")).select("cell", "part", r6(g.length(F.col("line"))).alias("length"))
+
+
+@query(
+    f"""WITH c AS ({plain(CELLS)}) SELECT cell, 0 AS i, x0 AS x, y0 AS y FROM c WHERE cell % 7 IN (0, 1, 2, 4) UNION ALL SELECT cell, 1, x0 + 1, y0 + 2 FROM c WHERE cell % 7 IN (1, 2)
+    UNION ALL SELECT cell, 1, x0, y0 FROM c WHERE cell % 7 = 4 UNION ALL SELECT cell, 2, x0 + 1, y0 + 2 FROM c WHERE cell % 7 = 4 UNION ALL SELECT cell, 2, x0, y0 FROM c WHERE cell % 7 = 2 UNION ALL SELECT cell, 3, x0 + 1, y0 + 2 FROM c WHERE cell % 7 = 2"""
+)
+def points_extracted(t):
+    """Points as they are and the two ends of lines."""
+    return _mixed(t).select("cell", F.posexplode(shapes.points_of(F.col("shape"))).alias("i", "p")).select("cell", "i", "p.x", "p.y")
+
+
+@query()
+def town_blocks(t):
+    """From roads to blocks: streets between the suppliers' places on a grid, every third one cut short, in two rows of
+    residential boxes of which the town's boundary cuts some."""
+    k = F.col("s_suppkey")
+    n = t.read("supplier").select(k.alias("osmid"), g.point(F.floor(k / 5) * 120.0, k % 5 * 120.0).alias("pt"))
+    right, up = n.select(F.col("osmid").alias("u"), (F.col("osmid") + 5).alias("v")), n.where("osmid % 5 < 4 AND osmid % 3 > 0").select(F.col("osmid").alias("u"), (F.col("osmid") + 1).alias("v"))
+    known = n.select(F.col("osmid").alias("v"))
+    e = right.unionByName(up).join(known, "v", "left_semi").select("u", "v", F.lit(0).alias("key"), F.lit(None).cast(g.LINE).alias("line"))
+    col = n.select(F.floor(F.col("osmid") / 25).alias("id")).distinct()
+    homes = col.select("id", g.rectangle(F.col("id") * 600.0 - 60, F.lit(-60.0), F.col("id") * 600.0 + 540, F.lit(540.0)).alias("poly"))
+    last = n.agg(F.max("pt.x").alias("x"))
+    town = last.select(g.rectangle(F.lit(-30.0), F.lit(-100.0), F.col("x") + 30, F.lit(520.0)).alias("poly"))
+    blocks = network.town_blocks(n, e, homes, town, 60.0)
+    return blocks.select("block", r6(g.area(F.col("poly"))).alias("area"), F.size("poly").alias("rings"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,9 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share (spark.checkpoint.dir); a folder of our own only where it is unset."""
+    """The folder that driver and executors share (spark.checkpoint.dir); a folder of our own only where it is unset and all
+    of Spark runs in this one process."""
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("cadastra.scratch", None)
     if not path:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         path = "file://" + tempfile.mkdtemp(prefix="cadastra-")
         spark.conf.set("cadastra.scratch", path)
     return path.rstrip("/")
