@@ -59,11 +59,14 @@ def exponent(sources: DataFrame, target_entropy: float | None = None, max_repeat
         return 1.0
     shares = sources.where("tokens > 0").select((F.col("tokens") / F.lit(float(total))).alias("p"))
     least, most = shares.agg(F.min("p"), F.max("p")).first()
-    low = 0.0
-    if max_repeats is not None and most > least:
-        low = max(0.0, 1.0 - math.log(max(max_repeats, 1.0)) / math.log(most / least))
+
+    def few_repeats(points: list[float]) -> list[bool]:
+        """Whether the source with the smallest share is repeated max_repeats times as often as the largest at most."""
+        return [(most / least) ** (1 - a) <= max(max_repeats, 1.0) * (1 + 1e-12) for a in points]
+
+    low = 0.0 if max_repeats is None else _bisect(0.0, 1.0, few_repeats)
     if target_entropy is None:
-        return _bisect(low, 1.0, lambda a: [(most / least) ** (1 - x) <= (max_repeats or math.inf) * (1 + 1e-12) for x in a]) if max_repeats else 0.0
+        return low
 
     def even_enough(points: list[float]) -> list[bool]:
         """Whether the entropy at each exponent is at most the target (it falls as a rises)."""
@@ -128,13 +131,16 @@ def join_sources(rows: DataFrame, sources: DataFrame, how: str, every: bool = Fa
     return out.drop("docs")
 
 
-def mix_documents(docs: DataFrame, planned: DataFrame, seed: int = 0) -> DataFrame:
-    """docs as the plan gives them out: a row for each epoch, with all their columns and `epoch`.
+def mix_documents(docs: DataFrame, planned: DataFrame, seed: int = 0, epoch: str | None = "epoch") -> DataFrame:
+    """docs as the plan gives them out: a row for each epoch, with all their columns and, if it has a name, the epoch's number.
     Decided row by row from the plan: texts are not shuffled."""
-    at = join_sources(keyed(docs), planned.select(_KEY, "docs", "full", "cut"), "inner")
+    inner = docs.toDF(*(f"_c{i}" for i in range(len(docs.columns))))  # so that no column of docs is taken for one of the plan's
+    named = {c: F.col(f"_c{i}") for i, c in enumerate(docs.columns)}
+    inner = inner.withColumns({"doc_id": named["doc_id"], "source": named["source"]})
+    at = join_sources(keyed(inner), planned.select(_KEY, "docs", "full", "cut"), "inner")
     epochs = at.withColumn("_epoch", F.explode(F.sequence(F.lit(0), F.col("full"))))
     kept = epochs.where((F.col("_epoch") < F.col("full")) | (draw(F.col("_epoch"), seed) <= F.col("cut")))
-    return kept.select(*docs.columns, F.col("_epoch").alias("epoch"))
+    return kept.select(*(v.alias(c) for c, v in named.items() if c != epoch), *([F.col("_epoch").alias(epoch)] if epoch else []))
 
 
 def op4_mixing(spark: SparkSession, docs: DataFrame) -> DataFrame:

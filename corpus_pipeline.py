@@ -1,7 +1,12 @@
 """The corpus pipeline: language ID, near-dedup, decontamination, mixing, token records.
 
 Each stage takes (spark, docs, sf_dir) and gives the columns of documents again, the last
-the token records it wrote, as read back. Extra columns travel along.
+the token records it wrote, as read back. Extra columns travel along, whatever their names.
+
+Defined cases: a document with a null or blank text, or without letters, has no language and goes
+in the first stage; a null doc_id is a value like any other; rows of one doc_id with different texts are
+different documents; wholly equal texts are copies, of which the one with the smallest doc_id stays (null last);
+an empty table gives empty stages.
 """
 
 from __future__ import annotations
@@ -16,19 +21,23 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Learns the languages of the labelled texts; texts that the models reject go, the others
     carry the language found as `lang`."""
     model = language_id.fit(docs.select("doc_id", "text", "lang"))
-    found = language_id.predict(docs, model)
-    return found.where("NOT rejected").select(*(F.col("lang_pred").alias(c) if c == "lang" else F.col(c) for c in docs.columns))
+    inner = {c: c if c == "text" else f"_{i}" for i, c in enumerate(docs.columns)}  # so that no column of docs is taken for one of the model's
+    found = language_id.predict(docs.toDF(*inner.values()), model).where("NOT rejected")
+    return found.select(*(F.col("lang_pred" if c == "lang" else inner[c]).alias(c) for c in docs.columns))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays: the one with the smallest doc_id, and
-    of rows with that doc_id the first text in order."""
-    marks = minhash_dedup.near_duplicates(docs, k=5, percent=80)
-    gone = marks.where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
-    left = docs.join(gone, docs.doc_id == gone._gone, "left_anti")
-    if left.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL").limit(1).count():
-        left = left.orderBy("doc_id", "text").dropDuplicates(["doc_id"]).unionByName(left.where("doc_id IS NULL")).distinct()
-    return left
+    """One document of each group of near duplicates stays: the one with the smallest doc_id. Rows are told
+    apart by doc_id and text together, so that a shared or missing doc_id costs no document."""
+    inner = docs.toDF(*(f"_{i}" for i in range(len(docs.columns))))
+    doc_id, text = (F.col(f"_{docs.columns.index(c)}") for c in ("doc_id", "text"))
+    inner = inner.withColumn("_key", F.xxhash64(F.coalesce(doc_id.cast("string"), F.lit("null")), F.coalesce(text, F.lit(""))))
+    marks = minhash_dedup.near_duplicates(inner.select(F.col("_key").alias("doc_id"), text.alias("text")), k=5, percent=80)
+    groups = marks.select(F.col("doc_id").alias("_key"), "component_id").distinct()
+    places = inner.select("_key", F.struct(doc_id.isNull().alias("none"), doc_id.alias("doc_id")).alias("place"))
+    first = places.join(groups, "_key").groupBy("component_id").agg(F.min(F.struct("place", "_key"))["_key"].alias("_key")).select("_key")
+    kept = inner.join(first, "_key", "left_semi").dropDuplicates(["_key"])
+    return kept.select(*(F.col(f"_{i}").alias(c) for i, c in enumerate(docs.columns)))
 
 
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,7 +48,7 @@ def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Small sources are repeated, up to twice, to temper the shares of large ones; every
     document is given out at least once."""
-    return mixing.mix_documents(docs, mixing.plan(docs)).select(*docs.columns)
+    return mixing.mix_documents(docs, mixing.plan(docs.select("doc_id", "source", "text")), epoch=None)
 
 
 def write_token_records(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ def texts() -> dict[int, str | None]:
         words = out[i - 70].split(" ")
         words[len(words) // 2] = "changed"
         out[i] = " ".join(words)
-    out |= {84: None, 85: "", 86: " \n\t ", 87: "...", 88: "x", 89: out[3], 90: out[3].upper(), 91: "é" * 1000, 92: "ab " * 700, 93: "ab " * 700, 94: " word\x1cwith odd spaces ", 95: "İIΣ <|endoftext|> don't 3/4"}
+    out |= {84: None, 85: "", 86: " \n\t ", 87: "...", 88: "x", 89: out[3], 90: out[4].upper(), 91: "é" * 1000, 92: "ab " * 700, 93: "ab " * 700, 94: " word\x1cwith odd spaces ", 95: "İIΣ <|endoftext|> don't 3/4"}
     return out
 
 
