@@ -8,11 +8,11 @@ similarity, however small they are. ROWS bins make a band; equal bands share a b
 
 At J = 0.8, 42 bands of 6 rows miss a pair with probability (1 - 0.8**6)**42 = 3e-6.
 
-Candidate edges are stars: a round links the members of a bucket to a few centres only,
-never all pairs. Links are confirmed on the full sets. Buckets whose members have come
-into one component are done - further links there change nothing; in the others the
-number of centres doubles, so that every bucket ends either in one component or with
-every pair across its components tested. Equal sets are merged before all this.
+Candidate edges are stars: the members of a bucket are linked to one centre, never all pairs,
+and confirmed on the full sets. Buckets whose members have come into one component are done -
+further links there change nothing. In the others every pair must be tested, or a link could be
+lost: their members are tested in blocks of bounded size, each two blocks by one product of
+matrices, which gives out no row for a pair. Equal sets are merged before all this.
 
 Defined cases: null or blank text has an empty set and links with nothing; repeated rows
 with one doc_id are copies of each other; extra columns are ignored; an empty table gives
@@ -35,6 +35,8 @@ BINS = BANDS * ROWS
 #: Agreeing sketch bits under which a pair can be passed over: at J = 0.8 they are 0.9 of
 #: 252, with a deviation of 4.8; 200 is over 5 deviations below (one such pair in a hundred million).
 LEAST_AGREEING = 200
+#: Members of a block, and shingles of one step of a product: what a task holds is bounded by these.
+BLOCK, COLUMNS = 2048, 2048
 
 
 def shingle_hashes(data: np.ndarray, off: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -207,53 +209,85 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
 
 
 def _links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Confirmed links between classes; enough of them for all components.
-
-    The first centre of a bucket is the member that meets most others over all bands: the
-    text that near copies were made from, where there is one. Later centres are drawn by
-    hash, four times as many a round."""
-    spark = members.sparkSession
-    links = spark.createDataFrame([], "a bigint, b bigint")
-    failed = spark.createDataFrame([], "a bigint, b bigint")
+    """Links between classes, enough of them for all components.
+
+    First a star in each bucket, around the member that meets most others over all bands: the text that near
+    copies were made from, where there is one. What is left, buckets whose members are in several components
+    still, is tested in blocks."""
     bucket = ["band", "bucket"]
     meets = members.groupBy("rep").agg(F.sum("size").alias("meets"))
-    live = members.join(meets, "rep").withColumn("label", F.col("rep"))
+    live = members.join(meets, "rep")
     agree = F.lit(0)
     for i in range(4):
         agree = agree + F.bit_count(F.col("sketch")[i].bitwiseXOR(F.col("c_sketch")[i]))
     shared = F.size(F.array_intersect("set_a", "set_b"))
-    had, want = 0, 1
-    while True:
-        if not had:
-            first = live.groupBy(bucket).agg(F.max(F.struct("meets", (-F.col("rep")).alias("rep"))).alias("c")).select(*bucket, (-F.col("c.rep")).alias("rep"))
-            picked = live.join(first, [*bucket, "rep"])
-        else:  # the slice of the bucket's members between had and want
-            picked = live.where(F.col("turn") < F.lit(want) / F.col("size")).where(F.col("turn") >= F.lit(had if had > 1 else 0) / F.col("size"))
-        centres = picked.select(*bucket, F.col("rep").alias("c"), F.col("label").alias("cl"), F.col("n").alias("c_n"), F.col("sketch").alias("c_sketch"))
-        swap = F.col("rep") > F.col("c")
-        ends = [F.least("rep", "c").alias("a"), F.greatest("rep", "c").alias("b"), F.when(swap, F.col("cl")).otherwise(F.col("label")).alias("la"), F.when(swap, F.col("label")).otherwise(F.col("cl")).alias("lb")]
-        alike = (100 * F.least("n", "c_n") >= percent * F.greatest("n", "c_n")) & (agree <= BINS - LEAST_AGREEING)
-        near = live.join(centres, bucket).where("label <> cl").where(alike).select(*ends).distinct()
-        if had:
-            near = near.join(failed, ["a", "b"], "left_anti")
-        for x in ("a", "b"):
-            near = near.join(sets.select(F.col("rep").alias(x), F.col("shingles").alias(f"set_{x}")), x)
-        ok = 100 * shared >= percent * (F.size("set_a") + F.size("set_b") - shared)
-        tested = materialize(near.select("a", "b", "la", "lb", ok.alias("ok")), "tested")
-        links = links.unionByName(tested.where("ok").select("a", "b"))
-        failed = failed.unionByName(tested.where("NOT ok").select("a", "b"))
-        found = tested.where("ok").count()
-        if found:  # components of components: only this round's links
-            now = connected_components(tested.where("ok").select(F.col("la").alias("a"), F.col("lb").alias("b")), _parts(spark, found))
-            live = live.join(now.select(F.col("node").alias("label"), F.col("label").alias("now")), "label", "left").withColumn("label", F.coalesce("now", "label")).drop("now")
-        had, want = want, 4 * want
-        spread = live.groupBy(bucket).agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select(bucket)
-        live = live.where(F.col("size") > (2 if had == 1 else had)).join(spread, bucket, "left_semi")
-        live = materialize(live.drop("meets"), "live")
-        left = live.count()
-        if not left:
-            return links
-        live = live.coalesce(_parts(spark, 10 * left))
+    first = live.groupBy(bucket).agg(F.max(F.struct("meets", (-F.col("rep")).alias("rep"))).alias("c")).select(*bucket, (-F.col("c.rep")).alias("rep"))
+    centres = live.join(first, [*bucket, "rep"]).select(*bucket, F.col("rep").alias("c"), F.col("n").alias("c_n"), F.col("sketch").alias("c_sketch"))
+    alike = (100 * F.least("n", "c_n") >= percent * F.greatest("n", "c_n")) & (agree <= BINS - LEAST_AGREEING)
+    near = live.join(centres, bucket).where("rep <> c").where(alike).select(F.least("rep", "c").alias("a"), F.greatest("rep", "c").alias("b")).distinct()
+    for x in ("a", "b"):
+        near = near.join(sets.select(F.col("rep").alias(x), F.col("shingles").alias(f"set_{x}")), x)
+    ok = 100 * shared >= percent * (F.size("set_a") + F.size("set_b") - shared)
+    links = materialize(near.where(ok).select("a", "b"), "links")
+    found = links.count()
+    live = live.select(*bucket, "size", "rep", "n").withColumn("label", F.col("rep"))
+    if found:
+        now = connected_components(links, _parts(members.sparkSession, found))
+        live = live.drop("label").join(now.select(F.col("node").alias("rep"), "label"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+    spread = live.groupBy(bucket).agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min("rep").alias("lead")).where("lo <> hi").select(*bucket, "lead")
+    live = materialize(live.where("size > 2").join(spread, bucket).select("rep", "n", "label", "lead").distinct(), "live")
+    return links.unionByName(_in_blocks(live, sets, percent))
+
+
+def _in_blocks(live: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b): labels of linked members. Members that share buckets, directly or through others, are a cluster; its members
+    are dealt into blocks, and every two blocks of a cluster are tested by one product of matrices: all pairs of a
+    cluster, those of one bucket among them, without a row for each. What is given out are labels that are one."""
+    edges = live.where("rep <> lead").select(F.col("rep").alias("a"), F.col("lead").alias("b")).distinct()
+    many = edges.count()
+    if not many:
+        return edges
+    clusters = connected_components(edges, _parts(live.sparkSession, many)).select(F.col("node").alias("rep"), F.col("label").alias("cluster"))
+    rows = live.select("rep", "n", "label").distinct().join(clusters, "rep")
+    blocks = rows.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    rows = rows.join(blocks, "cluster").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    rows = rows.join(sets, "rep").withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.select("cluster", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"), "block", "label", "n", "shingles")
+    return rows.groupBy("cluster", "i", "j").applyInArrow(_tested(percent), "a bigint, b bigint").distinct()
+
+
+def _tested(percent: int):
+    def run(table: pa.Table) -> pa.Table:
+        block, label, n = (table.column(c).to_numpy() for c in ("block", "label", "n"))
+        lists = table.column("shingles").combine_chunks()
+        flat, owner = lists.flatten().to_numpy(), np.repeat(np.arange(len(n)), lists.value_lengths().to_numpy())
+        at, often = np.unique(flat, return_inverse=True, return_counts=True)[1:]
+        place = np.cumsum(often > 1) - 1  # shingles of one member only are in no intersection
+        both = often[at] > 1
+        column, owner = place[at[both]], owner[both]
+        low = np.flatnonzero(block == block.min())
+        high = np.flatnonzero(block == block.max())
+        order = np.argsort(column, kind="stable")
+        column, owner = column[order], owner[order]
+        common = np.zeros((len(low), len(high)), np.float32)
+        width = int(place[-1]) + 1 if len(place) else 0
+        for start in range(0, width, COLUMNS):
+            part = slice(*np.searchsorted(column, [start, start + COLUMNS]))
+            ones = np.zeros((len(n), min(COLUMNS, width - start)), np.float32)
+            ones[owner[part], column[part] - start] = 1
+            common += ones[low] @ ones[high].T
+        linked = 100 * common >= percent * (n[low][:, None] + n[high][None, :] - common)
+        now, moved = label.copy(), True
+        none = np.iinfo(np.int64).max
+        while moved:  # the smallest label along links
+            before = now.copy()
+            now[low] = np.minimum(now[low], np.where(linked, now[high][None, :], none).min(1))
+            now[high] = np.minimum(now[high], np.where(linked, now[low][:, None], none).min(0))
+            moved = bool((now != before).any())
+        changed = now != label
+        return pa.table({"a": label[changed], "b": now[changed]})
+
+    return run
 
 
 def op10_minhash_dedup(spark: SparkSession, docs: DataFrame) -> DataFrame:

@@ -382,6 +382,30 @@ def test_op10(spark):
         assert (r.n_shingles, r.component_id, r.kept) == (len(sets[i]), root(i), root(i) == i)
 
 
+def test_op10_near_misses_in_blocks(spark, monkeypatch):
+    """Texts that share buckets but are mostly under the threshold with the rest: no link is lost, in one block or many."""
+    rnd = np.random.default_rng(3)
+    base = [f"b{i}" for i in range(120)]
+    docs = []
+    for i in range(70):
+        w = list(base)
+        for j in rnd.choice(120, 7 + i % 3, replace=False):
+            w[j] = f"{i}-{j}" if i % 7 else f"{i - i % 14}-{j}"
+        docs.append((i, " ".join(w)))
+    sets = {i: {*zip(t.split(), t.split()[1:], strict=False)} for i, t in docs}
+    label = {i: i for i in sets}
+    for _ in sets:
+        for i in sets:
+            for j in sets:
+                if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                    label[i] = min(label[i], label[j])
+    assert len(set(label.values())) > 1
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    for block in (2048, 8):
+        monkeypatch.setattr(minhash_dedup, "BLOCK", block)
+        assert {r.doc_id: r.component_id for r in OPERATORS[10](spark, df).collect()} == label
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i + 1, i) for i in range(40)] + [(100, 101)], "a bigint, b bigint")
     assert {(r.node, r.label) for r in minhash_dedup.connected_components(edges).collect()} == {(i, 0) for i in range(41)} | {(100, 100), (101, 100)}
