@@ -234,8 +234,9 @@ def _links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     if found:
         now = connected_components(links, _parts(members.sparkSession, found))
         live = live.drop("label").join(now.select(F.col("node").alias("rep"), "label"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
-    spread = live.groupBy(bucket).agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min("rep").alias("lead")).where("lo <> hi").select(*bucket, "lead")
-    live = materialize(live.where("size > 2").join(spread, bucket).select("rep", "n", "label", "lead").distinct(), "live")
+    spread = live.groupBy(bucket).agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select(*bucket, "lo")
+    live = live.where("size > 2").join(spread, bucket).groupBy("rep", "n", "label").agg(F.collect_set("lo").alias("near"))  # one a band at most
+    live = materialize(live, "live")
     return links.unionByName(_in_blocks(live, sets, percent))
 
 
@@ -243,12 +244,14 @@ def _in_blocks(live: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(a, b): labels of linked members. Members that share buckets, directly or through others, are a cluster; its members
     are dealt into blocks, and every two blocks of a cluster are tested by one product of matrices: all pairs of a
     cluster, those of one bucket among them, without a row for each. What is given out are labels that are one."""
-    edges = live.where("rep <> lead").select(F.col("rep").alias("a"), F.col("lead").alias("b")).distinct()
+    least = F.array_min("near")
+    each = F.concat(F.array(F.struct(F.col("label").alias("a"), least.alias("b"))), F.transform("near", lambda x: F.struct(least.alias("a"), x.alias("b"))))
+    edges = materialize(live.select(F.explode(each).alias("e")).select("e.a", "e.b").where("a <> b").distinct(), "near")
     many = edges.count()
     if not many:
         return edges
-    clusters = connected_components(edges, _parts(live.sparkSession, many)).select(F.col("node").alias("rep"), F.col("label").alias("cluster"))
-    rows = live.select("rep", "n", "label").distinct().join(clusters, "rep")
+    clusters = connected_components(edges, _parts(live.sparkSession, many)).select(F.col("node").alias("label"), F.col("label").alias("cluster"))
+    rows = live.select("rep", "n", "label").join(clusters, "label")
     blocks = rows.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     rows = rows.join(blocks, "cluster").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     rows = rows.join(sets, "rep").withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
