@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 #: Bytes of text that one vectorised step handles (a single longer text is handled alone).
 CHUNK_BYTES = 1 << 20
+#: Bytes of the rows that Spark sends to Python at a time (one longer row is sent alone).
+BATCH_BYTES = 4 << 20
 _MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15 | 1
 
@@ -48,6 +50,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Whole texts make Spark's default Arrow batches large, in the JVM and in Python: lowers the session's limit
+    of bytes a batch to BATCH_BYTES. Results do not depend on it."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def n_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

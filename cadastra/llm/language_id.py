@@ -8,7 +8,9 @@ order - are kept as hash arrays, sorted by hash, that all languages share: one r
 n-gram with the log-probability in each language, one per context with its back-off
 weight. Every whole text of the table is scored; the language with the lowest
 cross-entropy per character wins. A text is rejected when that is above what held-back
-labelled texts of the language show for texts of its length.
+labelled texts of the language show for texts of its length; a language with fewer than
+LEAST_CALIBRATION of them rejects nothing, and one whose texts are all held back is learned
+from these.
 
 Characters: lower-cased letters; every run of anything else is one space.
 
@@ -24,16 +26,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import crc_mod, mix
+from .common import bounded_batches, crc_mod, mix
 
 ORDER = 4
 #: Labelled texts a language that the counts use at most, and as many again for calibration.
 SAMPLE_DOCS = 1200
 CALIBRATION_DOCS = 400
+#: Held-back texts under which nothing is known of what is usual in a language: it rejects no text.
+LEAST_CALIBRATION = 5
 #: A text is rejected when its cross-entropy is this many nats a character above what is
 #: usual in its language, and over Z deviations for its length.
 SLACK, Z = 0.9, 6.0
@@ -237,8 +241,11 @@ class LanguageModel:
         self.usual, self.spread = np.zeros(L), np.zeros(L)
         for l in range(L):
             x, m = h[lang == l], n[lang == l]
-            self.usual[l] = np.median(x) if len(x) else 2.0
-            self.spread[l] = np.median((x - self.usual[l]) ** 2 * m) / 0.455 if len(x) else 1.0  # 0.455: median of chi-square 1
+            if len(x) < LEAST_CALIBRATION:
+                self.usual[l] = np.inf
+                continue
+            self.usual[l] = np.median(x)
+            self.spread[l] = np.median((x - self.usual[l]) ** 2 * m) / 0.455  # 0.455: median of chi-square 1
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
         """Language, score, rejected, cross-entropy of each text."""
@@ -256,20 +263,25 @@ class LanguageModel:
         return names, np.where(empty, 0.0, score), empty | (excess > 0), np.where(empty, 0.0, own)
 
 
-def _samples(docs: DataFrame, each: int, part: str) -> DataFrame:
+def _samples(docs: DataFrame, wanted: Column, each: int, part: str, whole: bool = False) -> DataFrame:
     """At most about `each` labelled texts a language, by a hash of doc_id: the rate of each
-    language comes from its number of labelled texts."""
-    labelled = docs.where("lang IS NOT NULL AND text IS NOT NULL")
-    rates = labelled.groupBy("lang").agg((F.lit(float(each)) / F.count(F.lit(1))).alias("rate"))
+    language comes from its number of labelled texts that are wanted. whole: where a language
+    has none of these, from all its texts."""
+    labelled = docs.where("lang IS NOT NULL AND text IS NOT NULL").withColumn("wanted", wanted)
+    rates = labelled.groupBy("lang").agg(F.count_if("wanted").alias("some"), F.count(F.lit(1)).alias("all"))
+    none = F.col("some") == 0
+    rates = rates.select("lang", none.alias("none"), (float(each) / F.when(none, F.col("all")).otherwise(F.col("some"))).alias("rate"))
+    labelled = labelled.join(F.broadcast(rates), "lang").where(F.col("wanted") | F.col("none") if whole else F.col("wanted"))
     draw = F.xxhash64(F.lit(part), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) / F.lit(2.0**64) + 0.5
-    return labelled.join(F.broadcast(rates), "lang").where(draw < F.col("rate")).select("lang", "text")
+    return labelled.where(draw < F.col("rate")).select("lang", "text")
 
 
 def fit(labelled: DataFrame) -> LanguageModel:
     """labelled: doc_id, text, lang. One in eight labelled texts calibrates, the rest count."""
     spark = labelled.sparkSession
     held = crc_mod(F.concat(F.lit("calibration "), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 8) == 0
-    table = count_grams(_samples(labelled.where(~held), SAMPLE_DOCS, "count")).toArrow()
+    bounded_batches(spark)
+    table = count_grams(_samples(labelled, ~held, SAMPLE_DOCS, "count", whole=True)).toArrow()
     if not table.num_rows:
         return LanguageModel(None)
     names = np.array(table.column("lang").to_pylist())
@@ -288,7 +300,7 @@ def fit(labelled: DataFrame) -> LanguageModel:
                 lang = np.minimum(lang, len(shared.value.langs) - 1)
                 yield pa.RecordBatch.from_arrays([pa.array(lang.astype(np.int32)), pa.array(h[np.arange(len(n)), lang]), pa.array(n)], ["lang", "h", "n"])
 
-    got = _samples(labelled.where(held), CALIBRATION_DOCS, "calibrate").mapInArrow(run, "lang int, h double, n bigint").where("n > 0").toArrow()
+    got = _samples(labelled, held, CALIBRATION_DOCS, "calibrate").mapInArrow(run, "lang int, h double, n bigint").where("n > 0").toArrow()
     model.calibrate(*(got.column(c).to_numpy() for c in ("lang", "h", "n")))
     return model
 

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, i64, join_unique, materialize, mix, n_partitions, text_chunks, word_hashes
+from .common import ascii_lower, bounded_batches, i64, join_unique, materialize, mix, n_partitions, text_chunks, word_hashes
 
 BANDS, ROWS = 42, 6
 BINS = BANDS * ROWS
@@ -173,6 +173,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     if percent < 80:
         raise ValueError("the bands are laid out for a similarity of 0.8 or more")
     spark = docs.sparkSession
+    bounded_batches(spark)
     docs = docs.select("doc_id", "text")
     signed = materialize(docs.mapInArrow(signer(k), SIG_SCHEMA), "signed")
     total = signed.count()

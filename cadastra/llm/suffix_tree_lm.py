@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, crc_mod, i64, materialize, mix, n_partitions, text_chunks, word_hashes
+from .common import ascii_lower, bounded_batches, crc_mod, i64, materialize, mix, n_partitions, text_chunks, word_hashes
 
 DEPTH = 3
 MIN_CONTEXT = 2
@@ -412,6 +412,7 @@ def count_words(train: DataFrame) -> tuple[Root, DataFrame]:
 def score(docs: DataFrame) -> DataFrame:
     """Scores whole texts; docs has doc_id, text, held_out. Texts that are not held out are the training texts."""
     spark = docs.sparkSession
+    bounded_batches(spark)
     train = docs.where(~F.col("held_out"))
     root, counts = count_words(train)
     buckets = n_partitions(spark)

@@ -409,3 +409,15 @@ def test_op10_near_misses_in_blocks(spark, monkeypatch):
 def test_components_of_a_long_chain(spark):
     edges = spark.createDataFrame([(i + 1, i) for i in range(40)] + [(100, 101)], "a bigint, b bigint")
     assert {(r.node, r.label) for r in minhash_dedup.connected_components(edges).collect()} == {(i, 0) for i in range(41)} | {(100, 100), (101, 100)}
+
+
+def test_op2_keeps_languages_with_few_labelled_texts(spark):
+    """A language whose only labelled text would calibrate is learned, and without enough of these rejects nothing."""
+    few = {i: "Őrült írógép, széles küszöb és mély tó fölött húz el a gólya: szép őszi reggel." for i in range(5000, 5040)}
+    alone = next(i for i in few if crc(f"calibration {i}", 8) == 0)
+    rows = [(i, t, "en" if i % 3 else "fr") for i, t in texts().items() if i < 60] + [(alone, few[alone], "hu")]
+    model = language_id.fit(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    assert list(model.kn.langs) == ["en", "fr", "hu"]
+    got = language_id.predict(spark.createDataFrame([(1, few[alone] * 20), (2, None)], "doc_id bigint, text string"), model).collect()
+    assert {r.doc_id: (r.lang_pred, r.rejected) for r in got} == {1: ("hu", False), 2: ("und", True)}
+    assert all(0 <= r.score <= 1 for r in got)
