@@ -14,6 +14,7 @@ word, so the tokens of all texts are dealt once, by the word before them, and ea
 whole branches: it counts them, prunes them and scores its tokens in them. What a text gets from
 the tasks is added up. A word before more than SPLIT tokens has its branch dealt on by the word
 before that, each part with the counts of the one-word context, which are added up beforehand.
+A task holds its tokens compressed, and opens about TASK of them at a time.
 
 What every task holds has a fixed size: the MOST_COUNTS most frequent words with their counts.
 Of other words the count is not known where they are scored: their probability is kept as a
@@ -43,9 +44,9 @@ MIN_SYMBOL = 2
 RATIO = 1.05
 GAIN = 6.0
 DISCOUNT = 0.75
-#: Words whose counts every task holds, 16 bytes each; of these the first 65,534 have short codes between tasks.
+#: Words whose counts every task holds, 16 bytes each; of these the first _CODES have codes of three bytes between tasks.
 MOST_COUNTS = 1 << 18
-_CODES = (1 << 16) - 2
+_CODES = 1 << 18
 #: Tokens after one word that one task takes.
 SPLIT = 1 << 22
 #: Tokens whose branches are in memory together.
@@ -53,7 +54,7 @@ TASK = 1 << 18
 #: Tokens that a task gathers before it sends them on.
 _FLUSH = 1 << 20
 _END_HASH = int(mix(np.array([0xE0D0], np.uint64))[0])
-_NONE, _SPELT = 0xFFFE, 0xFFFF
+_NONE, _SPELT = 0xFFFFFE, 0xFFFFFF
 
 
 def token_stream(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -82,12 +83,13 @@ class SortedTable:
 @dataclass
 class Root:
     """What every task knows: n and kinds of the training tokens, counts of the frequent words, which of them have
-    codes, and into how many parts the branches of some are dealt."""
+    codes (their ranks), and into how many parts the branches of some are dealt."""
 
     n: int
     kinds: int
     counts: SortedTable
     codes: SortedTable
+    ranked: np.ndarray
     parts: SortedTable
 
     @property
@@ -149,18 +151,30 @@ def branches(root: Root, words: list[np.ndarray], length: np.ndarray, weight: np
 
 
 # ---------------------------------------------------------------- blocks of tokens between tasks
+def _planes(x: np.ndarray, width: int) -> bytes:
+    """The low bytes of all numbers, then the next: the higher ones are mostly zero, and compress away."""
+    return x.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :width].T.tobytes()
+
+
+def _from_planes(raw: np.ndarray, width: int) -> np.ndarray:
+    out = np.zeros((len(raw) // width, 4), np.uint8)
+    out[:, :width] = raw.reshape(width, -1).T
+    return out.view("<u4").ravel()
+
+
 def pack(root: Root, words: list[np.ndarray], length: np.ndarray, row: np.ndarray, extra: np.ndarray) -> bytes:
-    """Rows as compressed columns: a code of two bytes a word or its hash, the row of its text, and `extra`."""
+    """Rows as compressed columns: a code of three bytes a word or its hash, the row of its text, and `extra`."""
     parts, sizes = [], [len(row)]
     for k, w in enumerate(words):
         at, ok = root.codes.find(w)
-        code = np.where(ok, at, _SPELT).astype(np.uint16)
+        code = np.full(len(w), _SPELT, np.uint32)
+        code[ok] = root.codes.values[0][at[ok]] if ok.any() else 0
         code[length < k] = _NONE
         spelt = w[code == _SPELT]
         sizes.append(len(spelt))
-        parts += [code.tobytes(), spelt.tobytes()]
+        parts += [_planes(code, 3), spelt.tobytes()]
     low = int(row.min()) if len(row) else 0
-    body = b"".join([*parts, (row - low).astype(np.uint32).tobytes(), extra.tobytes()])
+    body = b"".join([*parts, _planes(row - low, 4), extra.tobytes()])
     head = np.array([*sizes, low, extra.dtype.itemsize, len(body)], np.int64).tobytes()
     return head + pa.Codec("zstd", 3).compress(body, asbytes=True)
 
@@ -179,15 +193,15 @@ def unpack(root: Root, block: bytes) -> tuple[list[np.ndarray], np.ndarray, np.n
 
     words, length = [], np.zeros(n, np.int64)
     for k in range(DEPTH + 1):
-        code, spelt = take(np.uint16, n), take(np.uint64, sizes[k + 1])
+        code, spelt = _from_planes(take(np.uint8, 3 * n), 3), take(np.uint64, sizes[k + 1])
         word = np.zeros(n, np.uint64)
         coded = code < _NONE
-        word[coded] = root.codes.keys[code[coded]]
+        word[coded] = root.ranked[code[coded]]
         word[code == _SPELT] = spelt
         words.append(word)
         if k:
             length += code != _NONE
-    return words, length, take(np.uint32, n).astype(np.int64) + low, take(np.dtype(f"<i{width}"), n)
+    return words, length, _from_planes(take(np.uint8, 4 * n), 4).astype(np.int64) + low, take(np.dtype(f"<i{width}"), n)
 
 
 def _bucket(root: Root, words: list[np.ndarray], length: np.ndarray, buckets: int) -> np.ndarray:
@@ -308,16 +322,21 @@ def _scored(shared, together: int):
             yield from score_bucket(root, got.pop(bucket))
 
     def score_bucket(root, blocks):
-        """Whole branches at a time, about `together` tokens, and then what each text got from all of them."""
+        """Whole branches at a time, about `together` tokens, and then what each text got from all of them. A branch of
+        more tokens has several turns, by the word before that; its one-word context is counted beforehand."""
         turns = 1 + sum(int(np.frombuffer(b, np.int64, 1)[0]) for _, b in blocks) // together
+        large = root.parts
+        if turns > 1:
+            large, counts = _large(root, blocks, together)
+            blocks = blocks + counts
         sums = []
         for turn in range(turns):
-            opened = [(kind, _turn(unpack(root, b), turn, turns)) for kind, b in blocks]
+            opened = [(kind, _turn(unpack(root, b), turn, turns, large) if kind == _TOKENS else unpack(root, b)) for kind, b in blocks]
             words = [np.concatenate([o[0][k] for _, o in opened]) for k in range(DEPTH + 1)]
             length, row, weight = (np.concatenate([o[i] for _, o in opened]) for i in (1, 2, 3))
             token = np.repeat([kind == _TOKENS for kind, _ in opened], [len(o[1]) for _, o in opened])
             del opened
-            split = root.parts.find(words[1])[1] & token & (length >= 1)
+            split = large.find(words[1])[1] & token & (length >= 1)
             a, b, _ = branches(root, words, length, np.where(token, weight, 0), np.where(split, 0, weight))
             words, row, a, b = words[0][token], row[token], a[token], b[token]
             count, held = root.known(words)
@@ -336,12 +355,42 @@ def _scored(shared, together: int):
     return run
 
 
-def _turn(opened, turn: int, turns: int):
+def _large(root: Root, blocks: list, together: int) -> tuple[SortedTable, list]:
+    """Words whose branches have several turns, and the counts after those that were not counted before."""
+    seen = []
+    for kind, block in blocks:
+        if kind == _TOKENS:
+            words, length, _, _ = unpack(root, block)
+            seen.append(np.unique(words[1][length >= 1], return_counts=True))
+    if not seen:
+        return root.parts, []
+    before, at = np.unique(np.concatenate([w for w, _ in seen]), return_inverse=True)
+    many = before[np.bincount(at, weights=np.concatenate([n for _, n in seen]), minlength=len(before)) > together]
+    many = many[~root.parts.find(many)[1]]
+    if not len(many):
+        return root.parts, []
+    these, sums = SortedTable(many), _Sums()
+    for kind, block in blocks:
+        if kind == _TOKENS:
+            words, length, _, train = unpack(root, block)
+            use = (length >= 1) & (train > 0) & these.find(words[1])[1]
+            sums.add(words[1][use], words[0][use])
+    before, sym, n = (c.to_numpy() for c in sums.take(["before", "sym", "n"]).columns)
+    none = np.zeros(len(n), np.uint64)
+    words = [sym.view(np.uint64), before.view(np.uint64), *(none for _ in range(DEPTH - 1))]
+    counts = pack(root, words, np.ones(len(n), np.int64), np.zeros(len(n), np.int64), n)
+    return SortedTable(np.concatenate([root.parts.keys, many])), [(_COUNTS, counts)]
+
+
+def _turn(opened, turn: int, turns: int, large: SortedTable):
     """The rows of a block whose branches have their turn."""
     if turns == 1:
         return opened
     words, length, row, extra = opened
-    i = np.flatnonzero((mix(np.where(length >= 1, words[1], words[0])) >> np.uint64(40)) % np.uint64(turns) == turn)
+    key = np.where(length >= 1, words[1], words[0])
+    several = (length >= 1) & large.find(words[1])[1]
+    key[several] += mix(np.where(length >= 2, words[2], np.uint64(0))[several])
+    i = np.flatnonzero((mix(key) >> np.uint64(40)) % np.uint64(turns) == turn)
     return [w[i] for w in words], length[i], row[i], extra[i]
 
 
@@ -406,7 +455,7 @@ def count_words(train: DataFrame) -> tuple[Root, DataFrame]:
     order = np.lexsort((words, -n))
     coded = words[order[:_CODES]]
     long_ = (n > SPLIT) & (words != np.uint64(_END_HASH))
-    return Root(int(total), int(kinds), SortedTable(words, n), SortedTable(coded), SortedTable(words[long_], (-(-n[long_] // SPLIT)).astype(np.uint64))), counts
+    return Root(int(total), int(kinds), SortedTable(words, n), SortedTable(coded, np.arange(len(coded), dtype=np.uint32)), coded, SortedTable(words[long_], (-(-n[long_] // SPLIT)).astype(np.uint64))), counts
 
 
 def score(docs: DataFrame) -> DataFrame:

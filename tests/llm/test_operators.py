@@ -124,11 +124,11 @@ def suffix_tree_scores(train, all_texts):
 CHAINS = {1000 + i: ("p one two x", "q one two y", "r two z")[i % 3] for i in range(60)}
 
 
-@pytest.mark.parametrize("split", [1 << 22, 20])
-def test_op1_is_the_whole_tree(spark, monkeypatch, split):
-    """Also where branches of frequent words are dealt in parts."""
+@pytest.mark.parametrize(("split", "task"), [(1 << 22, 1 << 18), (20, 1000), (20, 10), (1 << 22, 10)])
+def test_op1_is_the_whole_tree(spark, monkeypatch, split, task):
+    """Also where branches of frequent words are dealt in parts, or have several turns in a task."""
     monkeypatch.setattr(suffix_tree_lm, "SPLIT", split)
-    monkeypatch.setattr(suffix_tree_lm, "TASK", 50 * split)
+    monkeypatch.setattr(suffix_tree_lm, "TASK", task)
     all_texts = texts() | CHAINS
     got = {r.doc_id: r.score for r in OPERATORS[1](spark, spark.createDataFrame(list(all_texts.items()), "doc_id bigint, text string")).collect()}
     tokens = {i: [*words(t), "end"] for i, t in all_texts.items()}
