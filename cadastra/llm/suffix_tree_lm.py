@@ -50,7 +50,7 @@ _CODES = 1 << 18
 #: Tokens after one word that one task takes.
 SPLIT = 1 << 22
 #: Tokens whose branches are in memory together.
-TASK = 1 << 18
+TASK = 1 << 19
 #: Tokens that a task gathers before it sends them on.
 _FLUSH = 1 << 20
 _END_HASH = int(mix(np.array([0xE0D0], np.uint64))[0])
@@ -329,9 +329,11 @@ def _scored(shared, together: int):
         if turns > 1:
             large, counts = _large(root, blocks, together)
             blocks = blocks + counts
+        counted = [(kind, unpack(root, b)) for kind, b in blocks if kind == _COUNTS]
+        blocks = [b for kind, b in blocks if kind == _TOKENS]
         sums = []
         for turn in range(turns):
-            opened = [(kind, _turn(unpack(root, b), turn, turns, large) if kind == _TOKENS else unpack(root, b)) for kind, b in blocks]
+            opened = counted + [(_TOKENS, _turn(unpack(root, b), turn, turns, large)) for b in blocks]
             words = [np.concatenate([o[0][k] for _, o in opened]) for k in range(DEPTH + 1)]
             length, row, weight = (np.concatenate([o[i] for _, o in opened]) for i in (1, 2, 3))
             token = np.repeat([kind == _TOKENS for kind, _ in opened], [len(o[1]) for _, o in opened])
