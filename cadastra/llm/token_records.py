@@ -321,5 +321,6 @@ def op7_token_records(spark: SparkSession, docs: DataFrame, tokenizer: str | Non
     """Encodes whole texts, appends the end id, writes the records in ascending doc_id
     order and answers from the files as read back."""
     folder = scratch_path(spark, "records")
-    index = write_records(docs, folder, tokenizer or default_tokenizer())
-    return record_checks(index, folder)
+    tokenizer = tokenizer or default_tokenizer()
+    index = write_records(docs, folder, tokenizer)
+    return record_checks(index, folder, encoder(tokenizer).vocab_size)  # the width of ids that was written
