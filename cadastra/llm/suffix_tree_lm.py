@@ -14,7 +14,9 @@ word, so the tokens of all texts are dealt once, by the word before them, and ea
 whole branches: it counts them, prunes them and scores its tokens in them. What a text gets from
 the tasks is added up. A word before more than SPLIT tokens has its branch dealt on by the word
 before that, each part with the counts of the one-word context, which are added up beforehand.
-A task holds its tokens compressed, and opens about TASK of them at a time.
+In a task, Spark sorts the compressed tokens by turns of about TASK tokens, and one turn at a time is
+opened. A word before more than TASK tokens has turns of its own, by the word before that; the counts
+of its one-word context come ahead of them.
 
 What every task holds has a fixed size: the MOST_COUNTS most frequent words with their counts.
 Of other words the count is not known where they are scored: their probability is kept as a
@@ -29,7 +31,8 @@ training tokens every probability is that of an unseen word; extra columns are i
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -83,7 +86,8 @@ class SortedTable:
 @dataclass
 class Root:
     """What every task knows: n and kinds of the training tokens, counts of the frequent words, which of them have
-    codes (their ranks), and into how many parts the branches of some are dealt."""
+    codes (their ranks), into how many parts the branches of some are dealt, how many turns a task has for words that
+    share turns, and of words with several turns of their own how many and the first, which is that of their counts."""
 
     n: int
     kinds: int
@@ -91,6 +95,8 @@ class Root:
     codes: SortedTable
     ranked: np.ndarray
     parts: SortedTable
+    turns: int
+    large: SortedTable
 
     @property
     def unit(self) -> float:
@@ -101,6 +107,11 @@ class Root:
         at, ok = self.counts.find(words)
         return np.where(ok, self.counts.values[0][at], 0) if len(self.counts.keys) else np.zeros(len(words), np.int64), ok
 
+    @property
+    def places(self) -> int:
+        """Turns of all kinds."""
+        return self.turns + int(self.large.values[0].sum()) + len(self.large.keys)
+
     @property
     def least(self) -> float:
         """Of a word that is held; without any, of one that was never seen."""
@@ -215,17 +226,32 @@ def _bucket(root: Root, words: list[np.ndarray], length: np.ndarray, buckets: in
     return (key % np.uint64(buckets)).astype(np.int64)
 
 
-BLOCKS = "bucket int, kind int, block binary"
+def _turns(root: Root, words: list[np.ndarray], length: np.ndarray) -> np.ndarray:
+    """In which turn of its task a token is scored: by the word before it; of large branches by the word before that too."""
+    turn = (mix(np.where(length >= 1, words[1], words[0]) ^ np.uint64(0xA5A5A5A5)) >> np.uint64(20)) % np.uint64(root.turns)
+    at, own = root.large.find(words[1])
+    own &= length >= 1
+    if own.any():
+        many, first = (v[at[own]] for v in root.large.values)
+        second = mix(np.where(length >= 2, words[2], np.uint64(0))[own] ^ np.uint64(0xC3C3C3C3)) >> np.uint64(20)
+        turn[own] = first + 1 + (second % many.astype(np.uint64)).astype(np.int64)
+    return turn.astype(np.int64)
+
+
+BLOCKS = "bucket int, turn bigint, kind int, block binary"
 _TOKENS, _COUNTS, _TEXTS = 0, 1, 2
 
 
-def _blocks(buckets: np.ndarray, n: int, kind: int, make) -> pa.RecordBatch:
-    """A block of the rows of each bucket."""
-    order = np.argsort(buckets, kind="stable")
-    ends = np.searchsorted(buckets[order], np.arange(n + 1))
-    found = np.flatnonzero(np.diff(ends))
-    made = [make(order[ends[i] : ends[i + 1]]) for i in found]
-    return pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array(np.full(len(found), kind, np.int32)), pa.array(made, pa.binary())], ["bucket", "kind", "block"])
+def _blocks(buckets: np.ndarray, turns: np.ndarray, kind: int, make) -> pa.RecordBatch:
+    """A block of the rows of each turn of each bucket. Turns are -1 or more."""
+    places = int(turns.max(initial=0)) + 2
+    key = buckets * places + turns + 1
+    order = np.argsort(key, kind="stable")
+    found, starts = np.unique(key[order], return_index=True)
+    ends = np.append(starts[1:], len(order))
+    made = [make(order[i:j]) for i, j in zip(starts, ends, strict=True)]
+    columns = [pa.array(found // places, pa.int32()), pa.array(found % places - 1, pa.int64()), pa.array(np.full(len(found), kind, np.int32)), pa.array(made, pa.binary())]
+    return pa.RecordBatch.from_arrays(columns, ["bucket", "turn", "kind", "block"])
 
 
 def _dealt(shared, buckets: int):
@@ -234,9 +260,15 @@ def _dealt(shared, buckets: int):
     def send(root, held):
         columns = [np.concatenate(c) for c in zip(*held, strict=True)]
         *words, length, row, train = columns
-        at = _bucket(root, words, length, buckets)
-        at = at[order := np.lexsort((words[1], at))]  # equal words next to each other
-        return _blocks(at, buckets, _TOKENS, lambda i: pack(root, [w[order[i]] for w in words], length[order[i]], row[order[i]], train[order[i]]))
+        at, turn = _bucket(root, words, length, buckets), _turns(root, words, length)
+        key = at * root.places + turn
+        order = np.lexsort((words[1], key))  # equal words next to each other
+        at, turn = at[order], turn[order]
+        yield _blocks(at, turn, _TOKENS, lambda i: pack(root, [w[order[i]] for w in words], length[order[i]], row[order[i]], train[order[i]]))
+        use = np.flatnonzero((length >= 1) & (train > 0) & root.large.find(words[1])[1] & ~root.parts.find(words[1])[1])
+        if len(use):  # what comes after large words that are in one bucket each
+            before, sym, n = _merged(words[1][use], words[0][use], np.ones(len(use), np.int64))
+            yield _count_blocks(root, before, sym, n, (mix(before) % np.uint64(buckets)).astype(np.int64))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -258,13 +290,13 @@ def _dealt(shared, buckets: int):
             held.append((*words, length, at_row + doc, (~held_out[doc]).astype(np.int8)))
             size += len(h)
             at = np.arange(batch.num_rows)
-            yield _blocks(at % buckets, buckets, _TEXTS, lambda i, ids=ids, held_out=held_out, at_row=at_row: _texts(at_row + i, ids.take(pa.array(i)), held_out[i]))
+            yield _blocks(at % buckets, np.full(len(at), -1), _TEXTS, lambda i, ids=ids, held_out=held_out, at_row=at_row: _texts(at_row + i, ids.take(pa.array(i)), held_out[i]))
             at_row += batch.num_rows
             if size > _FLUSH:
-                yield send(root, held)
+                yield from send(root, held)
                 held, size = [], 0
         if held:
-            yield send(root, held)
+            yield from send(root, held)
 
     return run
 
@@ -274,6 +306,20 @@ def _texts(row: np.ndarray, ids: pa.Array, held_out: np.ndarray) -> bytes:
     return np.concatenate([row, ids.fill_null(0).to_numpy(), null.astype(np.int64) * 2 + held_out]).tobytes()
 
 
+def _merged(before: np.ndarray, sym: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Counts of pairs, added up."""
+    _, at, pair = np.unique(chained(before, sym), return_index=True, return_inverse=True)
+    return before[at], sym[at], np.bincount(pair, weights=n, minlength=len(at)).astype(np.int64)
+
+
+def _count_blocks(root: Root, before: np.ndarray, sym: np.ndarray, n: np.ndarray, to: np.ndarray) -> pa.RecordBatch:
+    """Counts of next symbols of large words, for their first turn in buckets `to`."""
+    none, one = np.zeros(len(n), np.uint64), np.ones(len(n), np.int64)
+    words = [sym, before, *(none for _ in range(DEPTH - 1))]
+    turn = root.large.values[1][root.large.find(before)[0]]
+    return _blocks(to, turn, _COUNTS, lambda i: pack(root, [w[i] for w in words], one[i], one[i], n[i]))
+
+
 def _split_counts(shared, buckets: int):
     """Counts of next symbols of contexts of one word that are dealt in parts: to each of the parts."""
 
@@ -286,10 +332,7 @@ def _split_counts(shared, buckets: int):
             i = np.repeat(np.arange(len(at)), parts)
             part = np.arange(len(i)) - np.repeat(np.cumsum(parts) - parts, parts)
             to = ((mix(before[i]) + part.astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
-            none = np.zeros(len(i), np.uint64)
-            words = [sym[i], before[i], *(none for _ in range(DEPTH - 1))]
-            length = np.ones(len(i), np.int64)
-            yield _blocks(to, buckets, _COUNTS, lambda j, words=words, length=length, n=n[i].astype(np.int64): pack(root, [w[j] for w in words], length[j], np.zeros(len(j), np.int64), n[j]))
+            yield _count_blocks(root, before[i], sym[i], n[i].astype(np.int64), to)
 
     return run
 
@@ -297,7 +340,7 @@ def _split_counts(shared, buckets: int):
 PARTS = "row bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base double, score double, sym bigint, a double, b double"
 
 
-def _scored(shared, together: int):
+def _scored(shared):
     """Partial sums of texts, and a row for each token whose count is not held."""
 
     def output(row, ids=None, held_out=None, sums=None, rest=None):
@@ -310,45 +353,64 @@ def _scored(shared, together: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         root = shared.value
-        got: dict[int, list] = {}
-        for batch in batches:
-            for bucket, kind, block in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                if kind == _TEXTS:
+        counts, of = [], -1  # what comes after the word whose turns begin at `of`
+        sums, size, least = [], 0, _FLUSH
+        blocks = (b for batch in batches for b in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True))
+        for (_, turn, kind), group in groupby(blocks, key=lambda b: b[:3]):
+            if kind == _TEXTS:
+                for *_, block in group:
                     row, ids, flags = np.frombuffer(block, np.int64).reshape(3, -1)
                     yield output(row, pa.array(ids, mask=flags >= 2), pa.array(flags % 2 == 1))
-                else:
-                    got.setdefault(bucket, []).append((kind, block))
-        for bucket in list(got):
-            yield from score_bucket(root, got.pop(bucket))
-
-    def score_bucket(root, blocks):
-        """Whole branches at a time, about `together` tokens, and then what each text got from all of them. A branch of
-        more tokens has several turns, by the word before that; its one-word context is counted beforehand."""
-        turns = 1 + sum(int(np.frombuffer(b, np.int64, 1)[0]) for _, b in blocks) // together
-        large = root.parts
-        if turns > 1:
-            large, counts = _large(root, blocks, together)
-            blocks = blocks + counts
-        counted = [(kind, unpack(root, b)) for kind, b in blocks if kind == _COUNTS]
-        blocks = [b for kind, b in blocks if kind == _TOKENS]
-        sums = []
-        for turn in range(turns):
-            opened = counted + [(_TOKENS, _turn(unpack(root, b), turn, turns, large)) for b in blocks]
-            words = [np.concatenate([o[0][k] for _, o in opened]) for k in range(DEPTH + 1)]
-            length, row, weight = (np.concatenate([o[i] for _, o in opened]) for i in (1, 2, 3))
-            token = np.repeat([kind == _TOKENS for kind, _ in opened], [len(o[1]) for _, o in opened])
-            del opened
-            split = large.find(words[1])[1] & token & (length >= 1)
-            a, b, _ = branches(root, words, length, np.where(token, weight, 0), np.where(split, 0, weight))
-            words, row, a, b = words[0][token], row[token], a[token], b[token]
-            count, held = root.known(words)
-            base = np.where(held, np.log10((count + 0.1) / root.unit), 0.0)
-            score = np.where(held, np.log10(np.where(held, a, 1.0)), 0.0)
-            sums.append(added(row, np.ones(len(row)), held, base, score))
-            if not held.all():
-                yield output(row[~held], rest=[i64(words[~held]), pa.array(a[~held]), pa.array(b[~held])])
-        row, n, known, base, score = added(*(np.concatenate(x) for x in zip(*sums, strict=True)))
-        yield output(row, sums=[n.astype(np.int64), known.astype(np.int64), base, score])
+            elif kind == _COUNTS:
+                counts, of = added_counts(root, (b[3] for b in group)), turn
+            else:
+                own = root.turns <= of < turn <= of + root.large.values[0][np.searchsorted(root.large.values[1], of)]
+                part, rest = score_turn(root, [unpack(root, b[3]) for b in group], counts if own else [])
+                if rest is not None:
+                    yield rest
+                sums.append(part)
+                size += len(part[0])
+                if size > least:  # texts that were in several turns are added up, and given out where most were in few
+                    sums = [added(*(np.concatenate(x) for x in zip(*sums, strict=True)))]
+                    size = len(sums[0][0])
+                    if 2 * size > least:
+                        yield text_sums(*sums[0])
+                        sums, size = [], 0
+        if sums:
+            yield text_sums(*added(*(np.concatenate(x) for x in zip(*sums, strict=True))))
+
+    def added_counts(root, blocks):
+        """Counts of pairs of all blocks as one opened block."""
+        held, size, least = [], 0, _FLUSH
+        for block in blocks:
+            words, _, _, n = unpack(root, block)
+            held.append((words[1], words[0], n))
+            size += len(n)
+            if size > least:
+                held = [_merged(*(np.concatenate(x) for x in zip(*held, strict=True)))]
+                size = len(held[0][0])
+                least = max(least, 2 * size)
+        before, sym, n = _merged(*(np.concatenate(x) for x in zip(*held, strict=True)))
+        none = np.zeros(len(n), np.uint64)
+        return [([sym, before, *(none for _ in range(DEPTH - 1))], np.ones(len(n), np.int64), np.zeros(len(n), np.int64), n)]
+
+    def score_turn(root, tokens, counts):
+        """Whole branches, or parts of one with the counts after its word: sums of texts, and tokens whose count is not held."""
+        opened = tokens + counts
+        words = [np.concatenate([o[0][k] for o in opened]) for k in range(DEPTH + 1)]
+        length, row, weight = (np.concatenate([o[i] for o in opened]) for i in (1, 2, 3))
+        token = np.arange(len(row)) < sum(len(o[1]) for o in tokens)
+        split = root.large.find(words[1])[1] & token & (length >= 1)
+        a, b, _ = branches(root, words, length, np.where(token, weight, 0), np.where(split, 0, weight))
+        words, row, a, b = words[0][token], row[token], a[token], b[token]
+        count, held = root.known(words)
+        base = np.where(held, np.log10((count + 0.1) / root.unit), 0.0)
+        score = np.where(held, np.log10(np.where(held, a, 1.0)), 0.0)
+        rest = None if held.all() else output(row[~held], rest=[i64(words[~held]), pa.array(a[~held]), pa.array(b[~held])])
+        return added(row, np.ones(len(row)), held, base, score), rest
+
+    def text_sums(row, n, known, base, score):
+        return output(row, sums=[n.astype(np.int64), known.astype(np.int64), base, score])
 
     def added(row, *columns):
         texts, at = np.unique(row, return_inverse=True)
@@ -357,45 +419,6 @@ def _scored(shared, together: int):
     return run
 
 
-def _large(root: Root, blocks: list, together: int) -> tuple[SortedTable, list]:
-    """Words whose branches have several turns, and the counts after those that were not counted before."""
-    seen = []
-    for kind, block in blocks:
-        if kind == _TOKENS:
-            words, length, _, _ = unpack(root, block)
-            seen.append(np.unique(words[1][length >= 1], return_counts=True))
-    if not seen:
-        return root.parts, []
-    before, at = np.unique(np.concatenate([w for w, _ in seen]), return_inverse=True)
-    many = before[np.bincount(at, weights=np.concatenate([n for _, n in seen]), minlength=len(before)) > together]
-    many = many[~root.parts.find(many)[1]]
-    if not len(many):
-        return root.parts, []
-    these, sums = SortedTable(many), _Sums()
-    for kind, block in blocks:
-        if kind == _TOKENS:
-            words, length, _, train = unpack(root, block)
-            use = (length >= 1) & (train > 0) & these.find(words[1])[1]
-            sums.add(words[1][use], words[0][use])
-    before, sym, n = (c.to_numpy() for c in sums.take(["before", "sym", "n"]).columns)
-    none = np.zeros(len(n), np.uint64)
-    words = [sym.view(np.uint64), before.view(np.uint64), *(none for _ in range(DEPTH - 1))]
-    counts = pack(root, words, np.ones(len(n), np.int64), np.zeros(len(n), np.int64), n)
-    return SortedTable(np.concatenate([root.parts.keys, many])), [(_COUNTS, counts)]
-
-
-def _turn(opened, turn: int, turns: int, large: SortedTable):
-    """The rows of a block whose branches have their turn."""
-    if turns == 1:
-        return opened
-    words, length, row, extra = opened
-    key = np.where(length >= 1, words[1], words[0])
-    several = (length >= 1) & large.find(words[1])[1]
-    key[several] += mix(np.where(length >= 2, words[2], np.uint64(0))[several])
-    i = np.flatnonzero((mix(key) >> np.uint64(40)) % np.uint64(turns) == turn)
-    return [w[i] for w in words], length[i], row[i], extra[i]
-
-
 # ---------------------------------------------------------------- counts
 class _Sums:
     """Counts of keys over a partition, given out when they grow large and at the end."""
@@ -449,7 +472,7 @@ def _largest(rows: DataFrame, room: int) -> DataFrame:
 
 
 def count_words(train: DataFrame) -> tuple[Root, DataFrame]:
-    """What every task knows, and the counts of all words (code, n)."""
+    """What every task knows but the turns, and the counts of all words (code, n)."""
     counts = materialize(_count(train, ["code"], lambda d, o: token_stream(d, o)[:1]), "word-counts")
     total, kinds = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     top = _largest(counts, MOST_COUNTS).toArrow()
@@ -457,7 +480,24 @@ def count_words(train: DataFrame) -> tuple[Root, DataFrame]:
     order = np.lexsort((words, -n))
     coded = words[order[:_CODES]]
     long_ = (n > SPLIT) & (words != np.uint64(_END_HASH))
-    return Root(int(total), int(kinds), SortedTable(words, n), SortedTable(coded, np.arange(len(coded), dtype=np.uint32)), coded, SortedTable(words[long_], (-(-n[long_] // SPLIT)).astype(np.uint64))), counts
+    none = np.zeros(0, np.int64)
+    coded_ = SortedTable(coded, np.arange(len(coded), dtype=np.uint32))
+    parts = SortedTable(words[long_], (-(-n[long_] // SPLIT)).astype(np.uint64))
+    return Root(int(total), int(kinds), SortedTable(words, n), coded_, coded, parts, 1, SortedTable(none.view(np.uint64), none, none)), counts
+
+
+def with_turns(root: Root, docs: DataFrame, buckets: int) -> Root:
+    """The turns of tasks that score all tokens of docs, as many for a byte as the training texts have."""
+    size = F.octet_length(F.coalesce("text", F.lit(""))) + 1
+    whole, learned = docs.agg(*(F.coalesce(F.sum(x), F.lit(0)) for x in (size, F.when(~F.col("held_out"), size)))).first()
+    share = whole / learned if learned else 1.0
+    words, n = root.counts.keys, root.counts.values[0]
+    parts = np.where(n > SPLIT, -(-n // SPLIT), 1)
+    many = np.ceil(n * share / parts / TASK).astype(np.int64)
+    large = ((many > 1) | (n > SPLIT)) & (words != np.uint64(_END_HASH))
+    turns = 1 + int((root.n * share if learned else whole) / buckets / TASK)
+    many = many[large]
+    return replace(root, turns=turns, large=SortedTable(words[large], many, turns + np.cumsum(many + 1) - (many + 1)))
 
 
 def score(docs: DataFrame) -> DataFrame:
@@ -465,8 +505,9 @@ def score(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     bounded_batches(spark)
     train = docs.where(~F.col("held_out"))
-    root, counts = count_words(train)
     buckets = n_partitions(spark)
+    root, counts = count_words(train)
+    root = with_turns(root, docs, buckets)
     shared = spark.sparkContext.broadcast(root)
     blocks = docs.select("doc_id", "text", "held_out").mapInArrow(_dealt(shared, buckets), BLOCKS)
     if len(root.parts.keys):
@@ -478,7 +519,7 @@ def score(docs: DataFrame) -> DataFrame:
 
         split = _count(train, ["before", "sym"], after_long)
         blocks = blocks.unionByName(split.mapInArrow(_split_counts(shared, buckets), BLOCKS))
-    parts = materialize(blocks.repartitionById(buckets, "bucket").mapInArrow(_scored(shared, TASK), PARTS), "scored")
+    parts = materialize(blocks.repartitionById(buckets, "bucket").sortWithinPartitions("bucket", "turn").mapInArrow(_scored(shared), PARTS), "scored")
     n = F.coalesce("n", F.lit(0))
     p0 = (n + 0.1) / F.lit(root.unit)
     rest = parts.where("sym IS NOT NULL").select("row", "sym", "a", "b").join(counts.withColumnRenamed("code", "sym"), "sym", "left")
