@@ -289,8 +289,13 @@ def _dealt(shared, buckets: int):
             held_out = batch.column("held_out").to_numpy(zero_copy_only=False)
             held.append((*words, length, at_row + doc, (~held_out[doc]).astype(np.int8)))
             size += len(h)
+            count, held_word = root.known(h)
+            base = np.where(held_word, np.log10((count + 0.1) / root.unit), 0.0)
+            n_tokens, n_known, base = (np.bincount(doc, weights=x, minlength=batch.num_rows) for x in (None, held_word, base))
+            null = ids.is_null().to_numpy(zero_copy_only=False)
             at = np.arange(batch.num_rows)
-            yield _blocks(at % buckets, np.full(len(at), -1), _TEXTS, lambda i, ids=ids, held_out=held_out, at_row=at_row: _texts(at_row + i, ids.take(pa.array(i)), held_out[i]))
+            texts = np.stack([at_row + at, ids.fill_null(0).to_numpy(), null * 2 + held_out, n_tokens, n_known.astype(np.int64), base.view(np.int64)])
+            yield _blocks(at % buckets, np.full(len(at), -1), _TEXTS, lambda i, texts=texts: texts[:, i].tobytes())
             at_row += batch.num_rows
             if size > _FLUSH:
                 yield from send(root, held)
@@ -301,11 +306,6 @@ def _dealt(shared, buckets: int):
     return run
 
 
-def _texts(row: np.ndarray, ids: pa.Array, held_out: np.ndarray) -> bytes:
-    null = ids.is_null().to_numpy(zero_copy_only=False)
-    return np.concatenate([row, ids.fill_null(0).to_numpy(), null.astype(np.int64) * 2 + held_out]).tobytes()
-
-
 def _merged(before: np.ndarray, sym: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Counts of pairs, added up."""
     _, at, pair = np.unique(chained(before, sym), return_index=True, return_inverse=True)
@@ -343,13 +343,10 @@ PARTS = "row bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_known b
 def _scored(shared):
     """Partial sums of texts, and a row for each token whose count is not held."""
 
-    def output(row, ids=None, held_out=None, sums=None, rest=None):
-        n = len(row)
-        nulls = lambda t: pa.nulls(n, t)
-        sums = [pa.array(x) for x in sums] if sums else [nulls(pa.int64()), nulls(pa.int64()), nulls(pa.float64()), nulls(pa.float64())]
-        rest = rest or [nulls(pa.int64()), nulls(pa.float64()), nulls(pa.float64())]
-        names = [x.split()[0] for x in PARTS.split(", ")]
-        return pa.RecordBatch.from_arrays([pa.array(row), ids if ids is not None else nulls(pa.int64()), held_out if held_out is not None else nulls(pa.bool_()), *sums, *rest], names)
+    types = {"row": pa.int64(), "doc_id": pa.int64(), "held_out": pa.bool_(), "n_tokens": pa.int64(), "n_known": pa.int64(), "base": pa.float64(), "score": pa.float64(), "sym": pa.int64(), "a": pa.float64(), "b": pa.float64()}
+
+    def output(row, **columns):
+        return pa.RecordBatch.from_arrays([columns.get(c, row if c == "row" else pa.nulls(len(row), t)) for c, t in types.items()], list(types))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         root = shared.value
@@ -359,8 +356,8 @@ def _scored(shared):
         for (_, turn, kind), group in groupby(blocks, key=lambda b: b[:3]):
             if kind == _TEXTS:
                 for *_, block in group:
-                    row, ids, flags = np.frombuffer(block, np.int64).reshape(3, -1)
-                    yield output(row, pa.array(ids, mask=flags >= 2), pa.array(flags % 2 == 1))
+                    row, ids, flags, n_tokens, n_known, base = np.frombuffer(block, np.int64).reshape(6, -1)
+                    yield output(pa.array(row), doc_id=pa.array(ids, mask=flags >= 2), held_out=pa.array(flags % 2 == 1), n_tokens=pa.array(n_tokens), n_known=pa.array(n_known), base=pa.array(base.view(np.float64)))
             elif kind == _COUNTS:
                 counts, of = added_counts(root, (b[3] for b in group)), turn
             else:
@@ -403,18 +400,17 @@ def _scored(shared):
         split = root.large.find(words[1])[1] & token & (length >= 1)
         a, b, _ = branches(root, words, length, np.where(token, weight, 0), np.where(split, 0, weight))
         words, row, a, b = words[0][token], row[token], a[token], b[token]
-        count, held = root.known(words)
-        base = np.where(held, np.log10((count + 0.1) / root.unit), 0.0)
-        score = np.where(held, np.log10(np.where(held, a, 1.0)), 0.0)
-        rest = None if held.all() else output(row[~held], rest=[i64(words[~held]), pa.array(a[~held]), pa.array(b[~held])])
-        return added(row, np.ones(len(row)), held, base, score), rest
+        held = b == 0
+        score = np.log10(np.where(held, a, 1.0))
+        rest = None if held.all() else output(pa.array(row[~held]), sym=i64(words[~held]), a=pa.array(a[~held]), b=pa.array(b[~held]))
+        return added(row, score), rest
 
-    def text_sums(row, n, known, base, score):
-        return output(row, sums=[n.astype(np.int64), known.astype(np.int64), base, score])
+    def text_sums(row, score):
+        return output(pa.array(row), score=pa.array(score))
 
-    def added(row, *columns):
+    def added(row, score):
         texts, at = np.unique(row, return_inverse=True)
-        return texts, *(np.bincount(at, weights=x, minlength=len(texts)) for x in columns)
+        return texts, np.bincount(at, weights=score, minlength=len(texts))
 
     return run
 
