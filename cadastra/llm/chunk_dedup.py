@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import Rolling, i64, join_unique, materialize, mix, text_chunks
@@ -142,6 +142,12 @@ def repeated_spans(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
     return found.where(F.size("spans") > 0)
 
 
+def _border(raw: Column, at: Column, step: int) -> Column:
+    """`at`, or the next place before or after it, as `step` is -1 or 1, where no character of UTF-8 is cut."""
+    inside = lambda k: F.hex(F.substring(raw, at + k * step + 1, F.lit(1))).between("80", "BF")
+    return F.when(~inside(0), at).when(~inside(1), at + step).when(~inside(2), at + 2 * step).otherwise(at + 3 * step)
+
+
 def remove_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """docs with the repeated bytes taken out of text. Spans are in bytes of UTF-8; a cut inside
     a character leaves that character's other bytes out too."""
@@ -149,12 +155,11 @@ def remove_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
     marks = spans.select(F.col("doc_id").alias("_id"), F.col("tid").alias("_t"), F.col("spans").alias("_spans"))
     joined = docs.join(marks, docs.doc_id.eqNullSafe(marks._id) & (docs._tid == marks._t), "left")
     raw = F.col("text").cast("binary")
-    bounds = F.concat(F.array(F.lit(0)), F.flatten(F.transform("_spans", lambda x: F.array(x["start"], x["end"]))), F.array(F.length(raw)))
+    bounds = F.concat(F.array(F.lit(0)), F.flatten(F.transform("_spans", lambda x: F.array(_border(raw, x["start"], -1), _border(raw, x["end"], 1)))), F.array(F.length(raw)))
     places = F.sequence(F.lit(0), F.size(bounds) - 2, F.lit(2))
-    parts = F.transform(places, lambda i: F.substring(raw, F.get(bounds, i) + 1, F.get(bounds, i + 1) - F.get(bounds, i)))
+    parts = F.transform(places, lambda i: F.substring(raw, F.get(bounds, i) + 1, F.greatest(F.get(bounds, i + 1) - F.get(bounds, i), F.lit(0))))
     kept = F.aggregate(parts, F.lit(b""), lambda a, p: F.concat(a, p))
-    clean = F.regexp_replace(F.decode(kept, "UTF-8"), "�", "")
-    return joined.withColumn("text", F.when(F.col("_spans").isNull(), F.col("text")).otherwise(clean)).drop("_tid", "_id", "_t", "_spans")
+    return joined.withColumn("text", F.when(F.col("_spans").isNull(), F.col("text")).otherwise(kept.cast("string"))).drop("_tid", "_id", "_t", "_spans")
 
 
 def op6_chunk_dedup(spark: SparkSession, docs: DataFrame) -> DataFrame:

@@ -265,6 +265,21 @@ def test_op6_removal(spark):
         assert len(left[i].encode()) == got[i].n_bytes - got[i].n_removed
 
 
+def test_op6_removal_at_characters(spark):
+    """Cuts inside characters take the whole characters; characters of the text's own, U+FFFD too, stay."""
+    text = "ab\ufffd\u00e9\u20ac\U0001f600z\ufffd"
+    raw = text.encode()
+    cases = [[(a, b)] for a in range(len(raw)) for b in range(a + 1, len(raw) + 1)] + [[(1, 6), (8, 9)], [(4, 6), (7, 10)]]
+    docs = spark.createDataFrame([(i, text) for i in range(len(cases))], "doc_id bigint, text string")
+    tid = docs.selectExpr("xxhash64(text)").first()[0]
+    spans = spark.createDataFrame([(i, tid, c) for i, c in enumerate(cases)], "doc_id bigint, tid bigint, spans array<struct<start:int,end:int>>")
+    left = {r.doc_id: r.text for r in chunk_dedup.remove_spans(docs, spans).collect()}
+    place = np.cumsum([0, *(len(x.encode()) for x in text)])
+    for i, case in enumerate(cases):
+        want = "".join(x for x, s, e in zip(text, place, place[1:]) if not any(s < b and e > a for a, b in case))
+        assert left[i] == want, case
+
+
 def test_op7(spark):
     from tokenizers import Tokenizer
 
