@@ -12,6 +12,7 @@ from .mixing import op4_mixing
 from .suffix_dedup import op9_suffix_dedup
 from .suffix_tree_lm import op1_suffix_tree_lm
 from .token_records import op7_token_records
+from .weighted_sampling import op12_weighted_sampling
 
 _OPERATORS = {
     "op1_suffix_tree_lm": op1_suffix_tree_lm,
@@ -23,6 +24,7 @@ _OPERATORS = {
     "op8_line_dedup": op8_line_dedup,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_minhash_dedup": op10_minhash_dedup,
+    "op12_weighted_sampling": op12_weighted_sampling,
 }
 
 
