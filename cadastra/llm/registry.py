@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from .chunk_dedup import op6_chunk_dedup
+from .conversation_repair import op13_conversation_repair
 from .decontaminate import op5_decontaminate
 from .exact_dedup import OP3_SQL, op3_exact_dedup
+from .impact_search import OP11_SQL, op11_impact_search
 from .language_id import op2_language_id
 from .line_dedup import op8_line_dedup
 from .minhash_dedup import op10_minhash_dedup
@@ -36,8 +38,12 @@ def queries() -> dict:
     found["op5_decontaminate"] = lambda spark, sf_dir: op5_decontaminate(
         spark, spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     )
+    found["op11_impact_search"] = lambda spark, sf_dir: op11_impact_search(
+        spark, spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    )
+    found["op13_conversation_repair"] = lambda spark, sf_dir: op13_conversation_repair(spark, spark.read.parquet(f"{sf_dir}/conversations.parquet"))
     return found
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_exact_dedup": OP3_SQL}
+    return {"op3_exact_dedup": OP3_SQL, "op11_impact_search": OP11_SQL}
