@@ -97,19 +97,23 @@ def nearest_feet(points: DataFrame, lines: DataFrame, key: str, limit: float, le
     return best.select(key, "pt", F.col("n.foot").alias("foot"), F.col("n.d").alias("dist")).where(F.col("dist") > least)
 
 
-def first_hits(rays: DataFrame, lines: DataFrame, key: str, size: float, eps: float, not_own: Column | None = None) -> DataFrame:
-    """For each ray (p, q of a segment) its first crossing with a line beyond eps: (key, at, s). The
-    candidates come from the cells of both; not_own drops lines that the ray starts on."""
-    box = F.array("p", "q")
-    r = rays.withColumn("_cell", F.explode(cells(g.bounds(box), size)))
+def first_hits(rays: DataFrame, lines: DataFrame, key: str, size: float, eps: float, not_own: Column | None = None, same: tuple[str, ...] = ()) -> DataFrame:
+    """For each ray (p, q of a segment) its first crossing with a line beyond eps: (key, at, s). The candidates come from the cells of
+    both, and are equal in the columns `same`; not_own drops lines that the ray starts on. Both sides are dealt by cell, as what cells
+    multiply is in no estimate of size; the least number is found first and the point made of it then."""
+    r = rays.withColumn("_cell", F.explode(cells(g.bounds(F.array("p", "q")), size)))
     sides = lines.withColumn("side", F.explode(g.segments(F.col("line")))).withColumn("_cell", F.explode(cells(g.bounds(F.array("side.p", "side.q")), size))).drop("line")
-    hit = r.join(sides, "_cell")
+    hit = r.join(sides.hint("shuffle_hash"), ["_cell", *same])
     if not_own is not None:
         hit = hit.where(not_own)
-    hit = hit.withColumn("x", g.crossing(F.col("p"), F.col("q"), F.col("side.p"), F.col("side.q"))).where("x IS NOT NULL")
-    reach = F.col("x.t") * g.distance(F.col("p"), F.col("q"))
-    best = hit.where(reach > eps).groupBy(key).agg(F.min(F.struct(reach.alias("s"), F.col("x.at").alias("at"))).alias("b"))
-    return best.select(key, F.col("b.at").alias("at"), F.col("b.s").alias("s"))
+    p, q, a, b = (F.col(c) for c in ("p", "q", "side.p", "side.q"))
+    dx, dy, ex, ey = q["x"] - p["x"], q["y"] - p["y"], b["x"] - a["x"], b["y"] - a["y"]
+    hit = hit.select(key, "p", "q", dx.alias("dx"), dy.alias("dy"), ex.alias("ex"), ey.alias("ey"), (a["x"] - p["x"]).alias("ox"), (a["y"] - p["y"]).alias("oy"))
+    hit = hit.withColumn("den", F.expr("dx * ey - dy * ex")).where("den <> 0")
+    hit = hit.withColumn("t", F.expr("(ox * ey - oy * ex) / den")).where("t BETWEEN 0 AND 1 AND (ox * dy - oy * dx) / den BETWEEN 0 AND 1")
+    best = hit.where(F.col("t") * F.sqrt(F.expr("dx * dx + dy * dy")) > eps).groupBy(key, "p", "q").agg(F.min("t").alias("t"))
+    at = g.point(p["x"] + F.col("t") * (q["x"] - p["x"]), p["y"] + F.col("t") * (q["y"] - p["y"]))
+    return best.select(key, at.alias("at"), (F.col("t") * g.distance(p, q)).alias("s"))
 
 
 def lines_inside(lines: DataFrame, polygons: DataFrame, size: float) -> DataFrame:

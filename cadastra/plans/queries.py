@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from cadastra.functions import geometry as g
 from cadastra.functions import projection, shapes
 from cadastra.functions import text as tx
-from cadastra.operators import graph, labels, link, network, overlay, parcels, relational, separator, smooth, spatial
+from cadastra.operators import chains, graph, labels, link, network, overlay, parcels, redistribute, relational, separator, simplify, smooth, spatial
 from cadastra.plans.derive import CELLS, EDGES, GEOCODES, LINES, LINK, POINTS, REGISTRY, TOWNS, Tables, plain
 from cadastra.session import materialize, scratch_dir
 from cadastra.sources import readers, sinks
@@ -542,12 +542,12 @@ def nearest_foot_on_boundary(t):
 def ray_first_hit(t):
     p = points(t)
     up = F.col("pid") % 2 == 0
-    rays = p.select("pid", up.alias("up"), F.col("pt").alias("p"), F.when(up, g.point(F.col("pt.x"), F.col("pt.y") + 20)).otherwise(g.point(F.col("pt.x") + 20, F.col("pt.y"))).alias("q"))
+    rays = p.select("pid", up.alias("flat"), F.col("pt").alias("p"), F.when(up, g.point(F.col("pt.x"), F.col("pt.y") + 20)).otherwise(g.point(F.col("pt.x") + 20, F.col("pt.y"))).alias("q"))
     c = t.sql(CELLS)
     x, y = F.col("x0"), F.col("y0")
     flat = c.select(F.lit(True).alias("flat"), F.array(g.point(x, y), g.point(x + 5, y)).alias("line"))
     tall = c.select(F.lit(False).alias("flat"), F.array(g.point(x, y), g.point(x, y + 5)).alias("line"))
-    hits = spatial.first_hits(rays, flat.unionByName(tall), "pid", 5.0, 0.25, F.col("up") == F.col("flat"))
+    hits = spatial.first_hits(rays, flat.unionByName(tall), "pid", 5.0, 0.25, same=("flat",))
     return hits.select("pid", r6("s").alias("s"), r6("at.x").alias("at_x"), r6("at.y").alias("at_y"))
 
 
@@ -697,6 +697,62 @@ def straighten_borders(t):
     return smoothed.select("label", r6(g.area(F.col("poly"))).alias("area"), F.size(F.get("poly", 0)).alias("corners"))
 
 
+@query(
+    f"""WITH c AS (SELECT cell, x0, y0, cell % 100 AS col, cell % 7 <> 0 AS side, cell % 7 > 1 AND cell % 5 = 0 AND cell % 100 > 0 AS stub FROM ({plain(CELLS)})),
+    r AS (SELECT *, sum(CASE WHEN stub OR cell % 7 = 1 OR col = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY y0 ORDER BY col) AS run FROM c WHERE side)
+    SELECT min(x0) AS x, y0 AS y, (5 * count(*))::DOUBLE AS length, (1 + count(*))::BIGINT AS corners FROM r GROUP BY y0, run
+    UNION ALL SELECT x0, y0, 2.5::DOUBLE, 2::BIGINT FROM c WHERE stub"""
+)
+def merged_streets(t):
+    """Sides of street along the cells, with gaps and side streets, as whole lines."""
+    rows = t.sql(CELLS).withColumn("n", F.col("cell") % 7)
+    x, y = F.col("x0"), F.col("y0")
+    along = rows.where("n <> 0").select(g.point(x, y).alias("a"), g.point(x + 5, y).alias("b"))
+    stubs = rows.where("n > 1 AND cell % 5 = 0 AND cell % 100 > 0").select(g.point(x, y + 2.5).alias("a"), g.point(x, y).alias("b"))
+    lines = chains.merge_lines(along.unionByName(stubs))
+    return lines.select(F.col("line")[0]["x"].alias("x"), F.col("line")[0]["y"].alias("y"), r6(g.length(F.col("line"))).alias("length"), F.size("line").cast("bigint").alias("corners"))
+
+
+#: Cells whose inner borders have a bump in the middle, dr to the right and dt upward; labels are of two columns by three rows.
+BUMPS = f"""SELECT *, (cell * 7 % 5 - 2) * 0.3 AS dr, (cell * 3 % 5 - 2) * 0.3 AS dt, CAST(floor(CAST(cell AS DOUBLE) / 100) AS BIGINT) AS row, cell % 100 AS col,
+ (cell % 100 + 1 < 100 AND cell + 1 <= most) AS right_of, cell + 100 <= most AS above FROM ({CELLS}) CROSS JOIN (SELECT max(p_partkey) AS most FROM {{part}})"""
+
+
+def _bumped(t, *more):
+    x, y = F.col("x0"), F.col("y0")
+    left, below = ((F.col("cell") - 1) * 7 % 5 - 2) * 0.3, ((F.col("cell") - 100) * 3 % 5 - 2) * 0.3
+    ring = F.array_compact(F.array(
+        g.point(x, y), F.when(F.col("row") > 0, g.point(x + 2.5, y + below)), g.point(x + 5, y), F.when(F.col("right_of"), g.point(x + 5 + F.col("dr"), y + 2.5)),
+        g.point(x + 5, y + 5), F.when(F.col("above"), g.point(x + 2.5, y + 5 + F.col("dt"))), g.point(x, y + 5), F.when(F.col("col") > 0, g.point(x + left, y + 2.5)), g.point(x, y),
+    ))
+    return materialize(t.sql(BUMPS).select("cell", *more, F.array(ring).alias("poly")), "bumped")
+
+
+@query(
+    f"""WITH c AS ({plain(BUMPS)})
+    SELECT cell, round(25 + 2.5 * (CASE WHEN right_of AND col % 2 = 0 THEN dr ELSE 0 END + CASE WHEN above AND row % 3 <> 2 THEN dt ELSE 0 END
+      - CASE WHEN col % 2 = 1 THEN ((cell - 1) * 7 % 5 - 2) * 0.3 ELSE 0 END - CASE WHEN row % 3 <> 0 THEN ((cell - 100) * 3 % 5 - 2) * 0.3 ELSE 0 END), 6)::DOUBLE AS area, 1::BIGINT AS parts FROM c"""
+)
+def redistribute_borders(t):
+    """Borders between labels lose their bumps, the ground behind them changes hands; those inside a label stay."""
+    label = F.floor(F.col("col") / 2) + 50 * F.floor(F.col("row") / 3)
+    out = redistribute.straighten(_bumped(t, label.alias("label")), "cell", "label")
+    area = F.aggregate("parts", F.lit(0.0), lambda acc, p: acc + g.area(p))
+    return out.select("cell", r6(area).alias("area"), F.size("parts").cast("bigint").alias("parts"))
+
+
+@query(
+    f"""WITH c AS ({plain(BUMPS)}), d AS (SELECT cell, CASE WHEN right_of THEN dr ELSE 0 END AS r, CASE WHEN above THEN dt ELSE 0 END AS a,
+      CASE WHEN col > 0 THEN ((cell - 1) * 7 % 5 - 2) * 0.3 ELSE 0 END AS l, CASE WHEN row > 0 THEN ((cell - 100) * 3 % 5 - 2) * 0.3 ELSE 0 END AS b FROM c),
+    k AS (SELECT cell, CASE WHEN abs(r) > 0.45 THEN r ELSE 0 END AS r, CASE WHEN abs(a) > 0.45 THEN a ELSE 0 END AS a, CASE WHEN abs(l) > 0.45 THEN l ELSE 0 END AS l, CASE WHEN abs(b) > 0.45 THEN b ELSE 0 END AS b FROM d)
+    SELECT cell, round(25 + 2.5 * (r + a - l - b), 6)::DOUBLE AS area, (5 + (r <> 0)::INT + (a <> 0)::INT + (l <> 0)::INT + (b <> 0)::INT)::BIGINT AS corners FROM k"""
+)
+def simplified_partition(t):
+    """Small bumps go, large ones stay, the same for the cells on both sides."""
+    out = simplify.simplify_partition(_bumped(t), "cell", 0.45, 5.0)
+    return out.select("cell", r6(g.area(F.col("poly"))).alias("area"), F.size(F.get("poly", 0)).cast("bigint").alias("corners"))
+
+
 @query()
 def shared_border_lines(t):
     return smooth.shared_lines(_voted(t), "block").select("block", "other", F.size("lines").alias("n_lines"), r6("shared").alias("shared"))
