@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from cadastra.functions import geometry as g
 from cadastra.functions import projection, shapes
 from cadastra.functions import text as tx
-from cadastra.operators import chains, graph, labels, link, network, overlay, parcels, redistribute, relational, separator, simplify, smooth, spatial
+from cadastra.operators import chains, graph, labels, link, network, overlay, parcels, redistribute, relational, separator, simplify, smooth, spatial, town
 from cadastra.plans.derive import CELLS, EDGES, GEOCODES, LINES, LINK, POINTS, REGISTRY, TOWNS, Tables, plain
 from cadastra.session import materialize, scratch_dir
 from cadastra.sources import readers, sinks
@@ -866,9 +866,16 @@ def points_extracted(t):
     return _mixed(t).select("cell", F.posexplode(shapes.points_of(F.col("shape"))).alias("i", "p")).select("cell", "i", "p.x", "p.y")
 
 
-@query()
-def town_blocks(t):
-    """From roads to blocks: streets between the suppliers' places on a grid, every third one cut short, in two rows of
+@query(
+    f"""WITH f AS (SELECT label, row_number() OVER (ORDER BY min(pid), label) AS i FROM ({plain(POINTS)}) GROUP BY label)
+    SELECT label, list_extract(['{"', '".join(labels.TAB20)}'], least(i, 20)) AS color FROM f"""
+)
+def categorical_colours(t):
+    return labels.categorical(points(t).select("label", "pid"), "label", "pid")
+
+
+def _town(t):
+    """Nodes, edges, homes and boundary: streets between the suppliers' places on a grid, every third one cut short, in two rows of
     residential boxes of which the town's boundary cuts some."""
     k = F.col("s_suppkey")
     n = t.read("supplier").select(k.alias("osmid"), g.point(F.floor(k / 5) * 120.0, k % 5 * 120.0).alias("pt"))
@@ -878,6 +885,23 @@ def town_blocks(t):
     col = n.select(F.floor(F.col("osmid") / 25).alias("id")).distinct()
     homes = col.select("id", g.rectangle(F.col("id") * 600.0 - 60, F.lit(-60.0), F.col("id") * 600.0 + 540, F.lit(540.0)).alias("poly"))
     last = n.agg(F.max("pt.x").alias("x"))
-    town = last.select(g.rectangle(F.lit(-30.0), F.lit(-100.0), F.col("x") + 30, F.lit(520.0)).alias("poly"))
-    blocks = network.town_blocks(n, e, homes, town, 60.0)
+    boundary = last.select(g.rectangle(F.lit(-30.0), F.lit(-100.0), F.col("x") + 30, F.lit(520.0)).alias("poly"))
+    return n, e, homes, boundary
+
+
+@query()
+def town_blocks(t):
+    """From roads to blocks."""
+    blocks = network.town_blocks(*_town(t), 60.0)
     return blocks.select("block", r6(g.area(F.col("poly"))).alias("area"), F.size("poly").alias("rings"))
+
+
+@query()
+def town_territories(t):
+    """From roads and addresses to written territories: customers live in the blocks, labels are strips of two columns."""
+    most = t.read("supplier").agg((F.floor(F.max("s_suppkey") / 5)).alias("most"))
+    k = F.col("c_custkey")
+    at = t.read("customer").crossJoin(F.broadcast(most)).where("most > 0").select(k, (k % F.col("most")).alias("i"), (F.floor(k / 20) % 4).alias("j"))
+    pts = at.select(F.floor(F.col("i") / 2).alias("label"), g.point(F.col("i") * 120 + 60 + k % 7 * 5, F.col("j") * 120 + 60 - k % 11 * 4).alias("pt"))
+    whole = town.town_territories(pts, *_town(t), "label", 60.0)
+    return whole.select("label", "color", r6(town.area("parts")).alias("area"), F.size("parts").alias("parts"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cadastra.functions import shapes
 from cadastra.functions import text as tx
 
 REGISTRY = (
@@ -96,9 +97,19 @@ def clean_registry(registry: DataFrame, towns: DataFrame) -> DataFrame:
     return rows.select("szavazokorid", "kozteruletid", "kozteruletnevid", "utca", "cim", "telepulesid", "telepulesnev", "telepulesnev_hu", "eventfromid", "date").distinct()
 
 
+def polygons_of(rows: DataFrame) -> DataFrame:
+    """Rows whose shape is a polygon or several, each part in a row of its own with its number and poly instead of the shape."""
+    kept = rows.where(shapes.kind(F.col("shape")).isin("Polygon", "MultiPolygon"))
+    return kept.select(*(c for c in rows.columns if c != "shape"), F.posexplode("shape").alias("part", "_p")).withColumn("poly", F.col("_p.rings")).drop("_p")
+
+
 def load_town(spark: SparkSession, folder: str, town: str) -> dict[str, DataFrame]:
-    """nodes, edges, residential and boundary of a town, from tables partitioned by town."""
+    """nodes, edges, residential and boundary of a town, from tables partitioned by town. Residential areas and boundaries may be shapes
+    of any kind: those that are no polygons are left out."""
     out = {name: spark.read.parquet(f"{folder}/{name}").where(F.col("town") == town).drop("town") for name in ("nodes", "edges", "residential", "boundary")}
+    for name in ("residential", "boundary"):
+        if "shape" in out[name].columns:
+            out[name] = polygons_of(out[name])
     if not out["residential"].limit(1).count():
         raise RuntimeError(f"no residential area in {town}")
     return out
