@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cadastra.functions import geometry as g
-from cadastra.functions import projection, shapes
+from cadastra.functions import projection, shapes, tables
 from cadastra.functions import text as tx
 from cadastra.operators import chains, graph, labels, link, network, overlay, parcels, redistribute, relational, separator, simplify, smooth, spatial, town
 from cadastra.plans.derive import CELLS, EDGES, GEOCODES, LINES, LINK, POINTS, REGISTRY, TOWNS, Tables, plain
@@ -874,6 +874,15 @@ def categorical_colours(t):
     return labels.categorical(points(t).select("label", "pid"), "label", "pid")
 
 
+@query(f"SELECT cell, n::INT AS part, 12.5::DOUBLE AS area, x0 + 2.5 * n AS xmin FROM ({plain(CELLS)}), (VALUES (0), (1)) v(n)")
+def halves_in_sql(t):
+    """Cells cut in half by the table function."""
+    tables.register(t.spark)
+    cells(t).createOrReplaceTempView("cells_to_halve")
+    halves = t.spark.sql("SELECT c.cell, h.part, h.poly FROM cells_to_halve c, LATERAL felez(c.poly) h")
+    return halves.select("cell", "part", r6(g.area(F.col("poly"))).alias("area"), g.bounds(F.get("poly", 0))["xmin"].alias("xmin"))
+
+
 def _town(t):
     """Nodes, edges, homes and boundary: streets between the suppliers' places on a grid, every third one cut short, in two rows of
     residential boxes of which the town's boundary cuts some."""

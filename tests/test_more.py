@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cadastra.functions import geometry as g
-from cadastra.functions import shapes
+from cadastra.functions import shapes, tables
 from cadastra.operators import labels, overlay
 from cadastra.sources import readers
 from cadastra.streaming import ingest
@@ -61,3 +61,13 @@ def test_arrivals_are_linked_and_counted(spark, tmp_path):
     counts = ingest.arrivals_by_town(timed).writeStream.format("memory").queryName("arrivals").outputMode("complete").trigger(availableNow=True).start()
     counts.awaitTermination(120)
     assert [tuple(r) for r in spark.table("arrivals").select("telepules", "n", "without_number").collect()] == [("Tököl", 6, want.where("cim IS NULL").count())]
+
+
+def test_halves_as_a_table_function(spark):
+    """The same pieces in SQL as from the operator."""
+    tables.register(spark)
+    df = polys(spark, (1, box(0, 0, 4, 2)), (2, [*box(0, 0, 10, 10), box(4, 4, 6, 6)[0][::-1]]), (3, box(1, 1, 1, 5)))
+    df.unionByName(spark.createDataFrame([(4, None)], df.schema)).createOrReplaceTempView("shapes_to_halve")
+    got = spark.sql("SELECT s.id, CAST(h.part AS STRING) AS path, h.poly FROM shapes_to_halve s, LATERAL felez(s.poly) h").collect()
+    want = labels.halve(df.withColumn("path", F.lit("")), "id").select("id", "path", "poly").collect()
+    assert len(want) == 4 and sorted(map(tuple, got), key=str) == sorted(map(tuple, want), key=str)
