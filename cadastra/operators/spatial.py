@@ -101,7 +101,7 @@ def first_hits(rays: DataFrame, lines: DataFrame, key: str, size: float, eps: fl
     """For each ray (p, q of a segment) its first crossing with a line beyond eps: (key, at, s). The candidates come from the cells of
     both, and are equal in the columns `same`; not_own drops lines that the ray starts on. Both sides are dealt by cell, as what cells
     multiply is in no estimate of size; the least number is found first and the point made of it then."""
-    r = rays.withColumn("_cell", F.explode(cells(g.bounds(F.array("p", "q")), size)))
+    r = rays.repartition(key).withColumn("_cell", F.explode(cells(g.bounds(F.array("p", "q")), size)))  # few files of rays make many cells
     sides = lines.withColumn("side", F.explode(g.segments(F.col("line")))).withColumn("_cell", F.explode(cells(g.bounds(F.array("side.p", "side.q")), size))).drop("line")
     hit = r.join(sides.hint("shuffle_hash"), ["_cell", *same])
     if not_own is not None:
