@@ -883,6 +883,13 @@ def halves_in_sql(t):
     return halves.select("cell", "part", r6(g.area(F.col("poly"))).alias("area"), g.bounds(F.get("poly", 0))["xmin"].alias("xmin"))
 
 
+@query(f"SELECT pid, round((x - 1) * 0.6::DOUBLE + (y - 2) * 0.8::DOUBLE, 6) AS along FROM ({plain(POINTS)})")
+def points_along_direction(t):
+    """How far each point lies along a ray from (1, 2)."""
+    along = g.project(g.point(F.lit(1.0), F.lit(2.0)), F.lit(0.6), F.lit(0.8), F.col("pt"))
+    return points(t).select("pid", r6(along).alias("along"))
+
+
 def _town(t):
     """Nodes, edges, homes and boundary: streets between the suppliers' places on a grid, every third one cut short, in two rows of
     residential boxes of which the town's boundary cuts some."""
