@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import collections
+import itertools
 import random
 
 import pytest
@@ -15,15 +16,16 @@ SQUARES = "key bigint, label bigint, poly array<array<struct<x:double,y:double>>
 def tiling(seed, n=3, off=0):
     """n x n cells with ragged borders: (key, label, poly)."""
     rnd = random.Random(seed)
-    corner = {(i, j): (10.0 * i + rnd.uniform(-2, 2), 10.0 * j + rnd.uniform(-2, 2)) for i in range(n + 1) for j in range(n + 1)}
+    corner = {(i, j): (10.0 * i + rnd.uniform(-1.2, 1.2), 10.0 * j + rnd.uniform(-1.2, 1.2)) for i in range(n + 1) for j in range(n + 1)}
     border = {}
 
     def line(a, b):
         if (a, b) not in border:
             (x0, y0), (x1, y1) = corner[a], corner[b]
             ts = sorted(rnd.uniform(0.1, 0.9) for _ in range(rnd.randrange(6)))
-            far = [min(0.9, 2.7 * min(t, 1 - t)) for t in ts]  # so near the corners that borders do not cross
-            border[a, b] = [(x0, y0), *((x0 + t * (x1 - x0) + rnd.uniform(-d, d), y0 + t * (y1 - y0) + rnd.uniform(-d, d)) for t, d in zip(ts, far, strict=True)), (x1, y1)]
+            length = ((x1 - x0) ** 2 + (y1 - y0) ** 2) ** 0.5
+            off = [rnd.uniform(-1, 1) * min(0.9, 1.6 * min(t, 1 - t)) / length for t in ts]  # across the border and little near corners, so that none cross
+            border[a, b] = [(x0, y0), *((x0 + t * (x1 - x0) - d * (y1 - y0), y0 + t * (y1 - y0) + d * (x1 - x0)) for t, d in zip(ts, off, strict=True)), (x1, y1)]
         return border[a, b]
 
     out = []
@@ -49,6 +51,17 @@ def neighbours(cells):
     return sorted({tuple(sorted(x)) for x in at.values() if len(x) == 2 and len({label[k] for k in x}) == 2})
 
 
+def crosses(p, q, r, s):
+    turn = lambda a, b, c: (b[0] - a[0]) * (c[1] - a[1]) - (b[1] - a[1]) * (c[0] - a[0])
+    return turn(p, q, r) * turn(p, q, s) < 0 and turn(r, s, p) * turn(r, s, q) < 0
+
+
+@pytest.mark.parametrize("seed", range(0, 400, 20))
+def test_tilings_are_valid(seed):
+    sides = sorted({(min(s), max(s)) for k in range(seed, seed + 20) for _, _, p in tiling(k, 3, 10 * k) for s in rd._sides([p])})
+    assert not any(crosses(*a, *b) for a, b in itertools.combinations(sides, 2) if not {*a} & {*b} and abs(a[0][0] - b[0][0]) < 20)
+
+
 @pytest.mark.parametrize("first", range(0, 200, 50))
 def test_area_is_kept_and_no_ground_is_anyones_twice(first):
     """200 random tilings, one pair after the other in random order."""
