@@ -57,6 +57,13 @@ _SPREAD = (
 POINTS = f"SELECT pid, x, y, CAST(floor(CAST(r AS DOUBLE) / 4) AS BIGINT) * 20 + CAST(floor((x + CAST(5 * (3 * r % 7) AS DOUBLE)) / 31) AS BIGINT) AS label FROM ({_SPREAD})"
 #: Towns: ten rows of cells each, a hole in each.
 TOWNS = "SELECT DISTINCT CAST(floor(CAST(p_partkey AS DOUBLE) / 1000) AS BIGINT) AS town FROM {part}"
+#: Zones of all sizes: squares of one to five units, every twentieth a strip of 64 on the diagonal, every 500th 256 by 32 units.
+ZONES = "SELECT p_partkey AS zone, CASE WHEN p_partkey % 20 = 0 THEN 'strip' WHEN p_partkey % 500 = 7 THEN 'wide' ELSE 'square' END AS kind, CAST(p_partkey * 13 % 500 AS DOUBLE) AS x0, CAST(floor(CAST(p_partkey AS DOUBLE) / 34) AS DOUBLE) AS y0, CAST(1 + p_partkey % 5 AS DOUBLE) AS side FROM {part}"
+#: A third of all orders in one square of four units, a third of those in one place, the others wide apart.
+CROWD = (
+    "SELECT o_orderkey AS pid, CASE WHEN o_orderkey % 9 = 0 THEN CAST(41 AS DOUBLE) WHEN o_orderkey % 3 = 0 THEN 40 + CAST(o_custkey * 7 % 32 AS DOUBLE) / 8 ELSE CAST(o_orderkey * 37 % 4096 AS DOUBLE) / 8 END AS x, "
+    "CASE WHEN o_orderkey % 9 = 0 THEN CAST(5.5 AS DOUBLE) WHEN o_orderkey % 3 = 0 THEN 4 + CAST(o_orderkey * 5 % 32 AS DOUBLE) / 8 ELSE CAST(floor(CAST(o_orderkey AS DOUBLE) / 32) AS DOUBLE) / 8 END AS y FROM {orders}"
+)
 #: Street lines: 20 parts make a frame of 50 units, each with a line across it.
 LINES = (
     "SELECT tile, ox, ox AS x0, CAST(k % 50 AS DOUBLE) + CAST(0.5 AS DOUBLE) AS y0, ox + 50 AS x1, CAST(k * 7 % 50 AS DOUBLE) + CAST(0.25 AS DOUBLE) AS y1 FROM "

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from cadastra.functions import geometry as g
 from cadastra.functions import projection, shapes, tables
 from cadastra.functions import text as tx
-from cadastra.operators import chains, graph, labels, link, network, overlay, parcels, redistribute, relational, separator, simplify, smooth, spatial, town
-from cadastra.plans.derive import CELLS, EDGES, GEOCODES, LINES, LINK, POINTS, REGISTRY, TOWNS, Tables, plain
+from cadastra.operators import chains, graph, labels, link, network, overlay, parcels, quadtree, redistribute, relational, separator, simplify, smooth, spatial, town
+from cadastra.plans.derive import CELLS, CROWD, EDGES, GEOCODES, LINES, LINK, POINTS, REGISTRY, TOWNS, ZONES, Tables, plain
 from cadastra.session import materialize, scratch_dir
 from cadastra.sources import readers, sinks
 
@@ -435,6 +435,20 @@ def points_in_named_town(t):
     return spatial.points_in_polygons(points(t), town, 50.0).select("pid")
 
 
+@query(
+    f"""SELECT zone, pid FROM ({plain(CROWD)}) p JOIN ({plain(ZONES)}) z ON CASE kind WHEN 'strip' THEN y > y0 AND y < y0 + 64 AND x > x0 + (y - y0) AND x < x0 + 1 + (y - y0)
+    WHEN 'wide' THEN x > x0 AND x < x0 + 256 AND y > y0 AND y < y0 + 32 ELSE x > x0 AND x < x0 + side AND y > y0 AND y < y0 + side END"""
+)
+def points_in_zones(t):
+    """Zones of all sizes and crowded points, over a quadtree that follows the points."""
+    x, y, e = F.col("x0"), F.col("y0"), F.col("side")
+    strip = F.array(F.array(g.point(x, y), g.point(x + 1, y), g.point(x + 65, y + 64), g.point(x + 64, y + 64), g.point(x, y)))
+    poly = F.when(F.col("kind") == "strip", strip).when(F.col("kind") == "wide", g.rectangle(x, y, x + 256, y + 32)).otherwise(g.rectangle(x, y, x + e, y + e))
+    zones = t.sql(ZONES).select("zone", poly.alias("poly"))
+    crowd = t.sql(CROWD).select("pid", g.point(F.col("x"), F.col("y")).alias("pt"))
+    return quadtree.points_in_polygons(crowd, zones, 512.0).select("zone", "pid")
+
+
 def _shapes(t):
     """Triangles for odd keys, else squares, every second of these with a hole off its centre."""
     x, y, k = F.col("x0"), F.col("y0"), F.col("cell")
