@@ -1,5 +1,5 @@
 """Points in polygons over a quadtree whose depth follows the points: a node of more than `most` points has four children, down to a
-stated depth, and what is still larger there (points in one place) is dealt in parts. Nodes without points do not exist.
+stated depth or to a single place, and what is still larger there is dealt in parts. Nodes without points do not exist.
 
 Polygons go down the tree, a level a round, all together. A node keeps a polygon only if a side of it meets the node or the node lies
 inside, so a long diagonal has rows along its sides and no more; a node wholly inside takes its points without a test. With a node goes
@@ -26,8 +26,8 @@ def build(places: DataFrame, most: int, depth: int) -> DataFrame:
     """places (ix, iy, n), counts on the finest grid: (l, cx, cy, n, leaf) of all nodes that the tree has."""
     at = places.select("n", "ix", "iy", F.explode(F.sequence(F.lit(0), F.lit(depth))).alias("l"))
     up = [F.expr(f"CAST(floor({c} / pow(2, {depth} - l)) AS BIGINT)").alias(name) for c, name in (("ix", "cx"), ("iy", "cy"))]
-    nodes = at.select("n", "l", *up).groupBy(*NODE).agg(F.sum("n").alias("n"))
-    nodes = materialize(nodes.withColumn("leaf", (F.col("n") <= most) | (F.col("l") == depth)), "nodes")
+    nodes = at.select("n", "l", *up).groupBy(*NODE).agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("places"))
+    nodes = materialize(nodes.select(*NODE, "n", ((F.col("n") <= most) | (F.col("places") == 1) | (F.col("l") == depth)).alias("leaf")), "nodes")
     parents = nodes.where("NOT leaf").select((F.col("l") + 1).alias("l"), F.col("cx").alias("px"), F.col("cy").alias("py"))
     below = nodes.withColumns({"px": F.expr("CAST(floor(cx / 2) AS BIGINT)"), "py": F.expr("CAST(floor(cy / 2) AS BIGINT)")})
     kept = below.where("l > 0").join(parents, ["l", "px", "py"], "left_semi").select(*NODE, "n", "leaf")
@@ -100,12 +100,12 @@ def _judged(at: DataFrame, size: float, pad: float) -> DataFrame:
 
 
 def cover(polygons: DataFrame, tree: DataFrame, size: float, depth: int) -> DataFrame:
-    """polygons (uid, poly): (uid, l, cx, cy, n, whole, sides) of every leaf that each reaches."""
+    """polygons (uid, poly): (uid, box, l, cx, cy, n, whole, sides) of every leaf that each reaches."""
     pad = size / 2**depth * 1e-6
     sides = F.flatten(F.transform("poly", g.segments))
-    box = polygons.where("size(poly) > 0").select("uid", sides.alias("sides"), g.bounds(F.get("poly", 0)).alias("b"))
+    box = polygons.where("size(poly) > 0").select("uid", sides.alias("sides"), g.bounds(F.get("poly", 0)).alias("box"))
     span = lambda lo, hi: F.explode(F.sequence(F.floor((F.col(lo) - pad) / size).cast("bigint"), F.floor((F.col(hi) + pad) / size).cast("bigint")))
-    at = box.select("uid", "sides", "b", F.lit(0).alias("l"), span("b.xmin", "b.xmax").alias("cx")).select("uid", "sides", "l", "cx", span("b.ymin", "b.ymax").alias("cy"))
+    at = box.select("uid", "box", "sides", F.lit(0).alias("l"), span("box.xmin", "box.xmax").alias("cx")).select("uid", "box", "sides", "l", "cx", span("box.ymin", "box.ymax").alias("cy"))
     at = at.withColumn("whole", F.lit(False)).join(tree, NODE)
     children = tree.withColumns({"cx2": F.col("cx"), "cy2": F.col("cy"), "cx": F.expr("CAST(floor(cx / 2) AS BIGINT)"), "cy": F.expr("CAST(floor(cy / 2) AS BIGINT)"), "l": F.col("l") - 1})
     found = []
@@ -115,19 +115,21 @@ def cover(polygons: DataFrame, tree: DataFrame, size: float, depth: int) -> Data
         open_ = at.where("NOT leaf").drop("n", "leaf")
         if not open_.limit(1).count():
             break
-        at = open_.join(children, NODE).select("uid", "sides", "whole", (F.col("l") + 1).alias("l"), F.col("cx2").alias("cx"), F.col("cy2").alias("cy"), "n", "leaf")
+        at = open_.join(children, NODE).select("uid", "box", "sides", "whole", (F.col("l") + 1).alias("l"), F.col("cx2").alias("cx"), F.col("cy2").alias("cy"), "n", "leaf")
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
     return out.drop("leaf")
 
 
-def points_in_polygons(points: DataFrame, polygons: DataFrame, size: float, most: int = 4096, depth: int = 12) -> DataFrame:
+def points_in_polygons(points: DataFrame, polygons: DataFrame, size: float, most: int = 256, depth: int = 12) -> DataFrame:
     """points (pt) joined to the polygons (poly) that they lie strictly inside, the rows of the join on a fixed grid. size: the side of
     the largest nodes, some share of the whole extent; most: points that one leaf's part holds, about; depth: of the tree."""
     placed, tree = place(points, size, most, depth)
     named = materialize(polygons.withColumn("uid", F.monotonically_increasing_id()), "polygons")
     covers = cover(named, tree, size, depth)
     dealt = covers.withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.ceil(F.col("n") / most) - 1))).drop("n")
-    hits = dealt.join(placed, [*NODE, "part"]).where(F.col("whole") | _strictly_in(F.col("pt"), F.col("sides")))
+    hits = dealt.join(placed, [*NODE, "part"])
+    in_box = F.col("pt.x").between(F.col("box.xmin"), F.col("box.xmax")) & F.col("pt.y").between(F.col("box.ymin"), F.col("box.ymax"))
+    hits = hits.where(F.col("whole") | in_box).where(F.col("whole") | _strictly_in(F.col("pt"), F.col("sides")))
     return hits.select("uid", *points.columns).join(named, "uid").drop("uid")

@@ -446,7 +446,7 @@ def points_in_zones(t):
     poly = F.when(F.col("kind") == "strip", strip).when(F.col("kind") == "wide", g.rectangle(x, y, x + 256, y + 32)).otherwise(g.rectangle(x, y, x + e, y + e))
     zones = t.sql(ZONES).select("zone", poly.alias("poly"))
     crowd = t.sql(CROWD).select("pid", g.point(F.col("x"), F.col("y")).alias("pt"))
-    return quadtree.points_in_polygons(crowd, zones, 512.0).select("zone", "pid")
+    return quadtree.points_in_polygons(crowd, zones, 512.0, depth=9).select("zone", "pid")
 
 
 def _shapes(t):
