@@ -361,6 +361,24 @@ def test_op9(spark, monkeypatch, hot):
         assert (got[i].n_bytes, got[i].n_removed, got[i].n_spans, got[i].kept_sha256) == want
 
 
+def test_op9_deals_texts_once(spark, capsys):
+    """Texts are joined where they lie, in the plan of the result too; rows without doc_id and of doc_id 0 keep apart."""
+    kept = texts()
+    rows = [(None, kept[60]), (0, kept[61]), (0, kept[92] + "!"), (None, kept[93]), (7, None)]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = OPERATORS[9](spark, spark.createDataFrame(rows, "doc_id bigint, text string"))
+        out.explain()
+        got = sorted((r.n_bytes, r.n_removed, r.n_spans, r.doc_id is None) for r in out.collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    plan = capsys.readouterr().out
+    assert "Bucketed: true" in plan and "sha2(" not in plan.split("dealt_texts")[1].split("\n")[0]
+    raw = {i: (t or "").encode() for i, (_, t) in enumerate(rows)}
+    masks = _removed(raw, suffix_dedup.LENGTH)
+    assert got == sorted((len(raw[i]), int(m.sum()), int((m[1:] & ~m[:-1]).sum()), rows[i][0] is None) for i, m in masks.items())
+
+
 def test_loser_tree_merges_front_coded_runs():
     import random
 
