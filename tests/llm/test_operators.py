@@ -10,6 +10,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from cadastra.llm import (
     chunk_dedup,
@@ -331,6 +332,20 @@ def test_op8(spark):
         assert (got[i].n_lines, got[i].n_removed, got[i].kept_sha256) == (len(parts), len(gone[i]), hashlib.sha256(kept.encode()).hexdigest())
 
 
+def test_op8_variants_and_map(spark):
+    """A variant's hash is that of the line without the word, also for a line of 30,000 words; the map of bits loses no marked row."""
+    lines = spark.createDataFrame([(0, "a b a a c".split()), (1, ["x"]), (2, [str(i % 7) for i in range(30_000)])], "uid bigint, words array<string>")
+    got = {(r.uid, r.i): (r.n, r.v) for r in line_dedup.deletion_hashes(lines).collect()}
+    assert len(got) == 30_006
+    some = [(u, i, [w for j, w in enumerate(ws) if j != i]) for u, ws in lines.collect() for i in (range(len(ws)) if u < 2 else (0, 15_000, 29_999))]
+    want = spark.createDataFrame(some, "uid bigint, i int, words array<string>").withColumn("v", line_dedup.sequence_hash(F.col("words")))
+    assert all(got[r.uid, r.i] == (len(r.words) + 1, r.v) for r in want.collect())
+    rows = spark.range(20_000).selectExpr("nullif(id, 5) AS doc_id", "id * 7 AS tid")
+    marked = rows.where("tid % 20 = 0 OR doc_id IS NULL")
+    left = line_dedup.perhaps_in(rows, line_dedup.marked_bits(marked, "doc_id", "tid"), "doc_id", "tid")
+    assert marked.exceptAll(left).count() == 0 and left.count() < marked.count() + 100
+
+
 def _one_edit(a: tuple, b: tuple) -> bool:
     if len(a) == len(b):
         return sum(x != y for x, y in zip(a, b, strict=True)) <= 1
