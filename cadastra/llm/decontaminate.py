@@ -46,6 +46,28 @@ PASSAGES = 256
 BLOCKS_A_SCAN = 16
 
 
+class TermIndex:
+    """Finds hashes among sorted terms by their first SLOT_BITS bits; where several terms share them, by bisection."""
+
+    SLOT_BITS = 18
+
+    def __init__(self, terms: np.ndarray):
+        self.terms, self.shift = terms, np.uint64(64 - self.SLOT_BITS)
+        slot = (terms >> self.shift).astype(np.int64)
+        self.first = np.zeros(1 << self.SLOT_BITS, np.int32)
+        self.first[slot] = np.arange(len(terms), dtype=np.int32)
+        self.crowded = np.bincount(slot, minlength=1 << self.SLOT_BITS) > 1
+
+    def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Term numbers of the hashes that are terms, and where they were."""
+        slot = (h >> self.shift).astype(np.int32)
+        at = self.first[slot]
+        if (crowd := np.flatnonzero(self.crowded[slot])).size:
+            at[crowd] = np.minimum(np.searchsorted(self.terms, h[crowd]), len(self.terms) - 1)
+        ok = np.flatnonzero(self.terms[at] == h)
+        return at[ok].astype(np.int64), ok
+
+
 class Passages:
     """A block of benchmark passages: their terms, weights and place in the latent space."""
 
@@ -67,12 +89,13 @@ class Passages:
         self.answer_starts = answer_starts
         self.terms = np.unique(np.concatenate(self.words)) if self.words else np.zeros(0, np.uint64)
         self.weights = np.ones(len(self.terms))
+        self.index: TermIndex | None = None
 
     def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Term numbers of the words that are terms, and where they were."""
-        at = np.minimum(np.searchsorted(self.terms, h), len(self.terms) - 1)
-        ok = np.flatnonzero(self.terms[at] == h)
-        return at[ok], ok
+        if self.index is None:  # made where it is used, not sent
+            self.index = TermIndex(self.terms)
+        return self.index.find(h)
 
     def weigh(self, df: np.ndarray, n_docs: int) -> None:
         self.weights = np.maximum(np.log((n_docs + 1) / (df + 1)), 0.0)
@@ -129,18 +152,17 @@ def _document_frequencies(docs: DataFrame, passages: list[Passages]) -> tuple[li
     shared = docs.sparkSession.sparkContext.broadcast(terms)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms = shared.value
+        terms, index = shared.value, TermIndex(shared.value)
         df, rows = np.zeros(len(terms), np.int64), 0
         for batch, data, off in text_chunks(batches, "text", 1 << 20):
             h, doc = word_hashes(ascii_lower(data), off)
-            at = np.minimum(np.searchsorted(terms, h), len(terms) - 1)
-            ok = terms[at] == h
+            at, ok = index.find(h)
             if batch.num_rows * len(terms) <= 1 << 25:  # a small table is faster than sorting
                 there = np.zeros((batch.num_rows, len(terms)), bool)
-                there[doc[ok], at[ok]] = True
+                there[doc[ok], at] = True
                 df += there.sum(0)
             else:
-                df += np.bincount(np.unique(doc[ok] * len(terms) + at[ok]) % len(terms), minlength=len(terms))
+                df += np.bincount(np.unique(doc[ok] * len(terms) + at) % len(terms), minlength=len(terms))
             rows += batch.num_rows
         at = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1)), pa.array(np.append(df[at], rows))], ["term", "n"])

@@ -221,6 +221,16 @@ def test_op5(spark):
     assert decontaminate.find_leaks(documents(spark), bench.limit(0)).count() == 0
 
 
+def test_op5_terms_are_found_in_slots():
+    """Terms that share their first bits, hashes that only begin like a term, and the ends of the range."""
+    rnd = np.random.default_rng(4)
+    near = np.uint64(5 << 46) + np.arange(9, dtype=np.uint64)
+    terms = np.unique(np.concatenate([rnd.integers(0, 2**64, 5000, dtype=np.uint64), near[::2], np.array([0, 2**64 - 1], np.uint64)]))
+    h = np.concatenate([rnd.permutation(terms), near, rnd.integers(0, 2**64, 5000, dtype=np.uint64), terms + np.uint64(1)])
+    at, where = decontaminate.TermIndex(terms).find(h)
+    assert where.tolist() == np.flatnonzero(np.isin(h, terms)).tolist() and (terms[at] == h[where]).all()
+
+
 def test_lcs():
     assert decontaminate.lcs_length([1, 2, 3, 4], [2, 9, 4, 1]) == 2 and decontaminate.lcs_length([], [1]) == 0
 
