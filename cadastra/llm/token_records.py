@@ -105,13 +105,14 @@ def masked(crc: np.ndarray) -> np.ndarray:
 
 # ---------------------------------------------------------------- tokenizing
 class Encoder:
-    """Encodes texts with a tokenizer file that drops white space, through a table of the
-    words that this worker has met lately (two generations of bounded size; when the newer is
+    """Encodes texts with a tokenizer file that drops white space, through tables of what
+    this worker has met lately (two generations of bounded size; when the newer is
     full it becomes the older, so that frequent words stay). A word goes through
     the whole tokenizer, or, if it is Latin letters and at most one mark after them - which
-    its normalizer only lower-cases and its splitter parts - straight through the model."""
+    its normalizer only lower-cases and its splitter parts - straight through the model. Of such words
+    the lower-cased letters alone are kept, as most new words differ from old ones in case or mark only."""
 
-    MOST_WORDS = 120_000
+    MOST_WORDS, MOST_STEMS = 120_000, 200_000
     _PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]?)\\Z")
 
     def __init__(self, path: str):
@@ -124,37 +125,53 @@ class Encoder:
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         others = [b for b in range(256) if b not in shown]
         self.letters = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(others)}
-        self.marks = {m: self.tokenizer.encode(m, add_special_tokens=False).ids for m in ".,;:!?"} | {"": []}
+        self.marks = {m: array("I", self.tokenizer.encode(m, add_special_tokens=False).ids).tobytes() for m in ".,;:!?"} | {"": b""}
         self.known: dict[str, bytes] = {}  # ids as uint32
         self.older: dict[str, bytes] = {}
+        self.stems: dict[str, bytes] = {}
+        self.older_stems: dict[str, bytes] = {}
 
-    def word(self, w: str) -> bytes:
-        got = self.known.get(w)
-        if got is not None:
-            return got
-        got = self.older.get(w)
+    def stem(self, letters: str) -> bytes:
+        """The ids of lower-cased letters that are not in the newer generation."""
+        got = self.older_stems.get(letters)
         if got is None:
-            plain = self._PLAIN.match(w)
-            if plain:
-                letters = plain[1].lower()
-                if not letters.isascii():
-                    letters = "".join(map(self.letters.__getitem__, letters.encode()))
-                ids = [t.id for t in self.model.tokenize(letters)] + self.marks[plain[2]]
-            else:
-                ids = self.tokenizer.encode(w, add_special_tokens=False).ids
-            got = array("I", ids).tobytes()
-        if len(self.known) >= self.MOST_WORDS:
-            self.known, self.older = {}, self.known
-        self.known[w] = got
+            shown = letters if letters.isascii() else "".join(map(self.letters.__getitem__, letters.encode()))
+            got = array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
+        if len(self.stems) >= self.MOST_STEMS:
+            self.stems, self.older_stems = {}, self.stems
+        self.stems[letters] = got
         return got
 
+    def words(self, words: list[str]) -> list[bytes]:
+        """The ids of each word."""
+        match, marks, stems, table = self._PLAIN.match, self.marks, self.stems, []
+        for w in words:
+            if plain := match(w):
+                letters, mark = plain.groups()
+                letters = letters.lower()
+                got = stems.get(letters)
+                if got is None:
+                    got, stems = self.stem(letters), self.stems
+                table.append(got + marks[mark] if mark else got)
+                continue
+            got = self.known.get(w)
+            if got is None:
+                got = self.older.get(w)
+                if got is None:
+                    got = array("I", self.tokenizer.encode(w, add_special_tokens=False).ids).tobytes()
+                if len(self.known) >= self.MOST_WORDS:
+                    self.known, self.older = {}, self.known
+                self.known[w] = got
+            table.append(got)
+        return table
+
     def encode(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids, each text's followed by `end`, and n+1 offsets."""
         n = len(texts)
         words = pc.split_pattern_regex(texts.fill_null(""), "[ \\n\\t\\r]+")
         coded = words.flatten().dictionary_encode()
-        table = [self.known.get(w) or self.word(w) for w in coded.dictionary.to_pylist()]
-        sizes = np.array([len(x) // 4 for x in table], np.int64)
+        table = self.words(coded.dictionary.to_pylist())
+        sizes = np.fromiter(map(len, table), np.int64, len(table)) // 4
         begin = np.cumsum(sizes) - sizes
         flat = np.frombuffer(b"".join(table), np.uint32)
         code = coded.indices.to_numpy(zero_copy_only=False)

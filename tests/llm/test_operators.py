@@ -291,6 +291,21 @@ def test_op6_removal_at_characters(spark):
         assert left[i] == want, case
 
 
+def test_op7_stems_serve_other_cases_and_marks(monkeypatch):
+    """A word in another case or with another mark is not sent through the model again, however small the tables."""
+    from tokenizers import Tokenizer
+
+    enc, tok = token_records.Encoder(token_records.default_tokenizer()), Tokenizer.from_file(token_records.default_tokenizer())
+    forms = ["garden", "Garden,", "GARDEN!", "Été.", "été", "ÉTÉ?", "x1", "don't", "İI", "garden", "."]
+    want = [tok.encode(w, add_special_tokens=False).ids for w in forms]
+    assert [np.frombuffer(x, np.uint32).tolist() for x in enc.words(forms)] == want and sorted(enc.stems) == ["garden", "été"]
+    monkeypatch.setattr(token_records.Encoder, "MOST_WORDS", 2)
+    monkeypatch.setattr(token_records.Encoder, "MOST_STEMS", 1)
+    small = token_records.Encoder(token_records.default_tokenizer())
+    for _ in range(2):
+        assert [np.frombuffer(x, np.uint32).tolist() for x in small.words(forms)] == want
+
+
 def test_op7(spark):
     from tokenizers import Tokenizer
 
