@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -83,6 +84,11 @@ def _index(shared):
     return run
 
 
+def _local(spark: SparkSession, **columns: np.ndarray) -> DataFrame:
+    """A small table of the driver's, to be broadcast."""
+    return F.broadcast(spark.createDataFrame(pa.table(columns)))
+
+
 def postings(docs: DataFrame, hashes: np.ndarray, checks: np.ndarray) -> tuple[DataFrame, list[int]]:
     """(layer, term, row, doc_id, impact) for the terms of the vocabulary, and each layer's floor."""
     spark = docs.sparkSession
@@ -93,10 +99,11 @@ def postings(docs: DataFrame, hashes: np.ndarray, checks: np.ndarray) -> tuple[D
     n_docs, n_terms = index.agg(F.count_if(F.col("n") > 0), F.coalesce(F.sum("n"), F.lit(0))).first()
     entry = index.where("size(terms) > 0").select("row", "doc_id", "n", F.explode(F.arrays_zip("terms", "counts")).alias("e")).select("row", "doc_id", "n", F.col("e.terms").alias("term"), F.col("e.counts").cast("bigint").alias("tf"))
     weight = F.floor(1000 * F.ln(F.lit(2.0 * n_docs + 2) / (2 * F.col("df") + 1))).cast("bigint")
-    weights = materialize(entry.groupBy("term").agg(F.count(F.lit(1)).alias("df")).select("term", weight.alias("w")), "weights")  # a row for each query term at most
-    most = (weights.agg(F.max("w")).first()[0] or 0) * 1_000_000
+    weights = entry.groupBy("term").agg(F.count(F.lit(1)).alias("df")).select("term", weight.alias("w")).toArrow()  # a row for each query term at most
+    term, w = (weights.column(c).to_numpy() for c in ("term", "w"))
+    most = int(w.max(initial=0)) * 1_000_000
     floors = [most >> (i + 1) for i in range(LAYERS - 1)] + [0]
-    entry = entry.join(F.broadcast(weights), "term").withColumn("m", F.expr(f"100 - 25 + ((25 * n * {n_docs}L) div {max(n_terms, 1)}L)"))
+    entry = entry.join(_local(spark, term=term, w=w), "term").withColumn("m", F.expr(f"100 - 25 + ((25 * n * {n_docs}L) div {max(n_terms, 1)}L)"))
     entry = entry.withColumn("impact", F.expr("w * ((1000000000L * tf) div (1000 * tf + 12 * m))")).where("impact > 0")
     layer = sum((F.col("impact") <= f).cast("int") for f in floors[:-1])
     path = scratch_path(spark, "postings")
@@ -111,38 +118,43 @@ def _best(scores: DataFrame, k: int, order: list) -> DataFrame:
     return scores.withColumn("rank", F.row_number().over(Window.partitionBy("item").orderBy(*order))).where(F.col("rank") <= k)
 
 
-def _ranked(lists: DataFrame, floors: list[int], terms: DataFrame, k: int) -> DataFrame:
-    """(item, rank, doc_id, score). terms: (item, term, q, most), most being the greatest impact of a term's list."""
+def _ranked(lists: DataFrame, floors: list[int], item: np.ndarray, term: np.ndarray, q: np.ndarray, most: np.ndarray, k: int) -> DataFrame:
+    """(item, rank, doc_id, score) of the items' terms; most: the greatest impact of a term's list, over 0. The driver keeps a few
+    numbers for each item of the block, tasks are given no more than those and its terms. Rows of settled items are carried along."""
     spark = lists.sparkSession
-    state = spark.createDataFrame([], "item bigint, row bigint, doc_id bigint, lower bigint, seen bigint")
-    active = materialize(terms.select("item", F.lit(False).alias("closed")).distinct(), "items")
-    settled = []
+    n = int(item.max()) + 1
+    every = np.arange(n, dtype=np.int32)
+    done, closed = ~np.isin(every, item), np.zeros(n, bool)
+    need, step = np.zeros(n, np.int64), np.zeros(n, np.int64)  # a document stays while lower - step * seen >= need
+    state = None
     for layer, floor in enumerate(floors):
         read = lists.where(F.col("layer") == layer)
-        gain = (F.col("q") * F.col("impact")).alias("lower")
-        mine = terms.join(active, "item")
-        new = read.join(F.broadcast(mine.where("NOT closed")), "term").select("item", "row", "doc_id", gain, F.col("q").alias("seen"))
-        known = state.join(F.broadcast(active.where("closed")), "item").select("item", "row", "doc_id")
-        more = read.select("row", "term", "impact").join(known, "row").join(F.broadcast(mine.where("closed")), ["item", "term"]).select("item", "row", "doc_id", gain, F.col("q").alias("seen"))
-        kept = state.join(F.broadcast(active.select("item")), "item").select("item", "row", "doc_id", "lower", "seen")
-        state = kept.unionByName(new).unionByName(more).groupBy("item", "row", "doc_id").agg(F.sum("lower").alias("lower"), F.sum("seen").alias("seen"))
+        gain = [(F.col("q") * F.col("impact")).alias("lower"), F.col("q").alias("seen")]
+        parts = []
+        if state is not None:
+            stay = lambda of, state=state: state.join(_local(spark, item=every[of], need=need[of], step=step[of]), "item").where("lower - step * seen >= need")
+            parts.append(stay(slice(None)).select("item", "row", "doc_id", "lower", "seen"))
+        if (at := np.flatnonzero((~closed & ~done)[item])).size:
+            parts.append(read.join(_local(spark, term=term[at], item=item[at], q=q[at]), "term").select("item", "row", "doc_id", *gain))
+        if (at := np.flatnonzero((closed & ~done)[item])).size:
+            known = read.select("row", "term", "impact").join(stay(closed & ~done).select("item", "row", "doc_id"), "row")
+            parts.append(known.join(_local(spark, item=item[at], term=term[at], q=q[at]), ["item", "term"]).select("item", "row", "doc_id", *gain))
+        state = reduce(DataFrame.unionByName, parts).groupBy("item", "row", "doc_id").agg(F.sum("lower").alias("lower"), F.sum("seen").alias("seen"))
         state = materialize(state, "bounds")
-        rest = mine.groupBy("item").agg(F.first("closed").alias("closed"), F.sum(F.col("q") * F.least("most", F.lit(floor))).alias("rest"))
-        kth = _best(state, k, [F.desc("lower")]).groupBy("item").agg(F.when(F.count(F.lit(1)) == k, F.min("lower")).otherwise(0).alias("kth"))
-        items = materialize(rest.join(kth, "item", "left").select("item", "rest", F.coalesce("kth", F.lit(0)).alias("kth"), (F.col("rest") < F.coalesce("kth", F.lit(0))).alias("over")), "items")
-        items = items.withColumn("closed", F.col("over") | F.lit(floor == 0))
-        upper = F.col("lower") + F.col("rest") - floor * F.col("seen")
-        state = state.join(F.broadcast(items), "item").where(upper >= F.col("kth")).select("item", "row", "doc_id", "lower", "seen", (upper > F.col("lower")).alias("open"))
-        unsure = state.groupBy("item").agg(F.bool_or("open").alias("open"))
-        now = materialize(items.join(unsure, "item", "left").select("item", "closed", (F.col("closed") & ~F.coalesce("open", F.lit(False))).alias("done")), "items")
-        settled.append(state.join(now.where("done"), "item").select("item", "row", "doc_id", "lower"))
-        active = now.where("NOT done").select("item", "closed")
-        if not active.limit(1).count():
+        rest, kth = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        np.add.at(rest, item, q * np.minimum(most, floor))
+        least = _best(state, k, [F.desc("lower")]).groupBy("item").agg(F.when(F.count(F.lit(1)) == k, F.min("lower")).otherwise(0).alias("kth")).toArrow()
+        kth[least.column("item").to_numpy()] = least.column("kth").to_numpy()
+        closed |= (rest < kth) | (floor == 0)
+        need, step = np.where(done, need, kth - rest), np.where(done, 0, floor)
+        if (ask := closed & ~done).any():
+            unsure = state.join(_local(spark, item=every[ask], need=need[ask], rest=rest[ask]), "item").where(f"lower - {floor}L * seen >= need AND rest > {floor}L * seen")
+            ask[unsure.select("item").distinct().toArrow().column("item").to_numpy()] = False
+            need[ask], step[ask] = kth[ask], 0
+            done |= ask
+        if done.all():
             break
-    found = settled[0]
-    for part in settled[1:]:
-        found = found.unionByName(part)
-    best = _best(found.where("lower > 0"), k, [F.desc("lower"), F.col("doc_id").asc_nulls_last(), "row"])
+    best = _best(state.where("lower > 0"), k, [F.desc("lower"), F.col("doc_id").asc_nulls_last(), "row"])
     return best.select("item", "rank", "doc_id", F.col("lower").alias("score"))
 
 
@@ -155,25 +167,26 @@ def search(docs: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
     blocks = max(1, math.ceil(wanted.count() / QUERY_TERMS))
     parts = []
     for block in range(blocks):
-        own = wanted.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == block)
-        known = own.select("hash", "check").distinct().toArrow()
-        hashes, checks = (known.column(c).to_numpy().view(np.uint64) for c in ("hash", "check"))
-        order = np.argsort(hashes)
-        hashes, checks = hashes[order], checks[order]
+        own = wanted.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == block).toArrow()
+        names, item = np.unique(own.column("item").to_numpy(), return_inverse=True)
+        hashes, first, term = np.unique(own.column("hash").to_numpy().view(np.uint64), return_index=True, return_inverse=True)
+        check, q = own.column("check").to_numpy().view(np.uint64), own.column("q").to_numpy()
+        if (check != check[first][term]).any():
+            raise RuntimeError("two query terms share a 64-bit hash")
         if len(hashes) == 0:
             continue
-        if (hashes[1:] == hashes[:-1]).any():
-            raise RuntimeError("two query terms share a 64-bit hash")
-        numbers = spark.createDataFrame(pa.table({"hash": i64(hashes), "term": pa.array(np.arange(len(hashes)), pa.int32())}))
-        lists, floors = postings(docs, hashes, checks)
-        most = lists.groupBy("term").agg(F.max("impact").alias("most"))
-        terms = materialize(own.join(F.broadcast(numbers), "hash").join(most, "term").select("item", "term", "q", "most"), "terms")
-        parts.append(_ranked(lists, floors, terms, k))
+        lists, floors = postings(docs, hashes, check[first])
+        tops = lists.groupBy("term").agg(F.max("impact").alias("most")).toArrow()
+        most = np.zeros(len(hashes), np.int64)
+        most[tops.column("term").to_numpy()] = tops.column("most").to_numpy()
+        at = np.flatnonzero(most[term])
+        if at.size == 0:
+            continue
+        best = _ranked(lists, floors, item[at].astype(np.int32), term[at].astype(np.int32), q[at], most[term[at]], k)
+        parts.append(best.join(_local(spark, item=np.arange(len(names), dtype=np.int32), name=names), "item").select(F.col("name").alias("item"), "rank", "doc_id", "score"))
     if not parts:
         return spark.createDataFrame([], "item_id bigint, rank int, doc_id bigint, score bigint")
-    found = parts[0]
-    for part in parts[1:]:
-        found = found.unionByName(part)
+    found = reduce(DataFrame.unionByName, parts)
     return found.join(items.select("item", "item_id"), "item").select("item_id", "rank", "doc_id", "score")
 
 

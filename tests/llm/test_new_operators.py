@@ -82,6 +82,15 @@ def test_op11_blocks_of_items(spark, monkeypatch):
     assert found(spark, list(texts().items()), bench) == best(texts().items(), bench, 20)
 
 
+def test_op11_takes_few_jobs(spark):
+    """Rounds are few jobs and broadcasts: each leaves the driver with tables, threads and plans, whatever the input's size."""
+    jobs = lambda: spark.sparkContext._jsc.sc().dagScheduler().nextJobId()
+    bench = [(i, texts()[i]) for i in (1, 5, 60, 84, 85, 95, 93)]
+    before = jobs()
+    assert found(spark, list(texts().items()), bench) == best(texts().items(), bench, 20)
+    assert jobs() - before <= 125
+
+
 @pytest.mark.parametrize("docs,items", [([], [(1, "a")]), ([(1, "a")], []), ([(1, None), (2, "")], [(1, "a"), (2, None)])])
 def test_op11_empty(spark, docs, items):
     assert found(spark, docs, items) == []
