@@ -419,6 +419,25 @@ def test_op9_deals_texts_once(spark, capsys):
     assert got == sorted((len(raw[i]), int(m.sum()), int((m[1:] & ~m[:-1]).sum()), rows[i][0] is None) for i, m in masks.items())
 
 
+def test_op9_planted_passages(spark):
+    """Passages of over 50 words in two documents each: of LENGTH bytes they go, whole; of a byte less they stay, as the contract counts bytes."""
+    import random
+
+    rnd = random.Random(9)
+    word = lambda low, high: "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rnd.randint(low, high)))
+    rows, sizes = [], {}
+    for k, size in enumerate((330, 399, 400, 401, 470) * 2):
+        passage = (" ".join(word(3, 6) for _ in range(120)))[: size - 1] + "."
+        assert len(passage.split()) > 50
+        for i in (2 * k, 2 * k + 1):
+            before, after = ([word(3, 9) for _ in range(rnd.randint(20, 90))] for _ in range(2))
+            rows.append((i, " ".join(before) + f" <{i}" + passage + f"{i % 2}> " + " ".join(after)))
+            sizes[i] = size
+    rows += [(i, " ".join(word(3, 9) for _ in range(150))) for i in range(100, 110)]
+    got = {r.doc_id: (r.n_removed, r.n_spans) for r in OPERATORS[9](spark, spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == {i: (sizes[i], 1) if sizes.get(i, 0) >= suffix_dedup.LENGTH else (0, 0) for i, _ in rows}
+
+
 def test_loser_tree_merges_front_coded_runs():
     import random
 
