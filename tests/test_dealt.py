@@ -15,6 +15,7 @@ FOLDER = "/root/testdata/sf0.001"
     "name",
     [
         "points_in_cells",
+        "points_listed",
     ],
 )
 def test_no_broadcast(spark, monkeypatch, name):
