@@ -17,6 +17,7 @@ FOLDER = "/root/testdata/sf0.001"
         "points_in_cells",
         "points_listed",
         "cell_label_distinct",
+        "bisect_mixed_cells",
     ],
 )
 def test_no_broadcast(spark, monkeypatch, name):
