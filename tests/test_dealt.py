@@ -18,6 +18,7 @@ FOLDER = "/root/testdata/sf0.001"
         "points_listed",
         "cell_label_distinct",
         "bisect_mixed_cells",
+        "pairs_differing_label",
     ],
 )
 def test_no_broadcast(spark, monkeypatch, name):
