@@ -21,6 +21,7 @@ FOLDER = "/root/testdata/sf0.001"
         "pairs_differing_label",
         "majority_neighbor_fill",
         "nearest_foot_on_boundary",
+        "road_length_in_cells",
     ],
 )
 def test_no_broadcast(spark, monkeypatch, name):
