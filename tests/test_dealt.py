@@ -22,6 +22,7 @@ FOLDER = "/root/testdata/sf0.001"
         "majority_neighbor_fill",
         "nearest_foot_on_boundary",
         "road_length_in_cells",
+        "roads_in_area_semi",
     ],
 )
 def test_no_broadcast(spark, monkeypatch, name):
