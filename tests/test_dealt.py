@@ -23,6 +23,7 @@ FOLDER = "/root/testdata/sf0.001"
         "nearest_foot_on_boundary",
         "road_length_in_cells",
         "roads_in_area_semi",
+        "dissolve_area",
     ],
 )
 def test_no_broadcast(spark, monkeypatch, name):
