@@ -24,6 +24,7 @@ FOLDER = "/root/testdata/sf0.001"
         "road_length_in_cells",
         "roads_in_area_semi",
         "dissolve_area",
+        "fill_sequential",
     ],
 )
 def test_no_broadcast(spark, monkeypatch, name):
