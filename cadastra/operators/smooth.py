@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from cadastra.functions import geometry as g
 from cadastra.operators import spatial
+from cadastra.session import dealt
 
 
 def stops(polygons: DataFrame, key: str) -> DataFrame:
@@ -40,8 +41,8 @@ def smooth_borders(polygons: DataFrame, key: str, iterations: int = 2, tol: floa
     """polygons with each chain of shared border simplified and then smoothed; chain ends and outer sides stay. A border
     that closes on itself keeps its least vertex."""
     fixed = stops(polygons, key)
-    at = polygons.select(key, F.explode(F.array_distinct(F.flatten("poly"))).alias("v")).join(fixed, "v").groupBy(key).agg(F.collect_list("v").alias("stops"))
-    joined = polygons.join(at, key, "left").withColumn("stops", F.coalesce("stops", F.array().cast(g.LINE)))
+    at = polygons.select(key, F.explode(F.array_distinct(F.flatten("poly"))).alias("v")).join(dealt(fixed), "v").groupBy(key).agg(F.collect_list("v").alias("stops"))
+    joined = polygons.join(dealt(at), key, "left").withColumn("stops", F.coalesce("stops", F.array().cast(g.LINE)))
 
     def cut(line):
         """The same points whichever way the line runs."""
@@ -64,7 +65,7 @@ def shared_lines(polygons: DataFrame, key: str) -> DataFrame:
     side = ring.select(key, "r", F.size("ring").alias("n"), F.posexplode(g.segments(F.col("ring"))).alias("i", "s"))
     side = side.select(key, "r", "n", "i", F.col("s.p").alias("p"), F.col("s.q").alias("q"), F.least("s.p", "s.q").alias("a"), F.greatest("s.p", "s.q").alias("b"))
     theirs = spatial.edges_of(polygons, key).select(F.col(key).alias("other"), "a", "b")
-    pair = side.join(theirs, ["a", "b"]).where(F.col(key) < F.col("other"))
+    pair = side.join(dealt(theirs), ["a", "b"]).where(F.col(key) < F.col("other"))
     w = Window.partitionBy(key, "other", "r").orderBy("i")
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     run = F.sum((F.coalesce(F.lag("i").over(w), F.lit(-2)) != F.col("i") - 1).cast("int")).over(w)

@@ -25,6 +25,7 @@ FOLDER = "/root/testdata/sf0.001"
         "roads_in_area_semi",
         "dissolve_area",
         "fill_sequential",
+        "straighten_borders",
     ],
 )
 def test_no_broadcast(spark, monkeypatch, name):
