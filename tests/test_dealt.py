@@ -26,6 +26,7 @@ FOLDER = "/root/testdata/sf0.001"
         "dissolve_area",
         "fill_sequential",
         "straighten_borders",
+        "shared_border_lines",
     ],
 )
 def test_no_broadcast(spark, monkeypatch, name):
